@@ -17,3 +17,9 @@ def evaluated_once(df: DataFrame, **columns: Column) -> DataFrame:
     packed = F.struct(*[expr.alias(name) for name, expr in columns.items()])
     held = df.select("*", F.explode(F.array(packed)).alias("_once"))
     return held.select(*df.columns, *[F.col("_once")[name].alias(name) for name in columns])
+
+
+def attach_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Add the columns of a one-row frame as a scalar subquery; nothing is joined."""
+    held = df.withColumn("_one", one_row.select(F.struct(*one_row.columns)).scalar())
+    return held.select(*df.columns, *[F.col("_one")[c].alias(c) for c in one_row.columns])
