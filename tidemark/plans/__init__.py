@@ -1,6 +1,14 @@
 """All registered queries; importing this package fills the registry."""
 
-from tidemark.plans import change_queries, metric_queries, quality_queries, shop_queries  # noqa: F401
+from tidemark.plans import (  # noqa: F401
+    change_queries,
+    evolution_queries,
+    metric_queries,
+    quality_queries,
+    region_queries,
+    security_queries,
+    shop_queries,
+)
 from tidemark.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
