@@ -9,6 +9,10 @@ only window over a whole series runs on those summaries.
 
 ``slice_by`` must not decrease along ``order`` and the series keys must not be
 null; ``order`` should be total, or ties are resolved arbitrarily.
+
+Each function reads its input twice, once for the rows and once, narrowly, for
+the summaries. Do not stack them: put ``session.written`` between two of them, or
+the reads multiply.
 """
 
 from __future__ import annotations
@@ -160,6 +164,108 @@ def last_known_in_series(
     )
 
 
+def run_starts(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], flag: str, slice_by: Column
+) -> DataFrame:
+    """Add ``was`` (flag of the preceding row, false at first) and ``run_start``.
+
+    ``run_start`` is the first order column at the beginning of the latest run of
+    true flags; on the row after a run it still names that run. Only the first row
+    of a slice depends on earlier slices, so one carry per slice settles it.
+    """
+    at = order[0]
+    rows = df.withColumn(_SLICE, slice_by)
+    inside = Window.partitionBy(*keys, _SLICE).orderBy(*order)
+    marked = rows.withColumn("_lag", F.lag(flag).over(inside)).withColumn(
+        "_begin", F.when(F.col(flag) & ~F.col("_lag"), F.col(at))
+    )
+    # The same windows, reduced to one row per slice.
+    edges = (
+        marked.groupBy(*keys, _SLICE)
+        .agg(
+            F.max_by(flag, _order_struct(order)).alias("_last"),
+            F.max("_begin").alias("_inner"),
+            F.min(at).alias("_first_at"),
+            F.min_by(flag, _order_struct(order)).alias("_first"),
+        )
+    )
+    by_slice = Window.partitionBy(*keys).orderBy(_SLICE)
+    edges = edges.withColumn("_before", F.coalesce(F.lag("_last").over(by_slice), F.lit(False))).withColumn(
+        "_edge", F.when(F.col("_first") & ~F.col("_before"), F.col("_first_at"))
+    )
+    carry = edges.select(
+        *keys,
+        _SLICE,
+        "_before",
+        "_edge",
+        F.last(F.coalesce("_inner", "_edge"), ignorenulls=True)
+        .over(by_slice.rowsBetween(Window.unboundedPreceding, -1))
+        .alias("_carry"),
+    )
+    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = _with_carry(marked.withColumn("_inside", F.last("_begin", ignorenulls=True).over(upto)), carry, keys)
+    return found.select(
+        *df.columns,
+        F.coalesce("_lag", "_before").alias("was"),
+        F.coalesce("_inside", "_edge", "_carry").alias("run_start"),
+    )
+
+
+def consecutive_runs(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], flag: str, slice_by: Column
+) -> DataFrame:
+    """Add ``run_length`` (rows in a row that share the flag), ``seen`` and ``seen_true``.
+
+    ``seen`` counts all rows of the series so far, ``seen_true`` those with a true
+    flag, the current row included in both.
+    """
+    rows = df.withColumn(_SLICE, slice_by)
+    inside = Window.partitionBy(*keys, _SLICE).orderBy(*order)
+    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = rows.select(
+        "*",
+        F.row_number().over(inside).cast("bigint").alias("_pos"),
+        F.count(F.when(F.col(flag), 1)).over(upto).alias("_true"),
+    )
+    placed = placed.select(
+        "*",
+        F.max(F.when(F.col(flag), F.col("_pos"))).over(upto).alias("_on"),
+        F.max(F.when(~F.col(flag), F.col("_pos"))).over(upto).alias("_off"),
+    )
+    sizes = placed.groupBy(*keys, _SLICE).agg(
+        F.max("_pos").alias("_n"),
+        F.max("_true").alias("_t"),
+        F.max("_on").alias("_last_on"),
+        F.max("_off").alias("_last_off"),
+    )
+    earlier = Window.partitionBy(*keys).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    offset = F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+    sizes = sizes.select(
+        "*", offset.alias("_offset"), F.coalesce(F.sum("_t").over(earlier), F.lit(0)).alias("_true_before")
+    )
+    carry = sizes.select(
+        *keys,
+        _SLICE,
+        "_offset",
+        "_true_before",
+        F.max(F.col("_offset") + F.col("_last_on")).over(earlier).alias("_on_before"),
+        F.max(F.col("_offset") + F.col("_last_off")).over(earlier).alias("_off_before"),
+    )
+    joined = _with_carry(placed, carry, keys)
+    place = F.col("_offset") + F.col("_pos")
+
+    def broken(inner: str, before: str) -> Column:
+        return F.coalesce(F.col("_offset") + F.col(inner), F.col(before), F.lit(0))
+
+    length = place - F.when(F.col(flag), broken("_off", "_off_before")).otherwise(broken("_on", "_on_before"))
+    return joined.select(
+        *df.columns,
+        length.alias("run_length"),
+        place.alias("seen"),
+        (F.col("_true_before") + F.col("_true")).alias("seen_true"),
+    )
+
+
 def trailing_window(
     df: DataFrame,
     keys: Sequence[str],

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.ordered import last_known_in_series, previous_in_series, time_slice
+from tidemark.functions.ordered import run_starts, time_slice
 from tidemark.functions.rows import attach_one_row
 from tidemark.operators import metrics
 
@@ -58,13 +58,8 @@ def _per_rule(rules: Sequence[AlertRule], attribute: str) -> Column:
 
 
 def _true_runs(evals: DataFrame, slice_seconds: int) -> DataFrame:
-    """Rows of evaluation with ``_was`` (previous verdict) and ``run_start`` (first true)."""
-    slice_by = time_slice(F.col("ts"), slice_seconds)
-    seen = previous_in_series(evals, ["rule"], ["ts"], {"_was": F.col("met")}, slice_by)
-    seen = seen.withColumn("_was", F.coalesce("_was", F.lit(False)))
-    begins = F.when(F.col("met") & ~F.col("_was"), F.col("ts"))
-    seen = last_known_in_series(seen, ["rule"], ["ts"], {"_run": begins}, slice_by)
-    return seen.withColumn("run_start", F.coalesce(begins, F.col("_run"))).drop("_run")
+    """Evaluations with ``was`` (previous verdict) and ``run_start`` (first true)."""
+    return run_starts(evals, ["rule"], ["ts"], "met", time_slice(F.col("ts"), slice_seconds))
 
 
 def tick_states(evals: DataFrame, rules: Sequence[AlertRule], slice_seconds: int = 86400) -> DataFrame:
@@ -84,7 +79,7 @@ def alert_states(evals: DataFrame, rules: Sequence[AlertRule], slice_seconds: in
     ``resolved_at`` is null while it still fires; runs that end before their time
     leave nothing. ``last_seen`` is the last tick of the run.
     """
-    runs = _true_runs(evals, slice_seconds).where(F.col("met") | F.col("_was"))
+    runs = _true_runs(evals, slice_seconds).where(F.col("met") | F.col("was"))
     waited = F.unix_micros("ts") - F.unix_micros("run_start")
     due = _per_rule(rules, "for_seconds").cast("bigint") * 1_000_000
     return (

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.lsn import lsn_to_num
 from tidemark.functions.ordered import running_sum_in_series
+from tidemark.session import written
 
 
 def _present(image: Column) -> Column:
@@ -112,7 +113,9 @@ def diff_snapshots(
     )
 
 
-def assemble_transactions(log: DataFrame, slice_steps: int = 1 << 30) -> DataFrame:
+def assemble_transactions(
+    log: DataFrame, slice_steps: int = 1 << 30, tie_break: Sequence[str] = ("event_id",)
+) -> DataFrame:
     """Row changes of committed transactions, numbered inside each.
 
     ``log`` has type (BEGIN, INSERT, UPDATE, DELETE, COMMIT), xid, lsn and the row
@@ -126,9 +129,9 @@ def assemble_transactions(log: DataFrame, slice_steps: int = 1 << 30) -> DataFra
     )
     changes = rows.where(F.col("type").isin("INSERT", "UPDATE", "DELETE")).join(commits, "xid")
     return running_sum_in_series(
-        changes,
+        written(changes, "committed-changes"),
         ["xid"],
-        ["lsn_num"],
+        ["lsn_num", *tie_break],
         {"position": F.lit(1)},
         F.floor(F.col("lsn_num") / F.lit(slice_steps)).cast("bigint"),
     )

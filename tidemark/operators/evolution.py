@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.ordered import number_rows, previous_in_series, running_sum_in_series
 from tidemark.functions.rows import evaluated_once
+from tidemark.session import written
 
 # Lossless numeric promotions.
 PROMOTIONS = ("int>long", "int>float", "int>double", "long>float", "long>double", "float>double")
@@ -34,13 +35,32 @@ def fingerprint(schema_json: Column) -> Column:
     return F.substring(F.sha2(canonical_json(schema_json), 256), 1, 16)
 
 
+def linked_versions(registry: DataFrame) -> DataFrame:
+    """Every version with the version before and after it in its subject (null at the ends)."""
+    slice_by = F.floor(F.col("version") / 1000).cast("bigint")
+    narrow = registry.select(*_KEY)
+    before = previous_in_series(
+        narrow, ["subject"], ["version"], {"old_version": F.col("version")}, slice_by
+    )
+    # The following version is the one whose predecessor this is.
+    after = before.select(
+        "subject", F.col("version").alias("next_version"), F.col("old_version").alias("version")
+    ).where("version IS NOT NULL")
+    return written(before.join(after, _KEY, "left"), "schema-versions")
+
+
 def schema_fields(registry: DataFrame) -> DataFrame:
     """One row per field: subject, version, position, field, type, has_default, default_value, doc.
 
-    A union type keeps its JSON array text.
+    A union type keeps its JSON array text. ``old_version`` and ``next_version``
+    name the neighbours of the version; they are looked up unless given.
     """
-    fields = F.from_json(F.get_json_object("schema_json", "$.fields"), "array<map<string,string>>")
-    return registry.select("subject", "version", F.posexplode(fields).alias("position", "_f")).select(
+    body = F.from_json("schema_json", "struct<fields:array<map<string,string>>>")["fields"]
+    if "next_version" in registry.columns:
+        linked = registry
+    else:
+        linked = registry.select(*_KEY, "schema_json").join(linked_versions(registry), _KEY)
+    return linked.select(*_KEY, "old_version", "next_version", F.posexplode(body).alias("position", "_f")).select(
         "subject",
         "version",
         "position",
@@ -49,6 +69,8 @@ def schema_fields(registry: DataFrame) -> DataFrame:
         F.map_contains_key("_f", "default").alias("has_default"),
         F.col("_f")["default"].alias("default_value"),
         F.col("_f")["doc"].alias("doc"),
+        "old_version",
+        "next_version",
     )
 
 
@@ -75,37 +97,38 @@ def has_default(flag: Column, kind: Column) -> Column:
     return flag | (F.ltrim(kind).startswith("[") & (F.element_at(type_names(kind), 1) == "null"))
 
 
-def _versions(fields: DataFrame) -> DataFrame:
-    """Every version with the one before it (null for the first)."""
-    distinct = fields.select(*_KEY).distinct()
-    return previous_in_series(
-        distinct, ["subject"], ["version"], {"old_version": F.col("version")},
-        F.floor(F.col("version") / 1000).cast("bigint"),
-    )
-
-
 _ATTRIBUTES = ("type", "has_default", "default_value", "doc")
 
 
 def _side_by_side(fields: DataFrame) -> DataFrame:
-    """Fields of each version beside those of the version before it."""
-    steps = _versions(fields).where("old_version IS NOT NULL")
+    """Fields of each version beside those of the version before it.
 
-    def side(prefix: str) -> Column:
-        return F.struct(*[F.col(a) for a in _ATTRIBUTES]).alias(prefix)
-
-    new = fields.join(steps.select(*_KEY), _KEY, "left_semi").select(*_KEY, "field", side("new"))
-    old = (
-        fields.withColumnRenamed("version", "old_version")
-        .join(steps, ["subject", "old_version"])
-        .select(*_KEY, "field", side("old"))
+    Every field row is sent to its own version as ``new`` and to the following one
+    as ``old``, so one shuffle brings both sides together. ``starts`` marks the
+    rows of a subject's first version, which has nothing to compare with.
+    """
+    attributes = F.struct(*[F.col(a) for a in _ATTRIBUTES])
+    nothing = F.lit(None).cast(fields.select(attributes.alias("x")).schema["x"].dataType)
+    starts = F.col("old_version").isNull()
+    sent = F.array(
+        F.struct(F.col("version").alias("version"), attributes.alias("new"), nothing.alias("old"), starts.alias("starts")),
+        F.struct(F.col("next_version").alias("version"), nothing.alias("new"), attributes.alias("old"), F.lit(False).alias("starts")),
+    )
+    return (
+        fields.select("subject", "field", F.inline(sent))
+        .where("version IS NOT NULL")
+        .groupBy(*_KEY, "field")
+        .agg(
+            F.first("new", ignorenulls=True).alias("new"),
+            F.first("old", ignorenulls=True).alias("old"),
+            F.max("starts").alias("starts"),
+        )
     )
-    return new.join(old, [*_KEY, "field"], "full_outer")
 
 
 def schema_diff(fields: DataFrame) -> DataFrame:
     """Added, removed and modified fields between consecutive versions."""
-    both = _side_by_side(fields)
+    both = _side_by_side(fields).where("NOT starts")
     old, new = F.col("old"), F.col("new")
 
     def moved(attribute: str) -> Column:
@@ -126,10 +149,9 @@ def schema_diff(fields: DataFrame) -> DataFrame:
     return both.select(*_KEY, "field", "change", *pairs)
 
 
-def compatibility_issues(fields: DataFrame, level: str) -> DataFrame:
-    """Issues of each version against the one before it."""
-    both = _side_by_side(fields)
-    old, new = F.col("old"), F.col("new")
+def _issues(level: str) -> Column:
+    """Array of issues of one field, from the columns of ``_side_by_side``."""
+    old, new, compared = F.col("old"), F.col("new"), ~F.col("starts")
     backward = (
         F.when(old.isNull() & ~has_default(new["has_default"], new["type"]), "missing_default")
         .when(old.isNotNull() & new.isNotNull() & ~type_compatible(old["type"], new["type"]), "type_change")
@@ -137,12 +159,16 @@ def compatibility_issues(fields: DataFrame, level: str) -> DataFrame:
     forward = F.when(new.isNull() & ~has_default(old["has_default"], old["type"]), "removed_required")
     kinds = []
     if level.startswith(("BACKWARD", "FULL")):
-        kinds.append(backward)
+        kinds.append(F.when(compared, backward))
     if level.startswith(("FORWARD", "FULL")):
-        kinds.append(forward)
-    if not kinds:
-        return both.select(*_KEY, "field", F.lit(None).cast("string").alias("issue")).where(F.lit(False))
-    return both.select(*_KEY, "field", F.explode(F.array_compact(F.array(*kinds))).alias("issue"))
+        kinds.append(F.when(compared, forward))
+    return F.array_compact(F.array(*kinds)) if kinds else F.array().cast("array<string>")
+
+
+def compatibility_issues(fields: DataFrame, level: str) -> DataFrame:
+    """Issues of each version against the one before it."""
+    both = _side_by_side(fields)
+    return both.select(*_KEY, "field", F.explode(_issues(level)).alias("issue"))
 
 
 def _transitive_backward(fields: DataFrame) -> DataFrame:
@@ -201,8 +227,9 @@ def check_compatibility(fields: DataFrame, level: str) -> DataFrame:
     """
     if level not in LEVELS:
         raise ValueError(f"unknown level {level}")
-    everyone = fields.select(*_KEY).distinct()
     if level.endswith("TRANSITIVE"):
+        fields = written(fields, "schema-fields")
+        everyone = fields.select(*_KEY).distinct()
         parts = []
         if level.startswith(("BACKWARD", "FULL")):
             parts.append(_transitive_backward(fields))
@@ -210,9 +237,11 @@ def check_compatibility(fields: DataFrame, level: str) -> DataFrame:
             parts.append(_transitive_forward(fields))
         found = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
         issues = found.groupBy(*_KEY).agg(F.sum("errors").alias("errors"))
+        counted = everyone.join(issues, _KEY, "left").withColumn("errors", F.coalesce("errors", F.lit(0)))
     else:
-        issues = compatibility_issues(fields, level).groupBy(*_KEY).agg(F.count(F.lit(1)).alias("errors"))
-    counted = everyone.join(issues, _KEY, "left").withColumn("errors", F.coalesce("errors", F.lit(0)))
+        counted = _side_by_side(fields).groupBy(*_KEY).agg(
+            F.sum(F.size(_issues(level))).cast("bigint").alias("errors")
+        )
     return counted.select(
         *_KEY, F.lit(level).alias("level"), (F.col("errors") == 0).alias("is_compatible"), "errors"
     )
@@ -223,7 +252,7 @@ def classify_change(fields: DataFrame) -> DataFrame:
 
     A type change breaks even when fields are added at the same time.
     """
-    both = _side_by_side(fields)
+    both = _side_by_side(fields).where("NOT starts")
     old, new = F.col("old"), F.col("new")
     nullable = F.array_contains(type_names(new["type"]), "null") & F.ltrim(new["type"]).startswith("[")
     breaking = (
@@ -312,14 +341,17 @@ def register_versions(registry: DataFrame, candidates: DataFrame, level: str = "
     newest = registry.groupBy("subject").agg(
         F.max("version").alias("_latest"), F.max_by("schema_json", "version").alias("_latest_json")
     )
-    judged = offered.join(known, ["subject", "fingerprint"], "left").join(newest, "subject", "left")
+    judged = written(
+        offered.join(known, ["subject", "fingerprint"], "left").join(newest, "subject", "left"), "candidates"
+    )
 
     pair = judged.where("_first AND _latest IS NOT NULL")
-    fields = schema_fields(
-        pair.select("subject", F.lit(1).alias("version"), F.col("_latest_json").alias("schema_json")).unionByName(
-            pair.select("subject", F.lit(2).alias("version"), "schema_json")
-        )
+    none, one, two = F.lit(None).cast("int"), F.lit(1), F.lit(2)
+    versions = F.array(
+        F.struct(one.alias("version"), none.alias("old_version"), two.alias("next_version"), F.col("_latest_json").alias("schema_json")),
+        F.struct(two.alias("version"), one.alias("old_version"), none.alias("next_version"), F.col("schema_json").alias("schema_json")),
     )
+    fields = schema_fields(pair.select("subject", F.inline(versions)))
     refused = (
         check_compatibility(fields, level)
         .where("version = 2 AND NOT is_compatible")
@@ -332,6 +364,7 @@ def register_versions(registry: DataFrame, candidates: DataFrame, level: str = "
         .when(F.col("_known_id").isNotNull(), "duplicate")
         .otherwise("registered"),
     )
+    decided = written(decided, "decisions")
     fresh = number_rows(
         decided.where("outcome = 'registered'").select("subject", "seq"), [F.col("subject"), F.col("seq")], "_nth"
     )

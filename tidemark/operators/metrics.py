@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import count_if, ratio
 from tidemark.functions.ordered import (
-    last_known_in_series,
     previous_in_series,
     running_sum_in_series,
     time_slice,
@@ -21,6 +20,7 @@ from tidemark.functions.ordered import (
 )
 from tidemark.functions.rows import attach_one_row
 from tidemark.operators.silver import as_timestamp
+from tidemark.session import written
 
 # Latency bucket bounds in seconds, and the reported percentiles.
 LATENCY_BOUNDS = (0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0, 10.0)
@@ -117,8 +117,11 @@ def _ranked_values(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
     taken in value slices whose borders come from a mergeable quantile sketch, so
     the exact result never needs a whole group in one task.
     """
-    counted = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("_value")).agg(
-        F.count(F.lit(1)).alias("_rows")
+    counted = written(
+        df.where(F.col(value).isNotNull())
+        .groupBy(*by, F.col(value).alias("_value"))
+        .agg(F.count(F.lit(1)).alias("_rows")),
+        "value-counts",
     )
     cuts = [i / _SPLITS for i in range(1, _SPLITS)]
     edges = counted.groupBy(*by).agg(
@@ -326,27 +329,6 @@ def rolling_throughput(
     )
 
 
-def consecutive_runs(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], flag: str, slice_by: Column
-) -> DataFrame:
-    """Add ``run_length``: how many rows in a row, this one included, share the flag."""
-    numbered = running_sum_in_series(df, keys, order, {"_pos": F.lit(1)}, slice_by)
-    edges = last_known_in_series(
-        numbered,
-        keys,
-        order,
-        {
-            "_last_true": F.when(F.col(flag), F.col("_pos")),
-            "_last_false": F.when(~F.col(flag), F.col("_pos")),
-        },
-        slice_by,
-    )
-    broken_at = F.when(F.col(flag), F.col("_last_false")).otherwise(F.col("_last_true"))
-    return edges.withColumn("run_length", F.col("_pos") - F.coalesce(broken_at, F.lit(0))).drop(
-        "_pos", "_last_true", "_last_false"
-    )
-
-
 def outcome_ratios(df: DataFrame, by: Sequence[str], failed: Column, duplicate: Column) -> DataFrame:
     """Failure, duplicate and success rates per group (null-safe)."""
     totals = df.groupBy(*by).agg(

@@ -33,10 +33,13 @@ class Plan:
         return self
 
     def add(self, name: str, default=None, kind: str = "string") -> Plan:
-        value = default if isinstance(default, Column) else F.lit(default)
-        if default is None:
-            value = value.cast(kind)
-        return self._then(lambda df: df if name in df.columns else df.withColumn(name, value))
+        def step(df: DataFrame) -> DataFrame:
+            if name in df.columns:
+                return df
+            value = F.lit(default)
+            return df.withColumn(name, value.cast(kind) if default is None else value)
+
+        return self._then(step)
 
     def remove(self, name: str) -> Plan:
         return self._then(lambda df: df.drop(name))

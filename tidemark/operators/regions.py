@@ -12,9 +12,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.ordered import last_known_in_series, number_rows, running_sum_in_series, time_slice
+from tidemark.functions.ordered import consecutive_runs, last_known_in_series, number_rows, time_slice
 from tidemark.functions.rows import attach_one_row
-from tidemark.operators.metrics import consecutive_runs
+from tidemark.session import written
 
 ACTIVE, DEGRADED = "active", "degraded"
 
@@ -365,19 +365,17 @@ def region_health(
         .when(~F.col("passed"), "degraded")
         .when(F.col("run_length") >= ok_n, "healthy")
     )
-    counted = running_sum_in_series(
-        runs.withColumn("_own", own),
+    rate = F.col("seen_true") / F.col("seen")
+    judged = runs.withColumn("_own", own).withColumn(
+        "_error", F.when(F.col("_own") == "healthy", F.lit(0.0)).when(~F.col("passed"), 1.0 - rate)
+    )
+    known = last_known_in_series(
+        written(judged, "region-runs"),
         ["region"],
         order,
-        {"checks_performed": F.lit(1), "checks_passed": F.col("passed").cast("int")},
+        {"_before": F.col("_own"), "_error_before": F.col("_error")},
         slice_by,
     )
-    rate = F.col("checks_passed") / F.col("checks_performed")
-    error = F.when(F.col("_own") == "healthy", F.lit(0.0)).when(~F.col("passed"), 1.0 - rate)
-    counted = counted.withColumn("_error", error)
-    known = last_known_in_series(
-        counted, ["region"], order, {"_before": F.col("_own"), "_error_before": F.col("_error")}, slice_by
-    )
     return known.select(
         *checks.columns,
         F.coalesce("_own", "_before", F.lit("unknown")).alias("status"),

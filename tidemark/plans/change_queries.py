@@ -150,7 +150,7 @@ def _decoded_log(spark, d):
 
 _TRANSACTIONS = f"""tx AS (
   SELECT event_id, operation AS type, xid, lsn, {cl.sql_lsn(f'xid * {20 * cl.LSN_STEP} + {20 * cl.LSN_STEP - 1}')} AS commit_lsn,
-         row_number() OVER (PARTITION BY xid ORDER BY lsn_num) AS position
+         row_number() OVER (PARTITION BY xid ORDER BY lsn_num, event_id) AS position
   FROM uniq WHERE tbl = 'orders' AND xid % 7 <> 0)"""
 
 query(
@@ -376,7 +376,7 @@ query(
     "invalid_transitions",
     _UNIQUE
     + """SELECT event_id, previous_status, status FROM (
-        SELECT *, lag(status) OVER (PARTITION BY id ORDER BY lsn_num) AS previous_status
+        SELECT *, lag(status) OVER (PARTITION BY id ORDER BY lsn_num, event_id) AS previous_status
         FROM uniq WHERE tbl = 'orders' AND operation <> 'DELETE')
       WHERE previous_status IS NOT NULL AND previous_status <> status
         AND previous_status || '>' || status NOT IN ('pending>confirmed', 'confirmed>shipped', 'shipped>delivered')""",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import evolution, migration
 from tidemark.plans import adapters as a
 from tidemark.plans.registry import plain, query
+from tidemark.session import written
 
 _TYPES = ("int", "long", "float", "double", "string", '["null","string"]', '["string","null"]')
 
@@ -66,13 +67,14 @@ _H = a.with_ctes(HISTORY)
 
 
 def fields(spark, d):
-    return evolution.schema_fields(registry(spark, d))
+    """Field rows; the registry is written first, as it would be stored."""
+    return evolution.schema_fields(written(registry(spark, d), "registry"))
 
 
 query(
     "schema_fields",
     _H + """SELECT subject, version, position, field, type, has_default, default_value, doc FROM fields""",
-)(lambda spark, d: plain(fields(spark, d)))
+)(lambda spark, d: plain(fields(spark, d).drop("old_version", "next_version")))
 
 query(
     "schema_diff",
@@ -170,7 +172,7 @@ query(
 
 def _register(spark, d):
     """Versions up to 4 are registered (id = order * 10 + version); later ones are offered in turn."""
-    r = registry(spark, d)
+    r = written(registry(spark, d), "registry")
     known = r.where("version <= 4").withColumn(
         "schema_id", F.substring_index("subject", "-", -1).cast("bigint") * 10 + F.col("version")
     )

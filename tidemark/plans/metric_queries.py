@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.functions.ordered import running_sum_in_series, time_slice
+from tidemark.functions.ordered import consecutive_runs, running_sum_in_series, time_slice
 from tidemark.operators import alerts, metrics
 from tidemark.plans import adapters as a
 from tidemark.plans import change_log as cl
@@ -230,7 +230,7 @@ query(
       SELECT event_id, bad, CAST(row_number() OVER (PARTITION BY shard, bad, grp ORDER BY rn) AS BIGINT) AS run_length FROM g""",
 )(
     lambda spark, d: plain(
-        metrics.consecutive_runs(
+        consecutive_runs(
             events(spark, d).withColumn("bad", F.col("event_type") == "error"), ["shard"], ["ts", "event_id"],
             "bad", time_slice(F.col("ts"), 86400),
         ).select("event_id", "bad", "run_length")

@@ -12,8 +12,16 @@ from tidemark.plans.registry import plain, query
 from tidemark.session import scratch_path
 
 # Keys of the checks only; real keys come from the caller.
-_KEY = F.lit("0123456789abcdef")
-_NEW_KEY = F.lit("fedcba9876543210")
+_KEY_TEXT = "0123456789abcdef"
+_NEW_KEY_TEXT = "fedcba9876543210"
+
+
+def _key():
+    return F.lit(_KEY_TEXT)
+
+
+def _new_key():
+    return F.lit(_NEW_KEY_TEXT)
 
 
 def _customers(spark, d):
@@ -25,7 +33,7 @@ def _customers(spark, d):
 
 
 def _sealed(spark, d):
-    return encryption.encrypt_fields(_customers(spark, d), _KEY, ["EMAIL", "number"], [".*phone"])
+    return encryption.encrypt_fields(_customers(spark, d), _key(), ["EMAIL", "number"], [".*phone"])
 
 
 query(
@@ -41,7 +49,7 @@ query(
             & encryption.is_encrypted(F.col("lines")[0]["number"])
             & ~encryption.is_encrypted(F.col("contact.first_name")),
         ),
-        _KEY,
+        _key(),
     ).select(
         "id", "email", "phone", "contact.home_phone", F.col("lines")[0]["number"].alias("number"),
         F.col("lines")[0]["label"].alias("label"), F.array_join("decrypt_errors", ",").alias("problems"), "was_sealed",
@@ -57,11 +65,11 @@ query(
     lambda spark, d: encryption.decrypt_fields(
         a.customers(spark, d).select(
             "id",
-            F.when(F.col("id") % 3 == 0, encryption.encrypt_value(F.col("email"), _NEW_KEY))
-            .otherwise(encryption.encrypt_value(F.col("email"), _KEY))
+            F.when(F.col("id") % 3 == 0, encryption.encrypt_value(F.col("email"), _new_key()))
+            .otherwise(encryption.encrypt_value(F.col("email"), _key()))
             .alias("email"),
         ),
-        _KEY,
+        _key(),
     ).withColumnRenamed("decrypt_errors", "problems").withColumn("problems", F.array_join("problems", ","))
 )
 
@@ -72,11 +80,11 @@ query(
     lambda spark, d: encryption.decrypt_fields(
         encryption.rotate_key(
             a.customers(spark, d).select(
-                "id", encryption.encrypt_value(F.col("email"), _KEY).alias("email"), F.lit("plain").alias("note")
+                "id", encryption.encrypt_value(F.col("email"), _key()).alias("email"), F.lit("plain").alias("note")
             ),
-            ["email", "note"], _KEY, _NEW_KEY, encryption.KeyInfo("k2"),
+            ["email", "note"], _key(), _new_key(), encryption.KeyInfo("k2"),
         ).drop("rotate_errors"),
-        _NEW_KEY,
+        _new_key(),
     ).select("id", "email", "key_id", "note")
 )
 
