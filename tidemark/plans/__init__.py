@@ -8,6 +8,7 @@ from tidemark.plans import (  # noqa: F401
     region_queries,
     security_queries,
     shop_queries,
+    stream_queries,
 )
 from tidemark.plans.registry import ORACLES, QUERIES
 
