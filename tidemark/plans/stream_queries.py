@@ -13,7 +13,7 @@ from tidemark.plans import region_queries as rq
 from tidemark.plans.change_queries import _FOLD, _FOLD_COLUMNS, _TRANSACTIONS, _decoded_log
 from tidemark.plans.registry import plain, query
 from tidemark.plans.shop_queries import STG_ORDERS
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, written
 from tidemark.sources.events import parse_events, stream_events, valid_events
 from tidemark.streaming import ingest, stateful, windows
 
@@ -21,6 +21,7 @@ from tidemark.streaming import ingest, stateful, windows
 def _in_order(df, spark, label, order, parts=3):
     """Store a table as a few files that arrive in order, and open it as a stream."""
     path = scratch_path(spark, label)
+    df = written(df, f"{label}-rows")
     cuts = df.agg(F.percentile_approx(order, [i / parts for i in range(1, parts)], 1000).alias("c")).first()["c"]
     edges = [None, *cuts, None]
     for low, high in zip(edges, edges[1:]):
@@ -135,7 +136,9 @@ query(
 )(
     lambda spark, d: _collected(
         spark,
-        stateful.live_transactions(_in_order(_decoded_log(spark, d), spark, "log", "xid")),
+        stateful.live_transactions(
+            _in_order(_decoded_log(spark, d).withColumn("ts", F.timestamp_seconds("xid")), spark, "log", "xid")
+        ),
         "stream-transactions",
     )
 )

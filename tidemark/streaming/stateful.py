@@ -1,4 +1,4 @@
-"""Per-key state machines on live streams: transactions, alerts, region health."""
+"""State on live streams: transactions (a stream join), alerts and region health (state machines)."""
 
 from __future__ import annotations
 
@@ -6,54 +6,24 @@ from collections.abc import Iterator, Mapping
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-_DAY_MS = 86_400_000
 
+def live_transactions(log: DataFrame, ts: str = "ts", hold: str = "1 day") -> DataFrame:
+    """Changes of committed transactions from a stream of type, xid, lsn, event_id and a time.
 
-class _Transactions(StatefulProcessor):
-    """Hold the changes of an open transaction; release them at its COMMIT.
-
-    Changes live in a list state that is read as a stream, so a large transaction
-    is never one object. A commit is remembered for a while for changes that
-    arrive after it.
+    Changes wait in the join state until the COMMIT of their transaction arrives,
+    in either order; those of a transaction open for longer than ``hold`` of event
+    time are dropped. Rows stay rows, so a large transaction is never one object.
     """
-
-    def __init__(self, keep_ms: int):
-        self._keep_ms = keep_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._held = handle.getListState("held", "event_id string, type string, lsn string", self._keep_ms)
-        self._commit = handle.getValueState("commit", "lsn string", self._keep_ms)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        commit = self._commit.get()[0] if self._commit.exists() else None
-        for chunk in rows:
-            ends = chunk[chunk["type"] == "COMMIT"]
-            if len(ends):
-                commit = ends["lsn"].iloc[0]
-                self._commit.update((commit,))
-            for change in chunk[chunk["type"].isin(["INSERT", "UPDATE", "DELETE"])].itertuples():
-                self._held.appendValue((change.event_id, change.type, change.lsn))
-        if commit is None or not self._held.exists():
-            return
-        for event_id, kind, lsn in self._held.get():
-            yield pd.DataFrame(
-                {"xid": [key[0]], "event_id": [event_id], "type": [kind], "lsn": [lsn], "commit_lsn": [commit]}
-            )
-        self._held.clear()
-
-    def close(self) -> None:
-        pass
-
-
-def live_transactions(log: DataFrame, keep_ms: int = _DAY_MS) -> DataFrame:
-    """Changes of committed transactions from a stream of type, xid, lsn, event_id."""
-    return log.select("xid", "type", "lsn", "event_id").groupBy("xid").transformWithStateInPandas(
-        statefulProcessor=_Transactions(keep_ms),
-        outputStructType="xid bigint, event_id string, type string, lsn string, commit_lsn string",
-        outputMode="Append",
-        timeMode="ProcessingTime",
+    timed = log.withWatermark(ts, hold)
+    changes = timed.where(F.col("type").isin("INSERT", "UPDATE", "DELETE")).alias("c")
+    commits = timed.where("type = 'COMMIT'").select("xid", "lsn", ts).alias("e")
+    limit = F.expr(f"INTERVAL {hold}")
+    in_time = (F.col(f"e.{ts}") >= F.col(f"c.{ts}") - limit) & (F.col(f"e.{ts}") <= F.col(f"c.{ts}") + limit)
+    return changes.join(commits, (F.col("c.xid") == F.col("e.xid")) & in_time).select(
+        "c.xid", "c.event_id", "c.type", "c.lsn", F.col("e.lsn").alias("commit_lsn")
     )
 
 
