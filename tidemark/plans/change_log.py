@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.lsn import num_to_lsn
 from tidemark.plans import adapters as a
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, spread
 from tidemark.sources.events import parse_events, read_events, uuid_from, valid_events
 
 ORDER_SCHEMA = T.StructType(
@@ -38,7 +38,7 @@ def _json(*columns) -> F.Column:
 
 def order_changes(spark, d) -> DataFrame:
     """One row per change of an order, before it is encoded."""
-    o = a.orders(spark, d)
+    o = spread(a.orders(spark, d))
     steps = F.array_compact(
         F.array(
             F.lit(0),
@@ -78,7 +78,7 @@ def order_changes(spark, d) -> DataFrame:
 
 
 def customer_changes(spark, d) -> DataFrame:
-    c = a.customers(spark, d)
+    c = spread(a.customers(spark, d))
     after = _json("id", "email", "first_name", "last_name", "phone", "created_at", "updated_at")
     return c.select(
         F.lit("customers").alias("table"),
