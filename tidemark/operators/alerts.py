@@ -233,13 +233,14 @@ def rate_by(
 
 
 def quantile_by(
-    samples: DataFrame, name: str, q: float, seconds: int, by: Sequence[str] = (), step: int = 60
+    samples: DataFrame, name: str, q: float, seconds: int, by: Sequence[str] = (), step: int = 60,
+    bounds: DataFrame | None = None,
 ) -> DataFrame:
     """Per tick: quantile of a histogram from the growth of its ``_bucket`` counters."""
     rows = _of(samples, f"{name}_bucket").withColumns({b: F.col("labels")[b] for b in by})
     edge = F.col("labels")["le"]
     rows = rows.withColumn("le", F.when(edge == "+Inf", float("inf")).otherwise(edge.try_cast("double")))
-    grown = metrics.tick_increase(rows, [*by, "le"], step, seconds, ["series", *by, "le"])
+    grown = metrics.tick_increase(rows, [*by, "le"], step, seconds, ["series", *by, "le"], bounds=bounds)
     return metrics.histogram_quantile(grown, q, [*by, "tick"], "le", "increase")
 
 
@@ -307,7 +308,7 @@ def metric_rule_inputs(samples: DataFrame, step: int = 60) -> DataFrame:
         return gauge_by(samples, metric, step=step).select("tick", F.col("value").alias(name))
 
     def quantile(metric: str, q: float, name: str) -> DataFrame:
-        return quantile_by(samples, metric, q, 300, step=step).select("tick", F.col("quantile").alias(name))
+        return quantile_by(samples, metric, q, 300, step=step, bounds=bounds).select("tick", F.col("quantile").alias(name))
 
     parts = [
         gauge("up", "up"),

@@ -9,6 +9,7 @@ from tidemark.operators import alerts, metrics
 from tidemark.plans import adapters as a
 from tidemark.plans import change_log as cl
 from tidemark.plans.registry import plain, query
+from tidemark.session import scratch_path
 from tidemark.sources.events import parse_events
 
 BOUNDS = (1, 5, 10, 25, 50, 100, 250, 500)
@@ -506,3 +507,103 @@ query(
     .groupBy("event_type")
     .agg(F.count(F.lit(1)).alias("events"))
 )
+
+
+# ---- rules and panels over samples --------------------------------------------------
+
+_EDGE_LABELS = {"0.5": 0.5, "1.0": 1.0, "2.5": 2.5, "+Inf": float("inf")}
+_SAMPLES: dict[tuple[str, str], str] = {}
+
+
+def consumer_samples(spark, d):
+    """Counter and histogram samples of a consumer that saw the events; written once, like a stored table."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _SAMPLES:
+        _SAMPLES[key] = scratch_path(spark, "samples")
+        _consumer_samples(spark, d).write.parquet(_SAMPLES[key])
+    return metrics.read_metrics(spark, _SAMPLES[key])
+
+
+def _consumer_samples(spark, d):
+    ev = events(spark, d).select("event_id", "ts", "event_type", "shard", (F.col("value") / 10).alias("seconds"))
+    day = time_slice(F.col("ts"), 86400)
+    order = ["ts", "event_id"]
+
+    def sample(df, name, labels):
+        pairs = [x for k, v in labels.items() for x in (F.lit(k), v)]
+        return df.select("ts", F.lit(name).alias("name"), F.create_map(*pairs).alias("labels"), F.col("n").cast("double").alias("value"))
+
+    total = running_sum_in_series(ev, ["event_type"], order, {"n": F.lit(1)}, day)
+    failed = running_sum_in_series(ev.where("event_type = 'error'"), ["shard"], order, {"n": F.lit(1)}, day)
+    edges = F.array(*[F.struct(F.lit(k).alias("le"), F.lit(v).alias("edge")) for k, v in _EDGE_LABELS.items()])
+    spread_out = ev.select("*", F.inline(edges))
+    bucket = running_sum_in_series(spread_out, ["le"], order, {"n": (F.col("seconds") <= F.col("edge")).cast("int")}, day)
+    return (
+        sample(total, "cdc_consumer_events_total", {"topic": F.col("event_type")})
+        .unionByName(sample(failed, "cdc_consumer_events_failed_total", {"sink": F.concat(F.lit("s"), F.col("shard").cast("string"))}))
+        .unionByName(sample(bucket, "cdc_consumer_processing_duration_seconds_bucket", {"le": F.col("le")}))
+    )
+
+
+# Growth per minute tick; the first sample of a series has none.
+_GROWTH = """s AS (SELECT event_id, ts, event_type, user_id % 4 AS shard, value / 10 AS seconds, epoch_us(ts) // 60000000 + 1 AS k FROM events),
+tot AS (SELECT event_type, k, sum(CASE WHEN nth = 1 THEN 0 ELSE 1 END) AS g FROM (
+  SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS nth FROM s) GROUP BY 1, 2),
+fai AS (SELECT k, sum(CASE WHEN nth = 1 THEN 0 ELSE 1 END) AS g FROM (
+  SELECT *, row_number() OVER (PARTITION BY shard ORDER BY ts, event_id) AS nth FROM s WHERE event_type = 'error') GROUP BY 1),
+edge(le) AS (VALUES (0.5::DOUBLE), (1.0::DOUBLE), (2.5::DOUBLE), ('Infinity'::DOUBLE)),
+buc AS (SELECT le, k, sum(CASE WHEN nth > 1 AND seconds <= le THEN 1 ELSE 0 END) AS g FROM (
+  SELECT s.*, row_number() OVER (ORDER BY ts, event_id) AS nth FROM s), edge GROUP BY 1, 2)"""
+_P = """SELECT k, arg_min(CASE WHEN isinf(le) THEN low ELSE low + (le - low) * (rank - under) / (cum - under) END, le)
+    FILTER (cum >= rank AND cum > 0) AS p FROM (
+  SELECT *, coalesce(lag(le) OVER w, 0) AS low, coalesce(lag(cum) OVER w, 0) AS under,
+    CAST(max(cum) OVER (PARTITION BY k) AS DOUBLE) * CAST({0} AS DOUBLE) AS rank FROM ({1}) WINDOW w AS (PARTITION BY k ORDER BY le)) GROUP BY 1"""
+
+query(
+    "panel_events_by_topic",
+    a.with_ctes(_GROWTH)
+    + """SELECT event_type AS topic, CAST(make_timestamp(k * 60000000) AS VARCHAR) AS tick, CAST(g AS DOUBLE) / 60 AS value FROM tot""",
+)(lambda spark, d: plain(alerts.panel(consumer_samples(spark, d), "events_by_topic")))
+
+query(
+    "panel_processing_p95",
+    a.with_ctes(_GROWTH)
+    + "SELECT CAST(make_timestamp(k * 60000000) AS VARCHAR) AS tick, round(p, 6) AS value FROM ("
+    + _P.format(
+        0.95,
+        "SELECT le, k, sum(g) OVER (PARTITION BY le ORDER BY k RANGE BETWEEN 4 PRECEDING AND CURRENT ROW) AS cum FROM buc",
+    )
+    + ")",
+)(
+    lambda spark, d: plain(
+        alerts.panel(consumer_samples(spark, d), "processing_p95").withColumn("value", F.round("value", 6))
+    )
+)
+
+query(
+    "metric_rule_evals",
+    a.with_ctes(_GROWTH)
+    + """, grid AS (SELECT unnest(generate_series((SELECT min(k) FROM s), (SELECT max(k) FROM s))) AS k),
+      ev_k AS (SELECT grid.k, coalesce(sum(tot.g), 0) AS e FROM grid LEFT JOIN tot USING (k) GROUP BY 1),
+      fa_k AS (SELECT grid.k, coalesce(sum(fai.g), 0) AS f FROM grid LEFT JOIN fai USING (k) GROUP BY 1),
+      bu_k AS (SELECT edge.le, grid.k, coalesce(buc.g, 0) AS g FROM edge CROSS JOIN grid LEFT JOIN buc ON buc.le = edge.le AND buc.k = grid.k),
+      p99 AS ("""
+    + _P.format(
+        0.99,
+        "SELECT le, k, sum(g) OVER (PARTITION BY le ORDER BY k ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS cum FROM bu_k",
+    )
+    + """),
+      w AS (SELECT k, CAST(sum(f) OVER w5 AS DOUBLE) / 300 AS f5, CAST(sum(e) OVER w5 AS DOUBLE) / 300 AS e5, sum(e) OVER w10 AS e10
+        FROM ev_k JOIN fa_k USING (k) WINDOW w5 AS (ORDER BY k ROWS BETWEEN 4 PRECEDING AND CURRENT ROW),
+          w10 AS (ORDER BY k ROWS BETWEEN 9 PRECEDING AND CURRENT ROW))
+      SELECT CAST(make_timestamp(k * 60000000) AS VARCHAR) AS ts, rule FROM (
+        SELECT k, 'CDCHighFailureRate' AS rule FROM w WHERE f5 / nullif(e5, 0) > 0.05
+        UNION ALL SELECT k, 'CDCNoEventsProcessed' FROM w WHERE e10 = 0
+        UNION ALL SELECT k, 'CDCHighProcessingLatency' FROM p99 WHERE p > 1.0)""",
+)(
+    lambda spark, d: plain(
+        alerts.evaluate_rules(alerts.metric_rule_inputs(consumer_samples(spark, d)), alerts.metric_rules())
+        .where("met")
+        .select("ts", "rule")
+    )
+)
