@@ -122,7 +122,9 @@ query(
     + f"""SELECT event_type, count(*) AS "count", CAST(sum(amount) AS DOUBLE) AS "sum",
       CAST((2 * CAST(sum(amount) * 100 AS HUGEINT) * 10000 + count(*)) // (2 * count(*)) AS DOUBLE) / 1e6 AS mean,
       CAST(min(amount) AS DOUBLE) AS "min", CAST(max(amount) AS DOUBLE) AS "max",
-      round(stddev_samp(amount), 6) AS stddev, median(CAST(amount AS DOUBLE)) AS median, {_RANK_COLUMNS}
+      round(stddev_samp(amount), 6) AS stddev,
+      CAST(sum(amount) FILTER (rn IN ((n + 1) // 2, n // 2 + 1)) AS DOUBLE) / count(*) FILTER (rn IN ((n + 1) // 2, n // 2 + 1)) AS median,
+      {_RANK_COLUMNS}
       FROM ranked GROUP BY 1""",
 )(
     lambda spark, d: plain(
@@ -135,7 +137,9 @@ query(
 query(
     "distribution_overall",
     _EV
-    + """SELECT count(*) AS "count", CAST(max(amount) AS DOUBLE) AS "max", median(CAST(amount AS DOUBLE)) AS median FROM ev""",
+    + """SELECT count(*) AS "count", CAST(max(amount) AS DOUBLE) AS "max",
+      CAST(sum(amount) FILTER (rn IN ((n + 1) // 2, n // 2 + 1)) AS DOUBLE) / count(*) FILTER (rn IN ((n + 1) // 2, n // 2 + 1)) AS median
+      FROM (SELECT amount, row_number() OVER (ORDER BY amount) AS rn, count(*) OVER () AS n FROM ev)""",
 )(
     lambda spark, d: plain(
         metrics.distribution(events(spark, d), "amount", percentiles={"p50": 0.5}).select("count", "max", "median")
