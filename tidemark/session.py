@@ -47,6 +47,18 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by ``written`` that nothing reads any more."""
+    for df in tables:
+        new_path = df.sparkSession._jvm.org.apache.hadoop.fs.Path
+        folder = new_path(shared_dir(df.sparkSession)).toUri().getPath()
+        for path in {new_path(f).getParent().toString() for f in df.inputFiles()}:
+            at = new_path(path)
+            if not at.toUri().getPath().startswith(f"{folder}/"):
+                raise ValueError(f"{path} is not below the shared folder")
+            at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Cut lineage by writing ``df`` to the shared folder and reading it back."""
     spark = df.sparkSession
