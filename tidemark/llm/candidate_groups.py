@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
 from tidemark.llm.set_trie import join_group
-from tidemark.session import written
+from tidemark.session import discard, written
 
 BLOCK_IDS = 1 << 19
 _NO_ID = -(1 << 63)
@@ -99,6 +99,7 @@ def resolve(
     )
     more = written(linked(second, sets, num, den), "near")
     final = components(links.unionByName(more))
+    discard(shared, pairs, holders, sets, links, more, labels)
 
     classes = rows.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("first"))
     named = classes.join(final, classes["key"] == final["node"], "left").select(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import written
+from tidemark.session import discard, written
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -36,7 +36,8 @@ def components(links: DataFrame) -> DataFrame:
     )
     state = _state(now)
     while state[0]:
-        now = written(_small_star(_large_star(now)), "links")
+        old, now = now, written(_small_star(_large_star(now)), "links")
+        discard(old)
         state, before = _state(now), state
         if state == before:
             break

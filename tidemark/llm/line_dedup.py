@@ -136,13 +136,16 @@ def _verified(docs: DataFrame, pairs: DataFrame, label: str) -> DataFrame:
         ),
         f"{label}-grams",
     )
+    discard(places, homes)
     both = pairs.join(grams, "key").join(
         grams.select(F.col("key").alias("other"), F.col("grams").alias("others")), "other"
     ).withColumn("same", F.size(F.array_intersect("grams", "others")))
-    return written(
+    matched = written(
         both.where(5 * F.col("same") >= 4 * (F.size("grams") + F.size("others") - F.col("same"))).select("key").distinct(),
         f"{label}-matched",
     )
+    discard(grams)
+    return matched
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
@@ -195,7 +198,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     out = written(
         gone.groupBy("place._d", "place._h").agg(F.collect_set("place.line").alias("lines")), "removed-lines"
     )
-    discard(sets, groups)
+    discard(sets, shared, groups, near, settled, rest, verdict)
     return out
 
 

@@ -29,12 +29,13 @@ from pyspark.sql import functions as F
 from tidemark.llm.candidate_groups import resolve
 from tidemark.llm.shingles import shingle_sets
 from tidemark.llm.tokens import batches
-from tidemark.session import written
+from tidemark.session import discard, written
 
-BUCKETS = 1 << 16
+BUCKETS = 1 << 20
+CHUNK = 1 << 12
 
 
-def _over_texts(docs: DataFrame, width: int, schema: str, rows: Callable, finish: Callable | None = None) -> DataFrame:
+def _over_texts(docs: DataFrame, width: int, schema: str, rows: Callable) -> DataFrame:
     """mapInArrow over (doc_id, text): ``rows(ids, sets)`` yields record batches."""
 
     def run(parts: Iterator) -> Iterator:
@@ -42,8 +43,6 @@ def _over_texts(docs: DataFrame, width: int, schema: str, rows: Callable, finish
             pairs = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
             for some in batches(pairs, lambda r: len(r[1] or ""), 2_000_000):
                 yield from rows([d for d, _ in some], shingle_sets([t for _, t in some], width))
-        if finish is not None:
-            yield from finish()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
         run, schema
@@ -62,46 +61,66 @@ def _bucket(ids: np.ndarray) -> np.ndarray:
 
 
 def describe(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, n, key, text_hash) per document, and (bucket, count) rows with the gram counts of each task."""
-    import pyarrow as pa
-
-    names = ["doc_id", "n", "key", "text_hash", "bucket", "count"]
+    """(doc_id, n, key, text_hash) per document, and (chunk, counts) rows with the gram counts of each task."""
+    names = ["doc_id", "n", "key", "text_hash", "chunk", "counts"]
 
-    def with_state(parts_docs: DataFrame) -> DataFrame:
-        def run(parts: Iterator) -> Iterator:
-            counts = np.zeros(BUCKETS, dtype=np.int64)
-            for batch in parts:
-                pairs = list(zip(*[batch.column(i).to_pylist() for i in range(3)]))
-                for some in batches(pairs, lambda r: len(r[1] or ""), 2_000_000):
-                    sets = shingle_sets([t for _, t, _ in some], width)
-                    counts += np.bincount(_bucket(np.concatenate(sets)), minlength=BUCKETS)
-                    none = pa.nulls(len(some), pa.int64())
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([d for d, _, _ in some], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
-                         pa.array([set_key(s) for s in sets], pa.int64()), pa.array([h for _, _, h in some], pa.int64()),
-                         none, none],
-                        names=names,
-                    )
-            used = np.flatnonzero(counts)
-            none = pa.nulls(len(used), pa.int64())
-            yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(used), pa.array(counts[used])], names=names)
+    def run(parts: Iterator) -> Iterator:
+        import pyarrow as pa
 
-        return parts_docs.mapInArrow(run, ", ".join(f"{n} long" for n in names))
+        counts = np.zeros(BUCKETS, dtype=np.uint32)
+        for batch in parts:
+            rows = list(zip(*[batch.column(i).to_pylist() for i in range(3)]))
+            for some in batches(rows, lambda r: len(r[1] or ""), 2_000_000):
+                ids, texts, hashes = zip(*some)
+                sets = shingle_sets(list(texts), width)
+                counts += np.bincount(_bucket(np.concatenate(sets)), minlength=BUCKETS).astype(np.uint32)
+                columns = (ids, [len(s) for s in sets], [set_key(s) for s in sets], hashes)
+                yield pa.RecordBatch.from_arrays(
+                    [*[pa.array(c, pa.int64()) for c in columns], pa.nulls(len(some), pa.int32()), pa.nulls(len(some), pa.binary())],
+                    names=names,
+                )
+        parts_of = counts.reshape(-1, CHUNK)
+        used = np.flatnonzero(parts_of.any(axis=1))
+        yield pa.RecordBatch.from_arrays(
+            [*[pa.nulls(len(used), pa.int64())] * 4, pa.array(used, pa.int32()),
+             pa.array([parts_of[k].tobytes() for k in used], pa.binary())],
+            names=names,
+        )
 
-    return with_state(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.xxhash64("text")))
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.xxhash64("text")).mapInArrow(
+        run, "doc_id long, n long, key long, text_hash long, chunk int, counts binary"
+    )
 
 
 def rarity(described: DataFrame) -> np.ndarray:
-    """Rank (0 rarest, at most 255) of each bucket, from the counts of the whole table; BUCKETS numbers."""
-    counts = np.zeros(BUCKETS)
-    for row in described.where("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("count").alias("n")).collect():
-        counts[row["bucket"]] = row["n"]
-    return np.minimum(4 * np.log2(1 + counts), 255).astype(np.uint64)
+    """Rank (0 rarest, at most 255) of each bucket from the counts of the whole table; BUCKETS numbers.
+
+    The tasks' counts are added up chunk by chunk in a stream, so what a task holds does not grow with them.
+    """
+
+    def add(parts: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        sums: dict[int, np.ndarray] = {}
+        for batch in parts:
+            for k, c in zip(batch.column(0).to_pylist(), batch.column(1)):
+                sums.setdefault(k, np.zeros(CHUNK))
+                sums[k] += np.frombuffer(c.as_buffer(), dtype=np.uint32)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())],
+            names=["chunk", "counts"],
+        )
+
+    counts = np.zeros((BUCKETS // CHUNK, CHUNK))
+    added = described.where("chunk IS NOT NULL").select("chunk", "counts").repartition("chunk").mapInArrow(add, "chunk int, counts binary")
+    for row in added.collect():
+        counts[row["chunk"]] = np.frombuffer(row["counts"])
+    return np.minimum(4 * np.log2(1 + counts.reshape(-1)), 255).astype(np.uint8)
 
 
 def ordered_ids(hashes: np.ndarray, ranks: np.ndarray) -> np.ndarray:
     """Ids whose numeric order is the global order, rare grams first; sorted."""
-    return np.sort((ranks[_bucket(hashes)] << np.uint64(55)) | (hashes >> np.uint64(9))).view(np.int64)
+    return np.sort((ranks[_bucket(hashes)].astype(np.uint64) << np.uint64(55)) | (hashes >> np.uint64(9))).view(np.int64)
 
 
 def _postings(docs: DataFrame, width: int, ranks, num: int, den: int) -> DataFrame:
@@ -147,10 +166,12 @@ def join_documents(docs: DataFrame, width: int = 5, num: int = 80, den: int = 10
     spark = docs.sparkSession
     described = written(describe(docs, width), "described")
     ranks = spark.sparkContext.broadcast(rarity(described))
-    rows = described.where("bucket IS NULL").select("doc_id", "n", "key", "text_hash")
+    rows = described.where("chunk IS NULL").select("doc_id", "n", "key", "text_hash")
     postings = written(_postings(docs, width, ranks, num, den), "postings")
 
     def sets_of(chosen: DataFrame) -> DataFrame:
         return _sets(chosen, width, ranks)
 
-    return resolve(docs, rows, postings, sets_of, num, den)
+    out = resolve(docs, rows, postings, sets_of, num, den)
+    discard(postings)
+    return out
