@@ -12,6 +12,7 @@ from tidemark.llm.set_trie import join_group
 from tidemark.session import discard, written
 
 BLOCK_IDS = 1 << 19
+FEW = 64
 _NO_ID = -(1 << 63)
 
 
@@ -39,23 +40,50 @@ def _blocks(total):
     return F.greatest(F.lit(1), F.ceil(total / BLOCK_IDS)).cast("int")
 
 
+def _likely_pairs(shared: DataFrame, num: int, den: int) -> DataFrame:
+    """(leader, key, n): pairs of the small groups whose shared tokens leave the threshold in reach.
+
+    A set's first ``p`` ids are posted, up to the id ``w``. Of two sets, all common ids up to the smaller ``w``
+    are posted by both, so the overlap is at most the tokens they share here, plus what they may share in
+    large groups, plus what the set with the smaller ``w`` has beyond its posted ids.
+    """
+    large = shared.where("large").groupBy("key").agg(F.count(F.lit(1)).alias("h"))
+    few = shared.where("NOT large").select("token", "key", "n", "p", "w").join(large, "key", "left").fillna(0, ["h"])
+    mine, theirs = few.alias("x"), few.alias("y")
+    meets = (
+        mine.join(theirs, (F.col("x.token") == F.col("y.token")) & (F.col("x.key") < F.col("y.key"))
+                  & (den * F.least("x.n", "y.n") >= num * F.greatest("x.n", "y.n")))
+        .groupBy(F.col("x.key").alias("leader"), F.col("y.key").alias("key"))
+        .agg(F.count(F.lit(1)).alias("c"), *[F.max(f"{t}.{v}").alias(f"{v}{t}") for t in "xy" for v in "npwh"])
+    )
+    beyond = F.when(F.col("wx") <= F.col("wy"), F.col("nx") - F.col("px")).otherwise(F.col("ny") - F.col("py"))
+    most = F.col("c") + F.least("hx", "hy") + beyond
+    return meets.where((num + den) * most >= num * (F.col("nx") + F.col("ny"))).select("leader", "key", F.col("ny").alias("n"))
+
+
 def resolve(
     docs: DataFrame, rows: DataFrame, postings: DataFrame, sets_of: Callable[[DataFrame], DataFrame], num: int, den: int
 ) -> DataFrame:
     """``rows`` (doc_id, n, key, others) as (doc_id, n_shingles, component_id, others), by their ``postings``.
 
-    Two classes can only be linked if they share a token of ``postings`` (token, key, n).
-    ``sets_of(docs)`` gives (key, ids) with sorted ids. First all classes that share a
-    token are joined around the smallest of them, then, in pairs of blocks, the classes of
-    each token that are still in different components.
+    Two classes can only be linked if they share a token of ``postings`` (token, key, n, p, w): the first ``p`` ids
+    of a set of ``n``, the last of them ``w``. ``sets_of(docs)`` gives (key, ids) with sorted ids. Tokens of at most
+    FEW rows give pairs, which are counted and cut by an upper bound of their overlap. Larger groups are
+    joined around their smallest class, then, in pairs of blocks, those of their classes that are still in
+    different components.
     """
-    shared = postings.groupBy("token").agg(F.min("key").alias("leader"), F.max("key").alias("other")).where("leader < other")
+    sizes = postings.groupBy("token").agg(
+        F.min("key").alias("leader"), F.max("key").alias("other"), F.count(F.lit(1)).alias("k")
+    ).where("leader < other")
     shared = written(
-        postings.join(shared.select("token", "leader"), "token").groupBy("token", "leader", "key").agg(F.max("n").alias("n")),
+        postings.join(sizes.select("token", "leader", (F.col("k") > FEW).alias("large")), "token")
+        .groupBy("token", "leader", "large", "key").agg(F.max("n").alias("n"), F.max("p").alias("p"), F.max("w").alias("w")),
         "shared",
     )
     pairs = written(
-        shared.where("key <> leader").groupBy("leader", "key").agg(F.max("n").alias("n")), "pairs"
+        shared.where("large AND key <> leader").select("leader", "key", "n")
+        .unionByName(_likely_pairs(shared, num, den)).groupBy("leader", "key").agg(F.max("n").alias("n")),
+        "pairs",
     )
     names = pairs.select("key").unionByName(pairs.select(F.col("leader").alias("key"))).distinct()
     known = lambda c: F.coalesce(F.col(c), F.lit(_NO_ID))
@@ -78,7 +106,7 @@ def resolve(
     links = written(linked(first, sets, num, den), "near")
     labels = written(components(links), "labels")
 
-    marked = shared.join(labels, shared["key"] == labels["node"], "left").select(
+    marked = shared.where("large").join(labels, F.col("key") == F.col("node"), "left").select(
         "token", "key", "n", F.coalesce("label", "key").alias("label")
     )
     open_ids = (

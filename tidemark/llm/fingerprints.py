@@ -188,5 +188,7 @@ def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame
 
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = written(base.mapInArrow(describe, "doc_id long, n long, key long, bands array<long>"), "bands")
-    postings = rows.where("key IS NOT NULL").select(F.explode("bands").alias("token"), "key", "n")
+    postings = rows.where("key IS NOT NULL").select(
+        F.explode("bands").alias("token"), "key", "n", F.lit(0).cast("long").alias("p"), F.lit(0).cast("long").alias("w")
+    )
     return resolve(base, rows.select("doc_id", "n", "key"), postings, whole_sets, num, den)

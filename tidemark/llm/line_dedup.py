@@ -7,8 +7,8 @@ number), has Jaccard similarity 0.8 or more with it.
 * Lines with the same set are one key; its first place is an aggregate.
 * Tokens are ordered by rarity: counts over all lines, in 65,536 buckets, put tokens of
   busy buckets last. Any fixed order gives the same result; this one keeps groups small.
-* Prefix filter: only the first ``n - ceil(0.8 n) + 1`` tokens are posted, and only tokens
-  that two keys post go on. Length and positional filters cut the candidates.
+* Prefix filter: only the first ``n - ceil(0.8 n) + 1`` tokens are posted, once per key (so
+  copies of a line weigh nothing), and only tokens that two keys post go on. Length and positional filters cut the candidates.
 * Each key is first compared with the earliest key at its tokens, which settles groups of
   near copies with as many comparisons as keys. Only keys without a match there are
   compared with all earlier keys that share a token.
@@ -20,7 +20,7 @@ deleted when the result's small table of removed lines is written.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.text import let, words
@@ -155,19 +155,26 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     busy, busiest = _busy_buckets(sets)
     # Different sets of fewer than four tokens cannot reach 0.8.
     prefix = F.col("n") - F.floor((4 * F.col("n") + 4) / 5).cast("int") + 1
-    posted = sets.where("n >= 4").select(
-        "key", "n", place.alias("place"),
-        F.posexplode(F.slice(_ordered(F.col("ids"), busy, busiest), 1, prefix)).alias("pos", "token"),
-    )
-    shared = (
-        posted.groupBy("token").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low < high").select("token")
-    )
-    shared = written(shared, "line-tokens")
-    groups = written(
-        posted.join(_if_small(shared), "token").groupBy("token", "key")
-        .agg(F.min("place").alias("place"), F.max("n").alias("n"), F.min("pos").alias("pos")),
-        "line-groups",
-    )
+    repeated = written(
+        sets.groupBy("key").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last").drop("last"),
+        "line-repeats",
+    )
+    once = sets.where("n >= 4").join(_if_small(repeated), "key", "left").where("first IS NULL OR first = struct(_d, _h, line)")
+    posted = once.select(
+        "key", "n", F.posexplode(F.slice(_ordered(F.col("ids"), busy, busiest), 1, prefix)).alias("pos", "token")
+    )
+    alike = Window.partitionBy("token")
+    shared = written(
+        posted.select("*", F.min("key").over(alike).alias("low"), F.max("key").over(alike).alias("high"))
+        .where("low < high").select("token", "key", "n", "pos").distinct(),
+        "line-shared",
+    )
+    keys = written(shared.select("key").distinct(), "line-keys")
+    starts = written(
+        once.select("key", place.alias("place")).join(_if_small(keys), "key", "left_semi").groupBy("key").agg(F.min("place").alias("place")),
+        "line-starts",
+    )
+    groups = written(shared.join(_if_small(starts), "key"), "line-groups")
     first = groups.groupBy("token").agg(F.min(F.struct("place", "key", "n", "pos")).alias("f"))
     near = written(
         groups.join(first, "token")
@@ -187,7 +194,6 @@ def removed_lines(docs: DataFrame) -> DataFrame:
         "line-pairs",
     )
     matched = settled.unionByName(_verified(docs, rest, "line-rest")).distinct().withColumn("matched", F.lit(True))
-    repeated = sets.groupBy("key").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last").drop("last")
     verdict = written(
         repeated.join(matched, "key", "full_outer").select("key", "first", F.coalesce("matched", F.lit(False)).alias("matched")),
         "line-verdicts",
@@ -198,7 +204,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     out = written(
         gone.groupBy("place._d", "place._h").agg(F.collect_set("place.line").alias("lines")), "removed-lines"
     )
-    discard(sets, shared, groups, near, settled, rest, verdict)
+    discard(sets, repeated, shared, keys, starts, groups, near, settled, rest, verdict)
     return out
 
 

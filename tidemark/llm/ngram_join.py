@@ -6,12 +6,14 @@
 2. Two sets can only reach the threshold if they share one of their first
    ``n - ceil(t * n) + 1`` ids. Ids that only one class has there are dropped by an
    aggregate that combines on the map side.
-3. Every class is sent to the group of each leader: the smallest class at each id it
-   shares. Groups are cut into blocks of bounded total size (the leader is in all), and
-   each block is joined through a prefix tree. The links are merged into components.
-4. What is left are ids whose classes lie in different components. Their classes are
+3. Ids of few classes give pairs; the number of ids a pair shares bounds its overlap, and
+   most pairs end there. The others, and the classes of larger groups, are sent to a leader:
+   the smaller of the pair, the smallest of the group. A leader's classes are cut into
+   blocks of bounded total size (the leader is in all), and each block is joined through a
+   prefix tree. The links are merged into components.
+4. What is left are larger groups with classes in different components. Their classes are
    joined in pairs of blocks, so every pair of classes that shares an id meets unless it is
-   connected already, and nothing emits all pairs of a group.
+   connected already, and nothing emits all pairs of a large group.
 
 Only connecting links are kept, which is what components need. Texts are read three
 times; sets leave a task only for classes that share an id.
@@ -127,19 +129,17 @@ def _postings(docs: DataFrame, width: int, ranks, num: int, den: int) -> DataFra
     import pyarrow as pa
 
     def rows(_, sets):
-        tokens, keys, sizes = [], [], []
+        columns: list[list] = [[], [], [], [], []]
         for s in sets:
             if len(s):
                 first = len(s) - -(-num * len(s) // den) + 1
-                tokens.append(ordered_ids(s, ranks.value)[:first])
-                keys.append(np.full(first, set_key(s), dtype=np.int64))
-                sizes.append(np.full(first, len(s), dtype=np.int64))
-        if tokens:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(c)) for c in (tokens, keys, sizes)], names=["token", "key", "n"]
-            )
-
-    return _over_texts(docs, width, "token long, key long, n long", rows)
+                ids = ordered_ids(s, ranks.value)[:first]
+                for column, v in zip(columns, (ids, set_key(s), len(s), first, ids[-1])):
+                    column.append(v if column is columns[0] else np.full(first, v, dtype=np.int64))
+        if columns[0]:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], names=["token", "key", "n", "p", "w"])
+
+    return _over_texts(docs, width, "token long, key long, n long, p long, w long", rows)
 
 
 def _sets(docs: DataFrame, width: int, ranks) -> DataFrame:
