@@ -12,7 +12,7 @@ number), has Jaccard similarity 0.8 or more with it.
 * Each key is first compared with the earliest key at its tokens, which settles groups of
   near copies with as many comparisons as keys. Only keys without a match there are
   compared with all earlier keys that share a token.
-* Candidates are verified on the words of the lines, not on hashes.
+* Candidates are verified on the whole sets of 64-bit shingle hashes of their lines.
 
 Built-in functions only. Hash sets of lines go through the shared folder and are
 deleted when the result's small table of removed lines is written.
@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.rows import evaluated_once
 from tidemark.llm.text import let, words
 from tidemark.session import discard, written
 
@@ -33,17 +34,6 @@ SMALL_ROWS = 500_000
 _NO_ID = -(1 << 63)
 
 
-def _shingled(ws: Column) -> Column:
-    """Distinct shingles of a word array, as text."""
-    n = F.size(ws)
-    zipped = F.arrays_zip(*[F.slice(ws, j + 1, F.greatest(n - WIDTH + 1, F.lit(0))).alias(f"w{j}") for j in range(WIDTH)])
-    return (
-        F.when(n == 0, F.array().cast("array<string>"))
-        .when(n < WIDTH, F.array(F.array_join(ws, " ")))
-        .otherwise(F.array_distinct(F.transform(zipped, lambda x: F.concat_ws(" ", *[x[f"w{j}"] for j in range(WIDTH)]))))
-    )
-
-
 def _hashed(ws: Column) -> Column:
     """Distinct 64-bit hashes of the shingles of a word array, sorted."""
     n = F.size(ws)
@@ -130,19 +120,15 @@ def _verified(docs: DataFrame, pairs: DataFrame, label: str) -> DataFrame:
     found = _named(docs.select("doc_id", "text")).join(_if_small(homes), ["_d", "_h"], "left_semi").select(
         "_d", "_h", F.posexplode(_lines(F.col("text"))).alias("line", "t")
     )
-    grams = written(
-        found.join(_if_small(places), ["_d", "_h", "line"]).dropDuplicates(["key"]).select(
-            "key", let(words(F.lower("t")), _shingled).alias("grams")
-        ),
-        f"{label}-grams",
-    )
+    texts = found.join(_if_small(places), ["_d", "_h", "line"]).select("key", "t").dropDuplicates(["key"])
+    grams = written(texts.select("key", let(words(F.lower("t")), _hashed).alias("a")), f"{label}-grams")
     discard(places, homes)
-    both = pairs.join(grams, "key").join(
-        grams.select(F.col("key").alias("other"), F.col("grams").alias("others")), "other"
-    ).withColumn("same", F.size(F.array_intersect("grams", "others")))
+    both = evaluated_once(
+        pairs.select("key", "other").join(grams, "key").join(grams.select(F.col("key").alias("other"), F.col("a").alias("b")), "other"),
+        same=F.size(F.array_intersect("a", "b")),
+    )
     matched = written(
-        both.where(5 * F.col("same") >= 4 * (F.size("grams") + F.size("others") - F.col("same"))).select("key").distinct(),
-        f"{label}-matched",
+        both.where(5 * F.col("same") >= 4 * (F.size("a") + F.size("b") - F.col("same"))).select("key").distinct(), f"{label}-matched"
     )
     discard(grams)
     return matched
@@ -152,11 +138,12 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     """(_d, _h, lines): the numbers of the lines to remove, per document that loses any."""
     sets = written(line_sets(docs), "line-sets")
     place = F.struct("_d", "_h", "line")
+    where = written(sets.select("key", place.alias("place")), "line-places")
     busy, busiest = _busy_buckets(sets)
     # Different sets of fewer than four tokens cannot reach 0.8.
     prefix = F.col("n") - F.floor((4 * F.col("n") + 4) / 5).cast("int") + 1
     repeated = written(
-        sets.groupBy("key").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last").drop("last"),
+        where.groupBy("key").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first < last").drop("last"),
         "line-repeats",
     )
     once = sets.where("n >= 4").join(_if_small(repeated), "key", "left").where("first IS NULL OR first = struct(_d, _h, line)")
@@ -169,9 +156,10 @@ def removed_lines(docs: DataFrame) -> DataFrame:
         .where("low < high").select("token", "key", "n", "pos").distinct(),
         "line-shared",
     )
+    discard(sets)
     keys = written(shared.select("key").distinct(), "line-keys")
     starts = written(
-        once.select("key", place.alias("place")).join(_if_small(keys), "key", "left_semi").groupBy("key").agg(F.min("place").alias("place")),
+        where.join(_if_small(keys), "key", "left_semi").groupBy("key").agg(F.min("place").alias("place")),
         "line-starts",
     )
     groups = written(shared.join(_if_small(starts), "key"), "line-groups")
@@ -198,13 +186,13 @@ def removed_lines(docs: DataFrame) -> DataFrame:
         repeated.join(matched, "key", "full_outer").select("key", "first", F.coalesce("matched", F.lit(False)).alias("matched")),
         "line-verdicts",
     )
-    gone = sets.select("key", place.alias("place")).join(_if_small(verdict), "key").where(
+    gone = where.join(_if_small(verdict), "key").where(
         "matched OR (first IS NOT NULL AND place <> first)"
     )
     out = written(
         gone.groupBy("place._d", "place._h").agg(F.collect_set("place.line").alias("lines")), "removed-lines"
     )
-    discard(sets, repeated, shared, keys, starts, groups, near, settled, rest, verdict)
+    discard(where, repeated, shared, keys, starts, groups, near, settled, rest, verdict)
     return out
 
 
