@@ -53,7 +53,7 @@ CLASSES = (
     ),
 )
 #: Suppressed: values that are known samples or series, and values announced as something else.
-ALLOWED_VALUES = r"(?i)example|sample|dummy|placeholder|changeme|your[_-]|x{6,}|0{6,}|0123456|1234567|abcdefg"
+ALLOWED_VALUES = r"(?i)^(?:sha(?:1|224|256|384|512)|md5)[-_]|example|sample|dummy|placeholder|changeme|your[_-]|x{6,}|0{6,}|0123456|1234567|abcdefg"
 ALLOWED_BEFORE = r"(?i)(?:sha-?(?:1|224|256|384|512)|md5|crc32|commit|checksum|digest|integrity|uuid|guid|https?:/)[\x20:=_\"'/-]*[^\x20]{0,24}$"
 
 
