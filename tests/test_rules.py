@@ -75,6 +75,20 @@ def test_dead_letter_keeps_the_original_event(spark):
     assert bytes(again.value).decode() == text and again.retry_count == 1
 
 
+def test_unreadable_messages_are_kept_byte_for_byte(spark):
+    for text in ("{broken" + "x" * 700, "name=1"):
+        entries = stages.rejected(stages.stage_events(raw(spark, [text])))
+        assert bytes(dlq.replay_dlq(entries, ["deser_error"]).first().value).decode() == text
+
+
+def test_only_one_json_value_is_an_event(spark):
+    one = event(1)
+    for text in (one + " trailing", one + one, one + "," + one, one + "]", one.replace('"', "'")):
+        assert parse_events(raw(spark, [text])).first().deser_error is not None, text
+    listed = event(1, after={"id": 1, "list": [{"a": 1}, {"b": "} x"}]})
+    assert parse_events(raw(spark, [listed])).first().deser_error is None
+
+
 def test_quality_message_counts_the_rest(spark):
     df = spark.range(1).select(
         F.array(*[F.struct(F.lit(f"m{i}").alias("message")) for i in range(5)]).alias("failures")

@@ -41,12 +41,12 @@ def query_audit(
     event_type: str | None = None,
     user: str | None = None,
     level: str | None = None,
-    limit: int | None = 100,
+    limit: int | None = None,
     tie_break: Sequence[str] = ("event_id",),
 ) -> DataFrame:
     """All given conditions, both times included, newest first.
 
-    The limit is the feature of this report: Spark keeps ``limit`` rows per task.
+    With ``limit`` only that many rows are kept, of which Spark holds as many per task.
     """
     found = events
     if start is not None:

@@ -74,10 +74,11 @@ _DIVISOR = "CASE o_custkey % 4 WHEN 0 THEN 25000 WHEN 1 THEN 5000 ELSE 500 END"
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders").where("o_custkey % 10 <> 0")
+    o = table(spark, sf_dir, "orders")
     return o.selectExpr(
         "o_orderkey AS id",
-        "o_custkey AS customer_id",
+        # Every tenth customer never orders; the next one has their orders.
+        "CASE WHEN o_custkey % 10 = 0 THEN o_custkey + 1 ELSE o_custkey END AS customer_id",
         """CASE WHEN o_orderkey % 11 = 0 THEN 'cancelled'
                 WHEN o_orderstatus = 'P' THEN 'pending'
                 WHEN o_orderstatus = 'O' THEN 'shipped' ELSE 'delivered' END AS status""",
@@ -90,7 +91,7 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORDERS = f"""shop_orders AS (
-  SELECT o_orderkey AS id, o_custkey AS customer_id,
+  SELECT o_orderkey AS id, CASE WHEN o_custkey % 10 = 0 THEN o_custkey + 1 ELSE o_custkey END AS customer_id,
          CASE WHEN o_orderkey % 11 = 0 THEN 'cancelled'
               WHEN o_orderstatus = 'P' THEN 'pending'
               WHEN o_orderstatus = 'O' THEN 'shipped' ELSE 'delivered' END AS status,
@@ -98,7 +99,7 @@ ORDERS = f"""shop_orders AS (
          CASE WHEN o_orderkey % 5 <> 0 THEN ' ' || CAST(o_orderkey AS VARCHAR) || ' Main Street ' END AS shipping_address,
          o_orderdate AS created_at,
          o_orderdate + CAST(o_orderkey % 96 AS INTEGER) * INTERVAL 1 HOUR AS updated_at
-  FROM orders WHERE o_custkey % 10 <> 0)"""
+  FROM orders)"""
 
 
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:

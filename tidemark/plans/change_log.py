@@ -141,7 +141,7 @@ def raw_log(spark, d) -> DataFrame:
     text = (
         F.when(damage.isNull(), good)
         .when(damage == 0, "")
-        .when(damage == 1, "{invalid json")
+        .when(damage == 1, F.concat(F.lit("{invalid json"), F.repeat(F.lit("x"), 600)))
         .when(damage == 2, envelope(no_id, operation, source))
         .when(damage == 3, envelope(event_id, F.lit("UPSERT"), source))
         .when(damage == 4, '"just text"')

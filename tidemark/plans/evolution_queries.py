@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import evolution, migration
@@ -15,22 +16,24 @@ _TYPES = ("int", "long", "float", "double", "string", '["null","string"]', '["st
 def registry(spark, d):
     """Orders are subjects, line numbers versions; each schema has three of five fields."""
     li = a.table(spark, d, "lineitem")
-    # Repeated (order, line number) pairs keep one row, chosen by a total order.
-    one = li.groupBy("l_orderkey", "l_linenumber").agg(
-        F.min(F.struct("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")).alias("r")
+    # Versions count the items of an order over all columns that matter, so repeated line numbers stay apart.
+    parts = ("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
+    one = li.select(
+        "l_orderkey", F.struct(*parts).alias("r"),
+        F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", *parts)).alias("version"),
     )
     types = F.array(*[F.lit(t if t.startswith("[") else f'"{t}"') for t in _TYPES])
     fields = []
     for i in range(3):
         kind = F.element_at(types, ((F.col("r.l_suppkey") + i) % len(_TYPES) + 1).cast("int"))
         default = F.when((F.col("r.l_quantity").cast("int") + i) % 3 == 0, ',"default":0').otherwise("")
-        doc = F.concat(F.lit(',"doc":"d'), (F.col("l_linenumber") % 2).cast("string"), F.lit('"')) if i == 0 else F.lit("")
+        doc = F.concat(F.lit(',"doc":"d'), (F.col("version") % 2).cast("string"), F.lit('"')) if i == 0 else F.lit("")
         name = ((F.col("r.l_partkey") + 2 * i) % 5).cast("string")
         fields.append(F.concat(F.lit('{"name":"f'), name, F.lit('","type":'), kind, default, doc, F.lit("}")))
     body = F.concat(F.lit('{"type":"record","name":"row","fields":['), F.concat_ws(",", *fields), F.lit("]}"))
     return one.select(
         F.concat(F.lit("order-"), F.col("l_orderkey").cast("string")).alias("subject"),
-        F.col("l_linenumber").cast("bigint").alias("version"),
+        F.col("version").cast("bigint").alias("version"),
         body.alias("schema_json"),
     )
 
@@ -38,10 +41,9 @@ def registry(spark, d):
 _TYPE_ROWS = ", ".join(f"({i}, '{t}')" for i, t in enumerate(_TYPES))
 
 HISTORY = f"""reg AS (
-  SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS version, r.l_partkey AS pk, r.l_suppkey AS sk, CAST(r.l_quantity AS INTEGER) AS q,
-         'order-' || l_orderkey AS subject
-  FROM (SELECT l_orderkey, l_linenumber, min({{'l_partkey': l_partkey, 'l_suppkey': l_suppkey, 'l_quantity': l_quantity,
-        'l_extendedprice': l_extendedprice}}) AS r FROM lineitem GROUP BY 1, 2)),
+  SELECT l_orderkey, l_partkey AS pk, l_suppkey AS sk, CAST(l_quantity AS INTEGER) AS q, 'order-' || l_orderkey AS subject,
+         row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS version
+  FROM lineitem),
 fields AS (
   SELECT subject, version, i AS position, 'f' || (pk + 2 * i) % 5 AS field, t.type, (q + i) % 3 = 0 AS has_default,
          CASE WHEN (q + i) % 3 = 0 THEN '0' END AS default_value, CASE WHEN i = 0 THEN 'd' || version % 2 END AS doc,

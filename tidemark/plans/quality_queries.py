@@ -239,8 +239,7 @@ query(
     _RUN
     + """SELECT topic || ':' || CAST(part AS VARCHAR) AS dlq_key, off AS original_offset, reason AS failure_reason,
       message AS error_message, CAST(0 AS BIGINT) AS retry_count,
-      CASE damage WHEN 0 THEN '{"raw_message":""}' WHEN 1 THEN '{"raw_message":"{invalid json"}'
-        WHEN 7 THEN '{"raw_message":"<binary 6 bytes>"}' WHEN 4 THEN '"just text"' END AS short_event,
+      CASE damage WHEN 0 THEN '{"raw_message":""}' WHEN 7 THEN '{"raw_message":"<binary 6 bytes>"}' WHEN 4 THEN '"just text"' END AS short_event,
       CASE WHEN reason = 'quality_failure' THEN CAST(len(rules) AS VARCHAR) END AS failure_count
       FROM staged WHERE reason IS NOT NULL""",
 )(
@@ -261,9 +260,10 @@ query(
 query(
     "dlq_replay",
     _RUN
-    + """SELECT topic, off AS "offset", CAST(1 AS BIGINT) AS retry_count, {0} AS event_id
+    + """SELECT topic, off AS "offset", CAST(1 AS BIGINT) AS retry_count, {0} AS event_id, CAST(NULL AS VARCHAR) AS body_md5
       FROM staged WHERE reason = 'quality_failure' AND damage IS DISTINCT FROM 3 AND damage IS DISTINCT FROM 5
-      UNION ALL SELECT topic, off, 1, NULL FROM staged WHERE damage IN (0, 1, 7, 3, 5)""".replace(
+      UNION ALL SELECT topic, off, 1, NULL, CASE damage WHEN 0 THEN md5('') WHEN 1 THEN md5('{invalid json' || repeat('x', 600))
+        WHEN 7 THEN md5(unhex('00FF807FABCD')) END FROM staged WHERE damage IN (0, 1, 7, 3, 5)""".replace(
         "{0}", "coalesce(sent_id, " + cl._uuid("topic || ':' || CAST(part AS VARCHAR) || ':' || CAST(off AS VARCHAR)") + ")"
     ),
 )(
@@ -278,7 +278,8 @@ def _replayed(spark, d):
     usable = F.col("deser_error").isNull() & F.col("schema_error").isNull()
     return plain(
         parsed.select(
-            "topic", "offset", F.lit(1).alias("retry_count"), F.when(usable, F.col("event_id")).alias("event_id")
+            "topic", "offset", F.lit(1).alias("retry_count"), F.when(usable, F.col("event_id")).alias("event_id"),
+            F.when(F.col("deser_error").isNotNull(), F.md5("raw_value")).alias("body_md5"),
         )
     )
 

@@ -102,7 +102,7 @@ def parse_events(raw: DataFrame, value_col: str = "value", now: Column | None =
     """Raw messages to envelope columns plus ``deser_error`` and ``schema_error``.
 
     Null values are skipped. ``deser_error`` is set for bytes that are not UTF-8,
-    empty messages and broken JSON; ``schema_error`` for valid JSON that is not a
+    empty messages, broken JSON and text around the one JSON value; ``schema_error`` for valid JSON that is not a
     change event. A missing event id is derived from the message position, so a
     retried task gives the same id; a missing time becomes ``now``.
     Images may be objects or JSON text holding an object.
@@ -114,12 +114,21 @@ def parse_events(raw: DataFrame, value_col: str = "value", now: Column | None =
     rows = rows.withColumn("raw_text", F.when(readable, as_text))
     rows = evaluated_once(
         rows,
-        _wire=F.from_json("raw_text", _WIRE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}),
+        _wire=F.from_json("raw_text", _WIRE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt", "allowSingleQuotes": "false"}),
     )
     wire = F.col("_wire")
     empty = F.length(F.trim("raw_text")) == 0
     suspicious = wire.isNull() | wire["_corrupt"].isNotNull()
-    broken = F.when(suspicious, F.try_parse_json("raw_text").isNull()).otherwise(False)
+    # The JSON readers stop after the first value. Where something may follow it, the text must also
+    # parse as the only element of a list and as the only value of an object.
+    body = F.rtrim("raw_text")
+    more = ~body.endswith("}") | body.rlike(r"\}\s*(?:[^\s,}]|,\s*\{)")
+    alone = F.try_parse_json(F.concat(F.lit("["), body, F.lit("]"))).isNotNull() & F.try_parse_json(
+        F.concat(F.lit('{"_":'), body, F.lit("}"))
+    ).isNotNull()
+    broken = F.when(suspicious, F.try_parse_json("raw_text").isNull()).otherwise(False) | F.when(
+        more, ~alone
+    ).otherwise(False)
     deser_error = (
         F.when(F.col("raw_text").isNull(), "invalid UTF-8")
         .when(empty, "empty message")
@@ -147,6 +156,7 @@ def parse_events(raw: DataFrame, value_col: str = "value", now: Column | None =
     return rows.select(
         *place,
         "raw_text",
+        F.col(value_col).cast("binary").alias("raw_value"),
         F.octet_length(F.col(value_col)).alias("raw_size_bytes"),
         "deser_error",
         F.when(F.col("deser_error").isNull(), schema_error).alias("schema_error"),
@@ -176,7 +186,7 @@ def parse_events(raw: DataFrame, value_col: str = "value", now: Column | None =
 def valid_events(parsed: DataFrame) -> DataFrame:
     """Parsed events without errors."""
     return parsed.where(F.col("deser_error").isNull() & F.col("schema_error").isNull()).drop(
-        "deser_error", "schema_error", "wire_event_id", "raw_text", "raw_size_bytes"
+        "deser_error", "schema_error", "wire_event_id", "raw_text", "raw_value", "raw_size_bytes"
     )
 
 
