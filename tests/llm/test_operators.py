@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from tidemark.llm import (
     components, fingerprints, license_scan, line_dedup, mixing, ngram_join, packing, pii, quality_rules, secret_scan,
-    set_trie, shingles, token_counts,
+    set_trie, shingles, token_counts, tokens,
 )
 from tokenizers import Tokenizer
 
@@ -388,3 +388,18 @@ def test_empty_tables(empty, spark):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     assert set(run_all(empty, labels).values()) == {0}
     assert packing.pack(empty).count() == 0
+
+
+@pytest.mark.parametrize("plain", [False, True])
+def test_word_encoder_gives_the_ids_of_whole_texts(small, plain):
+    odd = [
+        "a<|endoftext|>b don't DON'T's x's3 'll", "<|startoftext|> \x01 a\x01b \x01", "Σας é ́ 中文,字 ½ x\x1cy \x85 z w",
+        "a1b2 (x)_[y]--3.14%$ \x00 \x7f", "", "  \n", "x" * 5_000,
+    ]
+    values = odd + list(texts(small).values())
+    model = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    model.encode_special_tokens = plain
+    want = [np.asarray(e.ids, "<u4").tobytes() for e in model.encode_batch(values, add_special_tokens=False)]
+    encoder = tokens.WordEncoder(tokens.tokenizer_path(None), plain, known=500)
+    assert [ids for some in tokens.batches(values, len, 5_000) for ids in encoder.encode(some)] == want
+    assert encoder.encode([None]) == [b""]

@@ -2,39 +2,97 @@
 
 from __future__ import annotations
 
+import json
 import os
+import re
+from collections.abc import Callable
+
+# Fixed value: how a tokenizer file says that runs of letters, digits and runs of other characters are encoded apart.
+_APART = r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# Printable ASCII without the apostrophe, which such files treat in a way of its own.
+_PLAIN = re.compile(rb"[!-&(-~]+")
+_PARTS = re.compile(rb"[A-Za-z]+|[0-9]|[^A-Za-z0-9]+")
+_MARK = "\x01"
+
+
+class Recent:
+    """Values by key, of which about the last ``limit`` to twice as many used are kept."""
+
+    def __init__(self, limit: int):
+        self._limit, self._new, self._old = limit, {}, {}
+
+    def of(self, keys: set[bytes], make: Callable[[list[bytes]], list[bytes]]) -> dict[bytes, bytes]:
+        """A table with all ``keys``; ``make`` gives the values of unknown ones."""
+        missing = keys - self._new.keys()
+        if len(self._new) + len(missing) > self._limit:
+            self._old, self._new, missing = self._new, {}, keys
+        old = self._old
+        self._new.update((k, old[k]) for k in missing & old.keys())
+        unknown = [k for k in missing if k not in old]
+        self._new.update(zip(unknown, make(unknown)))
+        return self._new
 
 
 class WordEncoder:
     """Encodes texts with a ``tokenizers`` file that never joins text across white space.
 
     Texts are cut at ASCII white space and each piece is encoded once, then looked up;
-    for a tokenizer that drops white space this gives the ids of the whole text. The
-    table of known pieces is emptied when it holds ``known`` entries, so memory is bounded.
+    for a tokenizer that drops white space this gives the ids of the whole text. Where the
+    file encodes letters, digits and other characters apart, a plain new word is put together
+    from such parts, of which far fewer differ. New pieces are encoded many at a time, with a
+    mark between them. A table of known words or parts that holds ``known`` entries becomes
+    the older one, from which what comes up again is taken over, and a new one is begun; so
+    memory is bounded and common words stay.
     """
 
-    def __init__(self, path: str, plain_specials: bool = False, known: int = 300_000):
+    def __init__(self, path: str, plain_specials: bool = False, known: int = 500_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self._model = Tokenizer.from_file(path)
         self._model.encode_special_tokens = plain_specials
-        self._known: dict[bytes, bytes] = {}
-        self._limit = known
+        with open(path, encoding="utf-8") as f:
+            rules = json.load(f)
+        cut = [r.get("pattern", {}).get("Regex", "") for r in (rules["pre_tokenizer"] or {}).get("pretokenizers", [])]
+        self._apart = any(c.endswith(_APART) for c in cut)
+        self._special = re.compile(b"|".join(re.escape(t["content"].encode()) for t in rules["added_tokens"]) or rb"(?!)")
+        mark = self._model.encode(f" {_MARK} ", add_special_tokens=False).ids
+        self._mark = mark[0] if len(mark) == 1 else None
+        self._words, self._parts = Recent(known), Recent(known)
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text; a null text has none."""
+    def _encoded(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of each piece; pieces that hold the mark, or a file without one, are encoded one by one."""
         import numpy as np
 
-        known, cut = self._known, [(t or "").encode().split() for t in texts]
-        new = list({w for ws in cut for w in ws if w not in known})
-        if len(known) + len(new) > self._limit:
-            known.clear()
-            new = list({w for ws in cut for w in ws})
-        for at in range(0, len(new), 10_000):
-            some = new[at : at + 10_000]
-            for w, e in zip(some, self._model.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)):
-                known[w] = np.asarray(e.ids, dtype="<u4").tobytes()
+        if self._mark is not None and b"\x01" not in b"".join(pieces):
+            text = f" {_MARK} ".join(p.decode() for p in pieces)
+            ids = np.asarray(self._model.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+            at = np.flatnonzero(ids == self._mark)
+            if len(at) == len(pieces) - 1:
+                raw, ends = ids.tobytes(), [*(4 * at).tolist(), 4 * len(ids)]
+                return [raw[a:b] for a, b in zip([0, *(4 * at + 4).tolist()], ends)]
+        found = self._model.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)
+        return [np.asarray(e.ids, dtype="<u4").tobytes() for e in found]
+
+    def _parts_of(self, word: bytes) -> list[bytes]:
+        if word.isalpha():
+            return [word]
+        if self._apart and _PLAIN.fullmatch(word) and not self._special.search(word):
+            return _PARTS.findall(word)
+        return [word]
+
+    def _encode_words(self, words: list[bytes]) -> list[bytes]:
+        made = [self._parts_of(w) for w in words]
+        parts = self._parts.of({p for ps in made for p in ps}, self._encode_parts)
+        return [b"".join([parts[p] for p in ps]) for ps in made]
+
+    def _encode_parts(self, parts: list[bytes]) -> list[bytes]:
+        return [ids for some in batches(parts, len, 20_000) for ids in self._encoded(some)]
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text; a null text has none."""
+        cut = [(t or "").encode().split() for t in texts]
+        known = self._words.of({w for ws in cut for w in ws}, self._encode_words)
         return [b"".join([known[w] for w in ws]) for ws in cut]
 
 
