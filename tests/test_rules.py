@@ -174,11 +174,11 @@ def test_late_change_does_not_undo_a_newer_one(spark):
 
 def test_replica_batch_is_idempotent(spark, tmp_path):
     path = str(tmp_path / "replica")
-    replica.create_replica(spark, path, SCHEMA)
+    replica.create_replica(spark, path, SCHEMA, buckets=4)
     one = log(spark, *[(i, "INSERT", None, f'{{"id":{i},"a":"v"}}') for i in range(20)])
     two = log(spark, (30, "UPDATE", None, '{"id":3,"b":5}'), (31, "DELETE", '{"id":4}', None))
     for n, batch in ((0, one), (1, two), (1, two)):
-        replica.apply_batch(spark, path, batch, n, SCHEMA, buckets=4)
+        replica.apply_batch(spark, path, batch, n, SCHEMA)
     rows = {r.id: (r.a, r.b) for r in replica.read_replica(spark, path, SCHEMA).collect()}
     assert len(rows) == 19 and rows[3] == ("v", 5) and 4 not in rows
 

@@ -83,32 +83,50 @@ def encrypt_fields(
     )
 
 
+def _opened(text: Column, key: Column) -> Column:
+    """Plain text of a ciphertext; one that cannot be opened stays as it is."""
+    return F.coalesce(decrypt_value(text, key), text)
+
+
 def _decrypt_nested(col: Column, kind: T.DataType, key: Column) -> Column:
     if isinstance(kind, T.StringType):
-        return decrypt_value(col, key)
+        return _opened(col, key)
     if isinstance(kind, T.StructType):
         rebuilt = F.struct(*[_decrypt_nested(col[f.name], f.dataType, key).alias(f.name) for f in kind.fields])
         return F.when(col.isNotNull(), rebuilt)
-    if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType):
+    if isinstance(kind, T.ArrayType):
         return F.transform(col, lambda e: _decrypt_nested(e, kind.elementType, key))
     return col
 
 
+def _closed(col: Column, kind: T.DataType, path: str) -> list[tuple[str, Column]]:
+    """Paths of the text fields below ``col``, with whether a ciphertext is left there."""
+    if isinstance(kind, T.StringType):
+        return [(path, is_encrypted(col))]
+    if isinstance(kind, T.StructType):
+        return [x for f in kind.fields for x in _closed(col[f.name], f.dataType, f"{path}.{f.name}")]
+    if isinstance(kind, T.ArrayType):
+        below = _closed(F.lit(None).cast(kind.elementType), kind.elementType, path)
+
+        def left(n: int) -> Column:
+            return F.coalesce(F.exists(col, lambda e: _closed(e, kind.elementType, path)[n][1]), F.lit(False))
+
+        return [(name, left(n)) for n, (name, _) in enumerate(below)]
+    return []
+
+
 def decrypt_fields(df: DataFrame, key: Column) -> DataFrame:
-    """Open every ciphertext; ``decrypt_errors`` names top-level columns that stayed closed."""
-    opened = [
-        _decrypt_nested(F.col(f"`{f.name}`"), f.dataType, key).alias(f.name) for f in df.schema.fields
-    ]
-    closed = [
-        F.when(
-            is_encrypted(F.col(f"`{f.name}`")) & decrypt_value(F.col(f"`{f.name}`"), key).isNull(),
-            F.lit(f.name),
-        )
-        for f in df.schema.fields
-        if isinstance(f.dataType, T.StringType)
-    ]
-    errors = F.array_compact(F.array(*closed)) if closed else F.array().cast("array<string>")
-    return df.select(*opened, errors.alias("decrypt_errors"))
+    """Open every ciphertext in text columns, structs and arrays.
+
+    One that the key cannot open stays; ``decrypt_errors`` has its path (``contact.phone``,
+    without positions in arrays).
+    """
+    opened = df.select(
+        *[_decrypt_nested(F.col(f"`{f.name}`"), f.dataType, key).alias(f.name) for f in df.schema.fields]
+    )
+    paths = [x for f in df.schema.fields for x in _closed(F.col(f"`{f.name}`"), f.dataType, f.name)]
+    errors = F.array_compact(F.array(*[F.when(left, F.lit(path)) for path, left in paths]))
+    return opened.withColumn("decrypt_errors", errors if paths else F.array().cast("array<string>"))
 
 
 @dataclass(frozen=True)

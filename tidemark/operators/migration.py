@@ -45,7 +45,16 @@ class Plan:
         return self._then(lambda df: df.drop(name))
 
     def rename(self, old: str, new: str) -> Plan:
-        return self._then(lambda df: df.withColumnRenamed(old, new) if old in df.columns else df)
+        """A present ``new`` gives way to ``old`` and is kept where ``old`` is null, as in tables of many versions."""
+
+        def step(df: DataFrame) -> DataFrame:
+            if old not in df.columns or old == new:
+                return df
+            if new not in df.columns:
+                return df.withColumnRenamed(old, new)
+            return df.withColumn(new, F.coalesce(F.col(old), F.col(new))).drop(old)
+
+        return self._then(step)
 
     def copy(self, old: str, new: str) -> Plan:
         return self._then(lambda df: df.withColumn(new, F.col(old)) if old in df.columns else df)
@@ -192,13 +201,21 @@ def _spark_type(kind) -> tuple[T.DataType, bool]:
     return _PRIMITIVES[kind], False
 
 
+def _symbols(kind) -> list[str] | None:
+    """Symbols of a declared enum, or of the enum in a union."""
+    parts = kind if isinstance(kind, list) else [kind]
+    return next((p["symbols"] for p in parts if isinstance(p, dict) and p["type"] == "enum"), None)
+
+
 def declared_struct(schema: str | dict) -> T.StructType:
-    """A record schema as StructType; defaults go into the field metadata."""
+    """A record schema as StructType; defaults and enum symbols go into the field metadata."""
     record = json.loads(schema) if isinstance(schema, str) else schema
     fields = []
     for f in record["fields"]:
         kind, nullable = _spark_type(f["type"])
         extra = {"default": json.dumps(f["default"])} if "default" in f else {}
+        if _symbols(f["type"]):
+            extra["symbols"] = _symbols(f["type"])
         fields.append(T.StructField(f["name"], kind, nullable, extra))
     return T.StructType(fields)
 
@@ -207,7 +224,7 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Project to the schema with defaults for missing values.
 
     ``nonconforming`` lists fields whose value does not fit, or that are required
-    and have neither value nor default.
+    and have neither value nor default. An enum takes its symbols only.
     """
     columns, faults = [], []
     for f in schema.fields:
@@ -216,10 +233,13 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
         nested = isinstance(f.dataType, (T.StructType, T.MapType, T.ArrayType))
         same = have and df.schema[f.name].dataType == f.dataType
         value = raw if same or nested and have else wire_cast(raw.cast("string"), f.dataType) if not nested else F.lit(None).cast(f.dataType)
+        if "symbols" in f.metadata:
+            value = F.when(value.isin(*f.metadata["symbols"]), value)
         default = json.loads(f.metadata["default"]) if "default" in f.metadata else None
         filled = value
-        if default is not None and not nested:
-            filled = F.coalesce(value, F.when(raw.isNull(), F.lit(default).cast(f.dataType)))
+        if default is not None:
+            fallback = F.from_json(F.lit(f.metadata["default"]), f.dataType) if nested else F.lit(default).cast(f.dataType)
+            filled = F.coalesce(value, F.when(raw.isNull(), fallback))
         missing = raw.isNull() & filled.isNull() if "default" not in f.metadata and not f.nullable else F.lit(False)
         faults.append(F.when(missing | (raw.isNotNull() & value.isNull()), F.lit(f.name)))
         columns.append(filled.alias(f.name))

@@ -260,12 +260,7 @@ def _mixed(spark, d):
 
 def _migrated(spark, d):
     mixed = _mixed(spark, d)
-    # Rows of version 1 have no full_name column, later ones no name_text.
-    v1 = mixed.where("version = '1'").drop("full_name")
-    later = mixed.where("version <> '1'").drop("name_text")
-    done = _PLANS.migrate(v1, "1", "3").withColumn("version", F.lit("3")).unionByName(
-        _PLANS.migrate_all(later, "version", "3"), allowMissingColumns=True
-    )
+    done = _PLANS.migrate_all(mixed, "version", "3")
     lost = _PLANS.unmigratable(mixed, "version", "3")
     return done.select("c_custkey", "version", "full_name", "balance", "search_name").unionByName(
         lost.select(
@@ -299,10 +294,11 @@ _AVSC = """{"type": "record", "name": "event", "fields": [
 
 query(
     "conform",
-    """SELECT CASE WHEN event_id % 5 = 0 THEN NULL ELSE event_id END AS event_id, event_type, value,
+    """SELECT CASE WHEN event_id % 5 = 0 THEN NULL ELSE event_id END AS event_id,
+      CASE WHEN event_type IN ('click', 'view') THEN event_type END AS event_type, value,
       CAST(user_id AS BIGINT) AS user_id, 'none' AS region, CASE WHEN event_id % 7 <> 0 THEN 's' || user_id END AS session,
-      CASE WHEN event_id % 5 = 0 AND event_id % 7 = 0 THEN 'event_id,session' WHEN event_id % 5 = 0 THEN 'event_id'
-           WHEN event_id % 7 = 0 THEN 'session' ELSE '' END AS nonconforming FROM events""",
+      concat_ws(',', CASE WHEN event_id % 5 = 0 THEN 'event_id' END, CASE WHEN event_type NOT IN ('click', 'view') THEN 'event_type' END,
+        CASE WHEN event_id % 7 = 0 THEN 'session' END) AS nonconforming FROM events""",
 )(
     lambda spark, d: plain(
         migration.conform(

@@ -56,21 +56,36 @@ query(
     )
 )
 
+def _half_sealed(spark, d):
+    """Every third e-mail and every fifth nested phone were sealed with another key."""
+
+    def sealed(name, every):
+        value = F.col(name)
+        return F.when(F.col("id") % every == 0, encryption.encrypt_value(value, _new_key())).otherwise(
+            encryption.encrypt_value(value, _key())
+        )
+
+    return a.customers(spark, d).select(
+        "id", sealed("email", 3).alias("email"), F.struct(sealed("phone", 5).alias("phone")).alias("contact"),
+        F.array(F.struct(sealed("phone", 7).alias("number"))).alias("lines"),
+    )
+
+
 query(
     "decrypt_errors",
     a.with_ctes(a.CUSTOMERS)
-    + """SELECT id, CASE WHEN id % 3 <> 0 THEN email END AS email, CASE WHEN id % 3 = 0 THEN 'email' ELSE '' END AS problems FROM customers""",
+    + """SELECT id, CASE WHEN id % 3 <> 0 THEN email END AS email, CASE WHEN id % 5 <> 0 THEN phone END AS phone,
+      concat_ws(',', CASE WHEN id % 3 = 0 AND email IS NOT NULL THEN 'email' END,
+        CASE WHEN id % 5 = 0 AND phone IS NOT NULL THEN 'contact.phone' END,
+        CASE WHEN id % 7 = 0 AND phone IS NOT NULL THEN 'lines.number' END) AS problems FROM customers""",
 )(
-    # Every third row was sealed with another key.
-    lambda spark, d: encryption.decrypt_fields(
-        a.customers(spark, d).select(
-            "id",
-            F.when(F.col("id") % 3 == 0, encryption.encrypt_value(F.col("email"), _new_key()))
-            .otherwise(encryption.encrypt_value(F.col("email"), _key()))
-            .alias("email"),
-        ),
-        _key(),
-    ).withColumnRenamed("decrypt_errors", "problems").withColumn("problems", F.array_join("problems", ","))
+    lambda spark, d: encryption.decrypt_fields(_half_sealed(spark, d), _key()).select(
+        "id",
+        # What stays closed is a ciphertext with a random start.
+        F.when(~encryption.is_encrypted(F.col("email")), F.col("email")).alias("email"),
+        F.when(~encryption.is_encrypted(F.col("contact.phone")), F.col("contact.phone")).alias("phone"),
+        F.array_join("decrypt_errors", ",").alias("problems"),
+    )
 )
 
 query(

@@ -86,10 +86,10 @@ query(
 
 def _stream_apply(spark, d):
     path = scratch_path(spark, "replica")
-    replica.create_replica(spark, path, cl.ORDER_SCHEMA)
+    replica.create_replica(spark, path, cl.ORDER_SCHEMA, buckets=8)
     events = valid_events(parse_events(_raw_stream(spark, d))).where(F.col("source.table") == "orders")
     ingest.run_to_end(
-        events, ingest.replica_sink(path, cl.ORDER_SCHEMA, buckets=8), scratch_path(spark, "replica-checkpoint")
+        events, ingest.replica_sink(path, cl.ORDER_SCHEMA), scratch_path(spark, "replica-checkpoint")
     )
     return plain(replica.read_replica(spark, path, cl.ORDER_SCHEMA))
 
@@ -102,11 +102,11 @@ query(
 def _replica_batches(spark, d):
     """Two batches, the second one delivered twice."""
     path = scratch_path(spark, "replica")
-    replica.create_replica(spark, path, cl.ORDER_SCHEMA)
+    replica.create_replica(spark, path, cl.ORDER_SCHEMA, buckets=8)
     unique = dedup.dedup_events(cl.order_events(spark, d))
     first, second = unique.where("operation = 'INSERT'"), unique.where("operation <> 'INSERT'")
     for batch_id, events in ((0, first), (1, second), (1, second)):
-        replica.apply_batch(spark, path, events, batch_id, cl.ORDER_SCHEMA, buckets=8)
+        replica.apply_batch(spark, path, events, batch_id, cl.ORDER_SCHEMA)
     return plain(replica.read_replica(spark, path, cl.ORDER_SCHEMA))
 
 
@@ -118,7 +118,7 @@ query(
 def _stream_quality(spark, d):
     good, bad = scratch_path(spark, "good"), scratch_path(spark, "bad")
     ingest.run_to_end(_raw_stream(spark, d), ingest.quality_gate(good, bad), scratch_path(spark, "gate-checkpoint"))
-    kept = spark.read.parquet(good).select(F.lit("accepted").alias("outcome"), "event_id").distinct()
+    kept = spark.read.parquet(good).select(F.lit("accepted").alias("outcome"), "event_id")
     lost = spark.read.parquet(bad).select(F.col("failure_reason").alias("outcome"))
     return kept.select("outcome").unionByName(lost).groupBy("outcome").agg(F.count(F.lit(1)).alias("messages"))
 
