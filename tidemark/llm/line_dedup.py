@@ -39,8 +39,9 @@ def _hashed(ws: Column) -> Column:
     n = F.size(ws)
 
     def of(hs: Column) -> Column:
-        zipped = F.arrays_zip(*[F.slice(hs, j + 1, n - WIDTH + 1).alias(f"h{j}") for j in range(WIDTH)])
-        return F.when(n < WIDTH, F.array(F.xxhash64(hs))).otherwise(F.transform(zipped, lambda x: F.xxhash64(x)))
+        starts = F.sequence(F.lit(0), F.greatest(n - WIDTH, F.lit(0)))
+        grams = F.transform(starts, lambda i: F.xxhash64(*[F.get(hs, i + j) for j in range(WIDTH)]))
+        return F.when(n < WIDTH, F.array(F.xxhash64(hs))).otherwise(grams)
 
     return F.when(n == 0, F.array().cast("array<bigint>")).otherwise(
         F.sort_array(F.array_distinct(let(F.transform(ws, lambda w: F.xxhash64(w)), of)))
