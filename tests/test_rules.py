@@ -319,3 +319,32 @@ def test_top_k_is_cut_before_the_shuffle(spark):
     df = spark.range(100).selectExpr("id % 3 AS category", "id AS product_id", "id * 2 AS total_revenue")
     plan = top_products_by_category(df, 2)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_rename_onto_a_present_column(spark):
+    from tidemark.operators import migration
+
+    rows = spark.createDataFrame([("1", "a", None), ("2", None, "b")], "v string, old string, new string")
+    moved = migration.Migrations([migration.Plan("1", "2").rename("old", "new")]).migrate_all(rows, "v", "2")
+    assert {(r.v, r.new) for r in moved.collect()} == {("2", "a"), ("2", "b")}
+
+
+def test_conform_nested_default_and_symbols(spark):
+    from tidemark.operators import migration
+
+    schema = migration.declared_struct({"fields": [
+        {"name": "kind", "type": ["null", {"type": "enum", "name": "k", "symbols": ["x"]}], "default": None},
+        {"name": "tags", "type": {"type": "array", "items": "string"}, "default": ["t"]},
+    ]})
+    rows = migration.conform(spark.createDataFrame([("x",), ("y",), (None,)], "kind string"), schema).collect()
+    assert [(r.kind, r.tags, r.nonconforming) for r in rows] == [("x", ["t"], []), (None, ["t"], ["kind"]), (None, ["t"], [])]
+
+
+def test_closed_ciphertexts_stay(spark):
+    from tidemark.operators import encryption
+
+    right, wrong = F.lit("0123456789abcdef").cast("binary"), F.lit("fedcba9876543210").cast("binary")
+    rows = spark.range(1).select(F.array(F.struct(encryption.encrypt_value(F.lit("p"), wrong).alias("n"))).alias("c"),
+                                 F.array(encryption.encrypt_value(F.lit("q"), right)).alias("l"))
+    opened = encryption.decrypt_fields(rows, right).first()
+    assert opened.decrypt_errors == ["c.n"] and opened.c[0].n and opened.l == ["q"]
