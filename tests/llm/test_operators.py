@@ -115,6 +115,38 @@ def test_trees_select_by_calibrated_score(spark):
     assert redacted.redacted == "[phone]"
 
 
+
+REAL = {
+    1: ("please call 212-555-0147 now", "phone_local:12:24"), 2: ("my SSN is 123-45-6789", "id_number:10:21"),
+    3: ("pay BE68 5390 0754 7034 PAID", "iban:4:23"), 4: ("ann.lee [at] example [dot] org", "email_spoken:0:30"),
+    5: ("call +290 12345", "phone:5:15"),
+}
+LOOK_ALIKES = {
+    11: "please call 112-555-0147 now", 12: "order no 212-555-0147", 13: "my SSN is 666-45-6789", 14: "pay BE69 5390 0754 7034",
+    15: "sold (at) 3.50 each", 16: "part no 123-45-6789",
+}
+
+
+def found_spans(spark, model):
+    rows = [(i, t) for i, (t, _) in REAL.items()] + list(LOOK_ALIKES.items())
+    return {r.doc_id: r.spans for r in pii.digest(pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string"), model)).collect()}
+
+
+def test_generators_find_real_spans_and_no_look_alikes(spark):
+    assert found_spans(spark, pii.NO_MODEL) == {i: s for i, (_, s) in REAL.items()} | dict.fromkeys(LOOK_ALIKES, "")
+
+
+def test_fit_learns_contexts_of_generator_kinds(spark):
+    plain = [(i, f"Visit us or ask 2{i % 9}2-555-{1000 + i} today") for i in range(1, 400) if i % 9 != 1]
+    serials = [(1000 + i, f"shipment | {i * 7919 % 1000:03d}-{i * 104729 % 1000:03d}-{1000 + i} sent") for i in range(400)]
+    model = pii.fit(spark.createDataFrame(plain + serials, "doc_id long, text string"))
+    assert "phone_local" in dict(model.thresholds)
+    assert found_spans(spark, model) == {i: s for i, (_, s) in REAL.items()} | dict.fromkeys(LOOK_ALIKES, "")
+    more = spark.createDataFrame([(1, "Visit us or ask 262-555-4321 today"), (2, "shipment | 262-555-4321 sent")], "doc_id long, text string")
+    found = {r.doc_id: r.spans for r in pii.digest(pii.find_personal_data(more, model)).collect()}
+    assert found == {1: "phone_local:16:28", 2: ""}
+
+
 def test_licenses(small, spark):
     rows = small.select("doc_id", "text").unionByName(
         spark.createDataFrame([(-1, "GNU General Public License; CC-BY 4.0, cc by cc by! MIT  license"), (-2, "ÀCC BY")], "doc_id long, text string")
