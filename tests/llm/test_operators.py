@@ -169,6 +169,45 @@ def test_license_containment():
         assert not any(a is not b and b[4] >= a[4] and b[0] <= a[0] and a[1] <= b[1] for b in kept)
 
 
+
+SIGNED = [
+    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal"),
+    ("bsd", "Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided that"),
+    ("bsd", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software"),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("0bsd", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.\n\nTHE SOFTWARE IS PROVIDED"),
+    ("zlib", "This software is provided 'as-is'. In no event will the authors be held liable for any damages arising from the use of this software."),
+    ("boost", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license"),
+    ("gpl", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by"),
+    ("gpl", "this program is free software; you can redistribute it"),
+    ("lgpl", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License"),
+    ("agpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License"),
+    ("apache", "you may not use this file except in compliance with the License. You may obtain a copy of the License at\n http://www.apache.org/licenses/LICENSE-2.0"),
+    ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("mpl", "you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.mozilla.org/MPL/"),
+    ("unlicense", "This is free and unencumbered software released into the public domain."), ("cc0", "https://creativecommons.org/publicdomain/zero/1.0/"),
+    ("cc-by-nc-sa", "https://creativecommons.org/licenses/by-nc-sa/4.0/"), ("gpl", "https://www.gnu.org/licenses/gpl-3.0.html"),
+    ("mit", "SPDX-License-Identifier: MIT"), ("apache", "SPDX-License-Identifier: Apache-2.0"), ("gpl", "SPDX-License-Identifier: GPL-3.0-or-later"),
+    ("bsd", "SPDX-License-Identifier: BSD-3-Clause\nimport os"), ("apache,mit", "// SPDX-License-Identifier: (MIT OR Apache-2.0)"),
+    ("bsd,gpl", "SPDX-License-Identifier: GPL-2.0-only WITH Linux-syscall-note-exception OR BSD-2-Clause"),
+    ("", "you may not use this file except in compliance with the License. You can obtain a copy of the license at usr/src/OPENSOLARIS.LICENSE"),
+    ("", "mit freundlichen Grüßen; permission was granted; a free program and software in use"),
+]
+
+
+@pytest.mark.parametrize(("labels", "text"), SIGNED)
+def test_license_signatures(labels, text):
+    kept = license_scan.RuleSet().detections(license_scan.normalised(text)[0])
+    own = {d[2] for d in kept} - ({"public-domain"} if labels == "unlicense" else set())
+    assert ",".join(sorted(own)) == labels
+
+
+def test_every_spdx_id_has_its_label():
+    known = license_scan.RuleSet()
+    for i, label in license_scan.spdx_ids().items():
+        assert label in {d[2] for d in known.detections(f" x spdx license identifier {i} y ".encode())}, i
+
+
 def line_grams(line):
     w = line.lower().split()
     return frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])

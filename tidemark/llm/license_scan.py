@@ -1,7 +1,9 @@
 """License mentions: ordered signature rules over the words of a text.
 
 Texts are reduced to lower-case words with single spaces, where rules are regular
-expressions on whole words. A rule runs only where its keyword occurs. Detections
+expressions on whole words: forms around license names, and signatures of license texts,
+headers, places and abbreviations. SPDX expressions give a label per id. A rule runs only
+where its keyword occurs. Detections
 are sorted by priority and length; one that lies inside a kept detection of the same
 or higher priority is suppressed. Word positions are counted only for the base
 phrases, which are reported wherever their words stand in a row.
@@ -19,7 +21,7 @@ from itertools import accumulate
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.license_rules import BASE, rules
+from tidemark.llm.license_rules import BASE, SPDX_PRIORITY, SPDX_WEIGHT, rules, spdx_ids, spdx_pattern
 
 # Bytes between words (ASCII characters that are neither letters nor digits).
 _GAPS = bytes(c for c in range(128) if not (48 <= c <= 57 or 65 <= c <= 90 or 97 <= c <= 122))
@@ -41,6 +43,9 @@ class RuleSet:
             compiled = re.compile(rb"(?<= )" + pattern.encode() + rb"(?= )")
             by_keyword.setdefault(keyword.encode(), []).append((label, compiled, weight, priority))
         self._rules = by_keyword
+        tag, one = spdx_pattern()
+        self._tag, self._id = re.compile(tag.encode()), re.compile(one.encode())
+        self._ids = {i.encode(): label for i, label in spdx_ids().items()}
         # Every keyword holds one of these words' letters; most texts stop here.
         self._roots = sorted({max(k.split(), key=len) for k in by_keyword})
         self._root = re.compile(b"|".join(sorted(map(re.escape, self._roots), key=len, reverse=True)))
@@ -65,6 +70,10 @@ class RuleSet:
             if keyword in norm:
                 for label, pattern, weight, priority in group:
                     found += [(m.start(), m.end(), label, weight, priority) for m in pattern.finditer(norm)]
+        for m in self._tag.finditer(norm) if b" spdx license identifier " in norm else ():
+            found += [
+                (i.start(), i.end(), self._ids[i[0]], SPDX_WEIGHT, SPDX_PRIORITY) for i in self._id.finditer(norm, m.start(1), m.end(1) + 1)
+            ]
         kept: list[tuple[int, int, str, float, int]] = []
         for level in sorted({d[4] for d in found}, reverse=True):
             kept.sort()
