@@ -270,6 +270,12 @@ def test_fingerprint_classes(small):
     assert got == brute_groups(texts(small), 5, 80)
 
 
+def test_fingerprints_name_their_class(small):
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in fingerprints.fingerprint(small).collect()}
+    assert got == brute_groups(texts(small), 5, 80)
+    assert len({c for _, c in got.values()}) < len(got)
+
+
 def test_trie_join_matches_all_pairs():
     rng = np.random.default_rng(5)
     base = [np.unique(rng.integers(0, 400, 60)) for _ in range(12)]

@@ -9,7 +9,7 @@ their shingles reaches the threshold.
 The successor in document order is found without sorting the table in one place:
 document ids are cut into ranges, each range is sorted in its task, and the first row
 of each range is also sent to the range before it (that of the first range to the last).
-Texts are shuffled once.
+Texts are shuffled once; their shuffle files are removed before the bands are joined.
 """
 
 from __future__ import annotations
@@ -39,9 +39,10 @@ _FACTORS = (_SEEDS[:PERMUTATIONS] | np.uint64(1)).astype(np.uint32)
 _SHIFTS = _SEEDS[PERMUTATIONS:].astype(np.uint32)
 
 _OUT = (
-    "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-    "near_edited double, near_next double"
+    "doc_id long, n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, "
+    "near_edited double, near_next double, n long, key long"
 )
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def signatures(texts: list[str | None], width: int = WIDTH) -> np.ndarray:
@@ -64,8 +65,17 @@ def signatures(texts: list[str | None], width: int = WIDTH) -> np.ndarray:
     return short
 
 
-def _hex(signature: np.ndarray) -> str:
-    return signature.astype(">u2").tobytes().hex()
+def _packed(signature: np.ndarray) -> bytes:
+    return signature.astype(">u2").tobytes()
+
+
+def _band_hashes(sig: np.ndarray) -> np.ndarray:
+    """One row of BANDS hashes per signature."""
+    cut = sig[:, : BANDS * PER_BAND].reshape(len(sig), BANDS, PER_BAND).astype(np.uint64)
+    value = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(sig), 1))
+    for k in range(PER_BAND):
+        value = mixed(value * np.uint64(0x9E3779B97F4A7C15) + cut[:, :, k])
+    return value.view(np.int64)
 
 
 def _ranges(docs: DataFrame) -> tuple[DataFrame, int]:
@@ -103,12 +113,13 @@ def with_successor(docs: DataFrame) -> DataFrame:
     return both.repartition("_range").sortWithinPartitions("_range", "_extra", F.col("doc_id").asc_nulls_first(), "text")
 
 
-def fingerprint(docs: DataFrame) -> DataFrame:
-    """A row per document with its fingerprint, that of its edited text, and two likenesses.
+def fingerprint(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
+    """A row per document with its fingerprint, that of its edited text, two likenesses and its near-duplicate class.
 
     The edited text ends with the beginning of the next document in place of its last
     quarter. A null text counts as empty; two texts without words have likeness 1. Rows
-    that repeat are each other's neighbours. An empty table gives no rows.
+    that repeat are each other's neighbours. An empty table gives no rows. ``component_id``
+    is the class as ``near_duplicates`` finds it.
     """
 
     def run(parts: Iterator) -> Iterator:
@@ -117,7 +128,7 @@ def fingerprint(docs: DataFrame) -> DataFrame:
         import pyarrow as pa
 
         names = [c.split()[0] for c in _OUT.split(", ")]
-        kinds = (pa.int64(), pa.int64(), *[pa.string()] * 3, pa.float64(), pa.float64())
+        kinds = (pa.int64(), pa.int64(), *[pa.binary()] * 3, pa.float64(), pa.float64(), pa.int64(), pa.int64())
         held = None
         for batch in parts:
             columns = [batch.column(c).to_pylist() for c in ("_range", "_extra", "doc_id", "text")]
@@ -133,16 +144,63 @@ def fingerprint(docs: DataFrame) -> DataFrame:
                     cut = len(a[3]) // 4
                     edited.append(a[3][: len(a[3]) - cut] + b[3][:cut])
                 out: list[list] = [[] for _ in names]
-                for ((a, sig), (_, after)), text, sig2 in zip(pairs, edited, signatures(edited) if edited else ()):
+                sets = shingle_sets([a[3] for (a, _), _ in pairs], WIDTH) if pairs else []
+                for ((a, sig), (_, after)), text, sig2, grams in zip(pairs, edited, signatures(edited) if edited else (), sets):
                     row = (
-                        a[2], len(a[3]), hashlib.sha256(text.encode()).hexdigest(), _hex(sig), _hex(sig2),
-                        float((sig == sig2).mean()), float((sig == after).mean()),
+                        a[2], len(a[3]), hashlib.sha256(text.encode()).digest(), _packed(sig), _packed(sig2),
+                        float((sig == sig2).mean()), float((sig == after).mean()), len(grams), set_key(grams),
                     )
                     for column, v in zip(out, row):
                         column.append(v)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], names=names)
 
-    return with_successor(docs).mapInArrow(run, _OUT)
+    def bands(parts: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in parts:
+            if batch.num_rows:
+                sig = np.frombuffer(b"".join(batch.column(0).to_pylist()), ">u2").reshape(batch.num_rows, PERMUTATIONS)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(list(_band_hashes(sig)), pa.list_(pa.int64())), batch.column(1), batch.column(2)], names=["bands", "key", "n"]
+                )
+
+    conf = docs.sparkSession.conf
+    before = conf.get(_CLEANUP, None)
+    conf.set(_CLEANUP, "true")
+    try:
+        rows = written(with_successor(docs).mapInArrow(run, _OUT), "fingerprints")
+    finally:
+        conf.unset(_CLEANUP) if before is None else conf.set(_CLEANUP, before)
+    hashed = rows.where("key IS NOT NULL").select("fingerprint", "key", "n").mapInArrow(bands, "bands array<long>, key long, n long")
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    classed = resolve(base, rows, _postings(hashed), _whole_sets, num, den)
+    text = lambda c: F.lower(F.hex(c)).alias(c)
+    return classed.select(
+        "doc_id", "n_chars", text("edited_sha256"), text("fingerprint"), text("edited_fingerprint"), "near_edited", "near_next",
+        "n_shingles", "component_id",
+    )
+
+
+def _postings(rows: DataFrame) -> DataFrame:
+    return rows.select(
+        F.explode("bands").alias("token"), "key", "n", F.lit(0).cast("long").alias("p"), F.lit(0).cast("long").alias("w")
+    )
+
+
+def _whole_sets(chosen: DataFrame) -> DataFrame:
+    def run(parts: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in parts:
+            for some in batches(batch.column(1).to_pylist(), lambda t: len(t or ""), 2_000_000):
+                sets = [s for s in shingle_sets(some, WIDTH) if len(s)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([set_key(s) for s in sets], pa.int64()),
+                     pa.array([np.sort(s.view(np.int64)) for s in sets], pa.list_(pa.int64()))],
+                    names=["key", "ids"],
+                )
+
+    return chosen.select("doc_id", F.col("text").cast("string")).mapInArrow(run, "key long, ids array<long>")
 
 
 def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
@@ -160,35 +218,14 @@ def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame
             for some in batches(pairs, lambda r: len(r[1] or ""), 2_000_000):
                 texts = [t for _, t in some]
                 sets = shingle_sets(texts, WIDTH)
-                sig = signatures(texts)[:, : BANDS * PER_BAND].reshape(len(some), BANDS, PER_BAND).astype(np.uint64)
-                value = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(some), 1))
-                for k in range(PER_BAND):
-                    value = mixed(value * np.uint64(0x9E3779B97F4A7C15) + sig[:, :, k])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([d for d, _ in some], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([set_key(s) for s in sets], pa.int64()),
-                     pa.array(list(value.view(np.int64)), pa.list_(pa.int64()))],
+                     pa.array(list(_band_hashes(signatures(texts))), pa.list_(pa.int64()))],
                     names=["doc_id", "n", "key", "bands"],
                 )
 
-    def whole_sets(chosen: DataFrame) -> DataFrame:
-        def run(parts: Iterator) -> Iterator:
-            import pyarrow as pa
-
-            for batch in parts:
-                for some in batches(batch.column(1).to_pylist(), lambda t: len(t or ""), 2_000_000):
-                    sets = [s for s in shingle_sets(some, WIDTH) if len(s)]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([set_key(s) for s in sets], pa.int64()),
-                         pa.array([np.sort(s.view(np.int64)) for s in sets], pa.list_(pa.int64()))],
-                        names=["key", "ids"],
-                    )
-
-        return chosen.select("doc_id", F.col("text").cast("string")).mapInArrow(run, "key long, ids array<long>")
-
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = written(base.mapInArrow(describe, "doc_id long, n long, key long, bands array<long>"), "bands")
-    postings = rows.where("key IS NOT NULL").select(
-        F.explode("bands").alias("token"), "key", "n", F.lit(0).cast("long").alias("p"), F.lit(0).cast("long").alias("w")
-    )
-    return resolve(base, rows.select("doc_id", "n", "key"), postings, whole_sets, num, den)
+    postings = _postings(rows.where("key IS NOT NULL"))
+    return resolve(base, rows.select("doc_id", "n", "key"), postings, _whole_sets, num, den)
