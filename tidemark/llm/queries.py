@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    conversation_repair,
+    embedding_dedup,
     fingerprints,
     license_scan,
     line_dedup,
@@ -18,6 +20,7 @@ from tidemark.llm import (
     quality_rules,
     secret_scan,
     token_counts,
+    whitening,
 )
 from tidemark.session import written
 
@@ -104,3 +107,18 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fingerprint_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate side of operator 10: bands joined in Spark, Jaccard verified."""
     return fingerprints.near_duplicates(documents(spark, sf_dir))
+
+
+@_query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.damage_and_repair(table(spark, sf_dir, "conversations"))
+
+
+@_query
+def op12_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@_query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
