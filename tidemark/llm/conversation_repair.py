@@ -276,10 +276,9 @@ _WHOLE = "conv_id long, gaps long, blank long, duplicate long, truncated long, i
 def _conversations(chunks: DataFrame) -> DataFrame:
     """A row per conversation from its chunks, of which there is one per CHUNK rows or task."""
 
-    def fold(table):
-        import pyarrow as pa
+    names = [c.split()[0] for c in _WHOLE.split(", ")]
 
-        parts = sorted(table.to_pylist(), key=lambda r: (r["part"], r["number"]))
+    def whole(parts: list[dict]) -> tuple:
         unpacked = [
             tuple(tuple(None if c["cost"] is None else (c["cost"], c["audit"]) for c in p["cells"][4 * i : 4 * i + 4]) for i in STATES)
             for p in parts
@@ -290,10 +289,29 @@ def _conversations(chunks: DataFrame) -> DataFrame:
         gaps = known[-1]["high"] - known[0]["low"] + 1 - distinct if known else 0
         illegal = sum(p["illegal"] for p in parts) + sum(a["last"] + b["first"] not in _LEGAL for a, b in zip(parts, parts[1:]))
         sums = [sum(p[c] for p in parts) for c in ("blank", "duplicate", "truncated")]
-        values = (parts[0]["conv_id"], gaps, *sums, illegal, cost, audit)
-        return pa.table([pa.array([v], pa.string() if i == 7 else pa.int64()) for i, v in enumerate(values)], names=[c.split()[0] for c in _WHOLE.split(", ")])
+        return (parts[0]["conv_id"], gaps, *sums, illegal, cost, audit)
+
+    def fold(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        held: list[dict] = []
+        for batch in batches:
+            done = []
+            for row in batch.to_pylist():
+                if held and held[0]["conv_id"] != row["conv_id"]:
+                    done.append(whole(held))
+                    held = []
+                held.append(row)
+            if done:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, pa.string() if n == "audit" else pa.int64()) for n, c in zip(names, zip(*done))], names=names
+                )
+        if held:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([v], pa.string() if n == "audit" else pa.int64()) for n, v in zip(names, whole(held))], names=names
+            )
 
-    return chunks.groupBy("conv_id").applyInArrow(fold, _WHOLE)
+    return chunks.repartition("conv_id").sortWithinPartitions(F.col("conv_id").asc_nulls_first(), "part", "number").mapInArrow(fold, _WHOLE)
 
 
 def _hashes(rows: DataFrame, audits: DataFrame) -> DataFrame:
