@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.tokens import WordEncoder, batches, tokenizer_path
+from tidemark.llm.tokens import WordEncoder, slices, tokenizer_path
 from tidemark.session import written
 
 CAPACITY = 4096
@@ -59,10 +59,9 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
         part, seen = TaskContext.get().partitionId(), [0] * (capacity + 1)
         end = np.asarray([end_id], dtype="<u4").tobytes()
         for batch in parts:
-            rows = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
-            for some in batches(rows, lambda r: len(r[1] or "")):
+            for some in slices(batch, "text"):
                 out: list[list] = [[] for _ in range(7)]
-                for (doc, _), ids in zip(some, encoder.encode([t for _, t in some])):
+                for doc, ids in zip(some.column("doc_id").to_pylist(), encoder.encode(some.column("text"))):
                     ids += end
                     for i, at in enumerate(range(0, len(ids), 4 * capacity)):
                         piece = ids[at : at + 4 * capacity]
@@ -75,7 +74,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
                     names=["doc_id", "piece", "start", "length", "ids_crc32", "part", "local"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(cut, _PIECES)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(cut, _PIECES)
 
 
 def price_configuration(weights: np.ndarray, values: np.ndarray, most: np.ndarray, capacity: int) -> np.ndarray:

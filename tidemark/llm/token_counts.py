@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.ordered import last_known_in_series
-from tidemark.llm.tokens import WordEncoder, batches, tokenizer_path
+from tidemark.llm.tokens import WordEncoder, slices, tokenizer_path
 from tidemark.session import scratch_path, written
 
 BLOCK = 65_536
@@ -55,9 +55,8 @@ def flat_blocks(
 
         place = 0
         for batch in parts:
-            rows = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
-            for some in batches(rows, lambda r: len(r[1] or "")):
-                for (doc, _), ids in zip(some, encoder.encode([t for _, t in some])):
+            for some in slices(batch, "text"):
+                for doc, ids in zip(some.column("doc_id").to_pylist(), encoder.encode(some.column("text"))):
                     short = np.frombuffer(ids, dtype="<u4").astype("<u2").tobytes() + end
                     held += short
                     place += len(short)
@@ -72,7 +71,7 @@ def flat_blocks(
         if held:
             yield out(bytes(held), [d for _, d in names])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(write, _BLOCKS)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(write, _BLOCKS)
 
 
 def read_flat_files(spark: SparkSession, path: str, block: int = BLOCK, width: int = 2) -> DataFrame:

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import json
 import os
-import re
 from collections.abc import Callable
 
 # Fixed value: how a tokenizer file says that runs of letters, digits and runs of other characters are encoded apart.
 _APART = r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-# Printable ASCII without the apostrophe, which such files treat in a way of its own.
-_PLAIN = re.compile(rb"[!-&(-~]+")
-_PARTS = re.compile(rb"[A-Za-z]+|[0-9]|[^A-Za-z0-9]+")
+# Words that a file treats in a way of its own, or whose letters may change when they are composed: anything beyond
+# Latin letters, the dotted capital I, and what may be part of a special token.
+_OTHER = r"[^\x{00}-\x{24F}]|\x{130}|<\|"
+# A letter and what ends its run (not an apostrophe, which may begin an ending of the word).
+_END = r"(\p{L})([^\p{L}'])"
 _MARK = "\x01"
 
 
@@ -36,16 +37,16 @@ class Recent:
 class WordEncoder:
     """Encodes texts with a ``tokenizers`` file that never joins text across white space.
 
-    Texts are cut at ASCII white space and each piece is encoded once, then looked up;
-    for a tokenizer that drops white space this gives the ids of the whole text. Where the
-    file encodes letters, digits and other characters apart, a plain new word is put together
-    from such parts, of which far fewer differ. New pieces are encoded many at a time, with a
-    mark between them. A table of known words or parts that holds ``known`` entries becomes
-    the older one, from which what comes up again is taken over, and a new one is begun; so
-    memory is bounded and common words stay.
+    Texts are cut at ASCII white space and each word is encoded once, then looked up; for a
+    tokenizer that drops white space this gives the ids of the whole text. Where the file
+    encodes letters, digits and other characters apart, words are cut there too, and lowered
+    where it does that, so fewer differ. New parts are encoded many at a time, with a mark
+    between them. A table of parts that holds ``known`` entries becomes the older one, from
+    which what comes up again is taken over, and a new one is begun; so memory is bounded
+    and common parts stay.
     """
 
-    def __init__(self, path: str, plain_specials: bool = False, known: int = 500_000):
+    def __init__(self, path: str, plain_specials: bool = False, known: int = 800_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -55,10 +56,10 @@ class WordEncoder:
             rules = json.load(f)
         cut = [r.get("pattern", {}).get("Regex", "") for r in (rules["pre_tokenizer"] or {}).get("pretokenizers", [])]
         self._apart = any(c.endswith(_APART) for c in cut)
-        self._special = re.compile(b"|".join(re.escape(t["content"].encode()) for t in rules["added_tokens"]) or rb"(?!)")
+        self._lower = '"Lowercase"' in json.dumps(rules["normalizer"])
         mark = self._model.encode(f" {_MARK} ", add_special_tokens=False).ids
         self._mark = mark[0] if len(mark) == 1 else None
-        self._words, self._parts = Recent(known), Recent(known)
+        self._parts = Recent(known)
 
     def _encoded(self, pieces: list[bytes]) -> list[bytes]:
         """Ids of each piece; pieces that hold the mark, or a file without one, are encoded one by one."""
@@ -74,26 +75,47 @@ class WordEncoder:
         found = self._model.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)
         return [np.asarray(e.ids, dtype="<u4").tobytes() for e in found]
 
-    def _parts_of(self, word: bytes) -> list[bytes]:
-        if word.isalpha():
-            return [word]
-        if self._apart and _PLAIN.fullmatch(word) and not self._special.search(word):
-            return _PARTS.findall(word)
-        return [word]
+    def _cut(self, words):
+        """Words (an Arrow array) with spaces where the file cuts them anyway."""
+        import pyarrow.compute as pc
 
-    def _encode_words(self, words: list[bytes]) -> list[bytes]:
-        made = [self._parts_of(w) for w in words]
-        parts = self._parts.of({p for ps in made for p in ps}, self._encode_parts)
-        return [b"".join([parts[p] for p in ps]) for ps in made]
+        cut = pc.utf8_lower(words) if self._lower else words
+        if self._apart:
+            cut = pc.replace_substring_regex(cut, r"[0-9]", r" \0 ")
+            cut = pc.replace_substring_regex(cut, _END, r"\1 \2")
+        return pc.if_else(pc.match_substring_regex(words, _OTHER), words, cut)
 
     def _encode_parts(self, parts: list[bytes]) -> list[bytes]:
         return [ids for some in batches(parts, len, 20_000) for ids in self._encoded(some)]
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text; a null text has none."""
-        cut = [(t or "").encode().split() for t in texts]
-        known = self._words.of({w for ws in cut for w in ws}, self._encode_words)
-        return [b"".join([known[w] for w in ws]) for ws in cut]
+    def encode(self, texts) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text (a list or an Arrow array); a null text has none.
+
+        Arrow cuts the texts and names their different words, so Python sees each word of a batch once.
+        """
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        texts = (pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())).fill_null("")
+        words = pc.ascii_split_whitespace(texts)
+        coded = words.flatten().dictionary_encode()
+        parts = pc.ascii_split_whitespace(self._cut(coded.dictionary))
+        named = parts.flatten().dictionary_encode()
+        different = named.dictionary.cast(pa.large_binary()).to_pylist()
+        known = self._parts.of(set(different) - {b""}, self._encode_parts)
+        made = pa.array([known[p] if p else b"" for p in different], pa.large_binary()).take(named.indices)
+        if not len(made):
+            return [b""] * len(texts)
+        _, ends, data = made.buffers()
+        # A word's ids are those of its parts, a text's those of its words, one behind the other.
+        ends = np.frombuffer(ends, dtype=np.int64)[np.asarray(parts.offsets)]
+        of_words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(parts), [None, pa.py_buffer(ends), data])
+        made = of_words.take(coded.indices)
+        _, ends, data = made.buffers()
+        at = np.frombuffer(ends, dtype=np.int64)[np.asarray(words.offsets)]
+        raw = memoryview(data) if data is not None else memoryview(b"")
+        return [raw[a:b].tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
 
 
 def tokenizer_path(path: str | None, name: str = "word_bpe_49k.json") -> str:
@@ -105,6 +127,19 @@ def tokenizer_path(path: str | None, name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def slices(batch, column: str, limit: int = 8_000_000):
+    """Consecutive slices of a record batch whose texts sum to about ``limit`` bytes; a longer text is alone at most."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    turn = (np.cumsum(sizes, dtype=np.int64) - sizes) // limit
+    cuts = [0, *(np.flatnonzero(np.diff(turn)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:]):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
 def batches(values: list, weight, limit: int = 4_000_000):
     """Consecutive lists whose weights sum to about ``limit``, so long texts do not pile up."""
     part, total = [], 0
