@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from tidemark.llm import conversation_repair as repair
-from tidemark.llm import embedding_dedup, flat_graph, queries, whitening
+from tidemark.llm import embedding_dedup, flat_graph, packing, queries, whitening
 
 SF = "/root/testdata/sf0.001"
 STEP = {(0, "s"): 1, (0, "u"): 2, (1, "u"): 2, (2, "a"): 3, (3, "u"): 2}
@@ -282,3 +282,46 @@ def test_whitening_without_variance(spark):
     assert whitening.whiten(df.where("vec_id > 2")).count() == 1 and whitening.whiten(df.where("false")).count() == 0
     far = whitening.whiten(spark.createDataFrame([(1, [1e12, 0.0]), (2, [0.0, 1.0]), (3, [1e300, 1.0])], "vec_id long, embedding array<double>")).collect()
     assert all(r["deviation"] is None for r in far)
+
+
+def test_packing_program_reaches_the_lower_bound(spark):
+    """At sf0.1 the rounded program needs as many sequences as the sum of lengths, and uses its configurations."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    lengths = packing.pieces(docs).groupBy("length").count().collect()
+    histogram = {r["length"]: r["count"] for r in lengths}
+    solution = packing.fractional_solution(histogram, packing.CAPACITY)
+    assert 0 <= solution.gap < 0.05 and sum(int(x) for x in solution.used.values()) > 0.5 * solution.bound
+    groups = packing.rounded(histogram, packing.CAPACITY, solution)
+    used = {}
+    for pattern, copies in groups:
+        assert sum(s * m for s, m in pattern.items()) <= packing.CAPACITY
+        for s, m in pattern.items():
+            used[s] = used.get(s, 0) + m * copies
+    assert used == histogram
+    assert sum(copies for _, copies in groups) == -(-sum(s * n for s, n in histogram.items()) // packing.CAPACITY)
+
+
+def test_packing_of_few_and_many_lengths():
+    for histogram in ({}, {4096: 3}, {1: 5}, {4096: 1, 1: 1}, {2049: 7, 2047: 7}, {1000: 1_000_000, 96: 250_000, 3000: 10}):
+        groups = packing.plan(histogram)
+        used = {}
+        for pattern, copies in groups:
+            assert 0 < sum(s * m for s, m in pattern.items()) <= 4096
+            for s, m in pattern.items():
+                used[s] = used.get(s, 0) + m * copies
+        assert used == histogram
+    assert sum(copies for _, copies in packing.plan({1000: 1_000_000, 96: 250_000, 3000: 10})) <= 250_010
+
+
+def test_words_are_encoded_as_whole_texts():
+    """Cut and named words give the ids that the tokenizer gives for the text."""
+    from tidemark.llm.tokens import WordEncoder, tokenizer_path
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(tokenizer_path(None))
+    texts = [
+        None, "", " \t", "İstanbul. J̌. TÉST! don't. abc123,45.6 l'eau (été) 5's x_y—z. K.", "́a. é.", "<|endoftext|> x<|endoftext|>y.",
+        "a b\x85c d\x1fe 1,000.50!", "日本語です。 テスト ﬁn Σας ǅ", "x" * 5000 + ".", "'s 're 'LL we'LL",
+    ]
+    want = [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(b, "<u4").tolist() for b in WordEncoder(tokenizer_path(None), known=5).encode(texts)] == want

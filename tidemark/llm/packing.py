@@ -5,23 +5,27 @@
    and, per (task, length), the count in earlier tasks.
 2. The histogram of lengths (at most ``capacity`` numbers) goes to the driver. There a
    linear program over configurations (multisets of length classes that fit) is solved by
-   multiplicative weights: lengths that are covered least get the highest price, and a
-   knapsack dynamic program finds the configuration of the highest total price.
-   Lengths up to a sixteenth of the capacity are left out: they fill gaps.
-3. Rounding: a share of each configuration's use is rounded down to a whole number of
-   sequences with real lengths, the largest of a class first, and room that is left takes
-   the largest length that fits. The rest is packed by the same rule without a
-   configuration. Of the shares in SHARES the one that needs fewest sequences is kept;
-   share 0 is plain best fit, so the result is never worse than that.
+   multiplicative weights: prices of classes grow by factors where they are covered too
+   little, uses of configurations where they earn more than a sequence costs. A knapsack
+   dynamic program finds the configuration of the highest total price, which joins the
+   known ones. Prices over its value are a feasible dual, so every round also bounds the
+   optimum from below (as the sum of lengths does); rounds end when use and bound are GAP
+   apart, or after ROUNDS. Lengths up to a sixteenth of the capacity are no items of the
+   program: they fill gaps.
+3. Rounding: each configuration is used the whole number of times below its use, then, by
+   falling remainder, once more. All but its last two classes get the largest real lengths
+   of the class; the rest of the sequence is filled, exactly where one or two lengths that
+   are left do so. What no configuration takes is begun with the largest length left and
+   filled in the same way.
 4. The plan is a table of (length, range of ranks) -> (sequences, offset). Its size depends
    on ``capacity`` only, so it is broadcast; pieces find their place by binary search.
 """
 
 from __future__ import annotations
 
-import bisect
 import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -33,10 +37,10 @@ from tidemark.session import written
 CAPACITY = 4096
 END_ID = 1
 CLASSES = 64
-STEPS = 4000
+ROUNDS = 200
+STEPS = 300
 SMALL = 16
-SHARES = (1.0, 0.5, 0.0)
-STEP = 0.1
+GAP = 0.002
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, local long"
 _PLACED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
@@ -102,11 +106,22 @@ def price_configuration(weights: np.ndarray, values: np.ndarray, most: np.ndarra
     return counts
 
 
-def fractional_solution(histogram: dict[int, int], capacity: int, classes: int = CLASSES, steps: int = STEPS):
-    """Configurations over length classes and how often each is used, as fractions.
+class Solution(NamedTuple):
+    """Uses of configurations over length classes that cover every class, and a lower bound of their sum."""
 
-    A class holds lengths up to a multiple of ``capacity / classes``, counted in those units.
-    """
+    grain: int
+    kinds: np.ndarray
+    used: dict[tuple[int, ...], float]
+    bound: float
+
+    @property
+    def gap(self) -> float:
+        total = sum(self.used.values())
+        return total / self.bound - 1 if self.bound else 0.0
+
+
+def fractional_solution(histogram: dict[int, int], capacity: int, classes: int = CLASSES, rounds: int = ROUNDS) -> Solution:
+    """The linear program's solution; a class holds lengths up to a multiple of ``capacity / classes``, counted in those units."""
     grain = max(1, math.ceil(capacity / classes))
     units = capacity // grain
     sums: dict[int, int] = {}
@@ -116,82 +131,110 @@ def fractional_solution(histogram: dict[int, int], capacity: int, classes: int =
             sums[k] = sums.get(k, 0) + n
     kinds = np.array(sorted(sums), dtype=np.int64)
     if not len(kinds):
-        return grain, kinds, {}
+        return Solution(grain, kinds, {}, 0.0)
     need = np.array([sums[k] for k in kinds], dtype=float)
-    covered, used = np.zeros(len(kinds)), {}
-    rate = 4 * math.log(len(kinds) + 1)
-    for _ in range(steps):
-        least = covered.min()
-        if least >= 1:
+    most = np.minimum(need, units)
+    # To begin with, each class has a configuration of its own.
+    configs = np.diag(np.minimum(units // kinds, need))
+    uses = need / np.diag(configs)
+    known = {tuple(c) for c in configs.T}
+    bound = float((kinds * need).sum()) / units
+    best, best_uses = float(uses.sum()), uses
+    for r in range(rounds):
+        width, rate = max(0.004, 0.3 * 0.95**r), max(0.02, 0.5 * 0.97**r)
+        share = configs / need[:, None]
+        prices = mean = np.zeros(len(kinds))
+        for step in range(STEPS):
+            prices = np.exp(np.clip((1 - share @ uses) / width, -60, 6))
+            earned = best * (prices @ share)
+            uses = np.maximum(uses * np.exp(rate * np.clip(earned - 1, -1, 1)), 1e-6 * best / len(uses))
+            mean = mean + prices if 2 * step >= STEPS else mean
+        least = float((share @ uses).min())
+        if least > 0 and uses.sum() / least < best:
+            best, best_uses = float(uses.sum()) / least, uses / least
+        for y in (prices / need, mean / need):
+            config = price_configuration(kinds, y, most, units)
+            worth = float((config * y).sum())
+            bound = max(bound, float((need * y).sum()) / worth if worth > 0 else 0.0)
+            if worth > 0 and tuple(config) not in known:
+                known.add(tuple(config))
+                configs = np.hstack([configs, config[:, None].astype(float)])
+                uses = np.append(uses, best / 200)
+        if best <= (1 + GAP) * bound:
             break
-        value = np.exp(-rate * (covered - least)) / need
-        config = price_configuration(kinds, value, np.minimum(need, units), units)
-        inside = config > 0
-        amount = STEP * float((need[inside] / config[inside]).min())
-        covered += amount * config / need
-        key = tuple(config.tolist())
-        used[key] = used.get(key, 0.0) + amount
-    scale = max(1.0, covered.max())
-    return grain, kinds, {c: x / scale for c, x in used.items()}
-
-
-def plan(histogram: dict[int, int], capacity: int = CAPACITY, classes: int = CLASSES, steps: int = STEPS):
+    used = {tuple(int(v) for v in c): float(x) for c, x in zip(configs.T, best_uses) if x > 1e-9}
+    return Solution(grain, kinds, used, bound)
+
+
+def plan(histogram: dict[int, int], capacity: int = CAPACITY, classes: int = CLASSES, rounds: int = ROUNDS):
     """Patterns (counts by length) with the number of sequences that use each; all pieces are used."""
-    solution = fractional_solution(histogram, capacity, classes, steps)
-    plans = [rounded(histogram, capacity, solution, share) for share in SHARES]
-    return min(plans, key=lambda p: sum(copies for _, copies in p))
+    return rounded(histogram, capacity, fractional_solution(histogram, capacity, classes, rounds))
 
 
-def rounded(histogram: dict[int, int], capacity: int, solution, share: float):
-    """A whole plan that uses ``share`` of the fractional solution, rounded down, and best fit after it."""
-    left = {s: n for s, n in histogram.items() if n > 0}
-    order = sorted(left)
+def rounded(histogram: dict[int, int], capacity: int, solution: Solution):
+    """Whole uses of the configurations in real lengths that fill their sequences, then sequences for what is left."""
+    left = np.zeros(capacity + 1, dtype=np.int64)
+    for s, n in histogram.items():
+        left[s] = n
     out: list[tuple[dict[int, int], int]] = []
 
-    def largest(low: int, high: int, taken: dict[int, int]) -> int | None:
-        at = bisect.bisect_right(order, high) - 1
-        while at >= 0 and order[at] > low:
-            if left[order[at]] > taken.get(order[at], 0):
-                return order[at]
-            at -= 1
-        return None
+    def largest(high: int, low: int = 0) -> int:
+        """The largest length above ``low`` and up to ``high`` that is left, else 0."""
+        found = np.flatnonzero(left[low + 1 : high + 1])
+        return low + 1 + int(found[-1]) if len(found) else 0
+
+    def fill(pattern: dict[int, int], room: int, near: int) -> None:
+        """Lengths for ``room``: one or two that fill it (the larger one close to ``near``), or the largest that fits and so on."""
+        while room > 0:
+            pick = room if left[room] else 0
+            if not pick:
+                have = left[1:room] > 0
+                both = have & have[::-1]
+                if room % 2 == 0 and left[room // 2] < 2:
+                    both[room // 2 - 1] = False
+                pairs = np.flatnonzero(both[room // 2 - 1 + room % 2 :]) + room // 2 + room % 2
+                pick = int(pairs[np.abs(pairs - near).argmin()]) if len(pairs) else largest(room)
+            if not pick:
+                return
+            left[pick] -= 1
+            pattern[pick] = pattern.get(pick, 0) + 1
+            room -= pick
 
     def emit(pattern: dict[int, int], at_most: int) -> int:
-        copies = min(at_most, min(left[s] // m for s, m in pattern.items()))
-        out.append((pattern, copies))
+        """Use a pattern whose lengths have been taken once, as often as they are left."""
+        times = 1 + min([at_most - 1, *[int(left[s]) // m for s, m in pattern.items()]])
         for s, m in pattern.items():
-            left[s] -= m * copies
-            if not left[s]:
-                del left[s]
-                order.pop(bisect.bisect_left(order, s))
-        return copies
-
-    def fill(pattern: dict[int, int], room: int) -> None:
-        while room > 0 and (s := largest(0, room, pattern)) is not None:
-            m = min(room // s, left[s] - pattern.get(s, 0))
-            pattern[s] = pattern.get(s, 0) + m
-            room -= m * s
-
-    grain, kinds, used = solution
-    for config, x in sorted(used.items(), key=lambda c: -c[1]):
-        whole = int(x * share)
-        while whole > 0:
-            pattern, room = {}, capacity
-            for k, m in sorted(zip(kinds.tolist(), config), reverse=True):
-                for _ in range(m):
-                    s = largest((k - 1) * grain, min(k * grain, room), pattern)
-                    if s is None:
-                        break
-                    pattern[s] = pattern.get(s, 0) + 1
-                    room -= s
-            if not pattern:
-                break
-            fill(pattern, room)
-            whole -= emit(pattern, whole)
-    while order:
-        first = order[-1]
-        pattern = {first: min(capacity // first, left[first])}
-        fill(pattern, capacity - first * pattern[first])
+            left[s] -= m * (times - 1)
+        out.append((pattern, times))
+        return times
+
+    def use(config: tuple[int, ...], times: int) -> None:
+        items = [k for k, m in zip(solution.kinds.tolist(), config) for _ in range(m)][::-1]
+        head, near = items[: max(1, len(items) - 2)], items[-2] * solution.grain if len(items) > 2 else capacity
+        while times > 0:
+            pattern: dict[int, int] = {}
+            room = capacity
+            for k in head:
+                s = largest(min(room, k * solution.grain), (k - 1) * solution.grain)
+                if not s:  # the class has run out: what is left of its share is packed below
+                    for t, m in pattern.items():
+                        left[t] += m
+                    return
+                left[s] -= 1
+                pattern[s] = pattern.get(s, 0) + 1
+                room -= s
+            fill(pattern, room, near)
+            times -= emit(pattern, times)
+
+    ranked = sorted(solution.used.items(), key=lambda c: (-c[1], c[0]))
+    for config, x in ranked:
+        use(config, int(x))
+    for config, _ in sorted(ranked, key=lambda c: int(c[1]) - c[1]):
+        use(config, 1)
+    while first := largest(capacity):
+        left[first] -= 1
+        pattern = {first: 1}
+        fill(pattern, capacity - first, capacity)
         emit(pattern, 1 << 62)
     return out
 
