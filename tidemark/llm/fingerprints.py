@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.candidate_groups import resolve
 from tidemark.llm.ngram_join import set_key
 from tidemark.llm.shingles import mixed, shingle_list, shingle_sets
-from tidemark.llm.tokens import batches
+from tidemark.llm.tokens import batches, slices
 from tidemark.session import written
 
 WIDTH = 5
@@ -33,6 +33,7 @@ BANDS, PER_BAND = 25, 5
 RANGES_PER_PARTITION = 4
 _NO_ID = -(1 << 63)
 _CHUNK = 1 << 16
+SLICE_BYTES = 1_000_000
 
 _SEEDS = mixed(np.arange(1, 2 * PERMUTATIONS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _FACTORS = (_SEEDS[:PERMUTATIONS] | np.uint64(1)).astype(np.uint32)
@@ -47,9 +48,13 @@ _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 def signatures(texts: list[str | None], width: int = WIDTH) -> np.ndarray:
     """One row of PERMUTATIONS 16-bit values per text; a text without words has all ones."""
-    flat, bounds = shingle_list(texts, width)
+    return _least_values(*shingle_list(texts, width))
+
+
+def _least_values(flat: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Signatures of texts from all their shingle hashes and where each text's begin."""
     hashes = (flat >> np.uint64(32)).astype(np.uint32)
-    out = np.full((len(texts), PERMUTATIONS), 0xFFFFFFFF, dtype=np.uint32)
+    out = np.full((len(bounds) - 1, PERMUTATIONS), 0xFFFFFFFF, dtype=np.uint32)
     has = np.flatnonzero(np.diff(bounds) > 0)
     at = 0
     while at < len(has):
@@ -131,10 +136,14 @@ def fingerprint(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
         kinds = (pa.int64(), pa.int64(), *[pa.binary()] * 3, pa.float64(), pa.float64(), pa.int64(), pa.int64())
         held = None
         for batch in parts:
-            columns = [batch.column(c).to_pylist() for c in ("_range", "_extra", "doc_id", "text")]
-            for some in batches(list(zip(*columns)), lambda r: len(r[3]), 2_000_000):
-                own = signatures([r[3] for r in some])
-                rows = list(zip(some, own))
+            for some in slices(batch, "text", SLICE_BYTES):
+                columns = [some.column(c).to_pylist() for c in ("_range", "_extra", "doc_id", "text")]
+                flat, bounds = shingle_list(columns[3], WIDTH)
+                named = []
+                for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+                    grams = np.unique(flat[i:j])
+                    named.append((len(grams), set_key(grams)))
+                rows = list(zip(zip(*columns, named), _least_values(flat, bounds)))
                 if held is not None:
                     rows.insert(0, held)
                 held = rows[-1]
@@ -144,11 +153,10 @@ def fingerprint(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
                     cut = len(a[3]) // 4
                     edited.append(a[3][: len(a[3]) - cut] + b[3][:cut])
                 out: list[list] = [[] for _ in names]
-                sets = shingle_sets([a[3] for (a, _), _ in pairs], WIDTH) if pairs else []
-                for ((a, sig), (_, after)), text, sig2, grams in zip(pairs, edited, signatures(edited) if edited else (), sets):
+                for ((a, sig), (_, after)), text, sig2 in zip(pairs, edited, signatures(edited) if edited else ()):
                     row = (
                         a[2], len(a[3]), hashlib.sha256(text.encode()).digest(), _packed(sig), _packed(sig2),
-                        float((sig == sig2).mean()), float((sig == after).mean()), len(grams), set_key(grams),
+                        float((sig == sig2).mean()), float((sig == after).mean()), *a[4],
                     )
                     for column, v in zip(out, row):
                         column.append(v)
