@@ -40,34 +40,39 @@ def _blocks(total):
     return F.greatest(F.lit(1), F.ceil(total / BLOCK_IDS)).cast("int")
 
 
-def _likely_pairs(shared: DataFrame, num: int, den: int) -> DataFrame:
+def _likely_pairs(shared: DataFrame, ends: DataFrame | None, num: int, den: int) -> DataFrame:
     """(leader, key, n): pairs of the small groups whose shared tokens leave the threshold in reach.
 
-    A set's first ``p`` ids are posted, up to the id ``w``. Of two sets, all common ids up to the smaller ``w``
-    are posted by both, so the overlap is at most the tokens they share here, plus what they may share in
-    large groups, plus what the set with the smaller ``w`` has beyond its posted ids.
+    ``ends`` (key, w) has the last posted id of each set, of which the first ``p`` are posted. Of two sets, all
+    common ids up to the smaller ``w`` are posted by both, so the overlap is at most the tokens they share here,
+    plus what they may share in large groups, plus what the set with the smaller ``w`` has beyond its posted ids.
     """
-    large = shared.where("large").groupBy("key").agg(F.count(F.lit(1)).alias("h"))
-    few = shared.where("NOT large").select("token", "key", "n", "p", "w").join(large, "key", "left").fillna(0, ["h"])
+    few = shared.where("NOT large").select("token", "key", "n")
     mine, theirs = few.alias("x"), few.alias("y")
     meets = (
         mine.join(theirs, (F.col("x.token") == F.col("y.token")) & (F.col("x.key") < F.col("y.key"))
                   & (den * F.least("x.n", "y.n") >= num * F.greatest("x.n", "y.n")))
         .groupBy(F.col("x.key").alias("leader"), F.col("y.key").alias("key"))
-        .agg(F.count(F.lit(1)).alias("c"), *[F.max(f"{t}.{v}").alias(f"{v}{t}") for t in "xy" for v in "npwh"])
+        .agg(F.count(F.lit(1)).alias("c"), F.max("x.n").alias("nx"), F.max("y.n").alias("ny"))
     )
-    beyond = F.when(F.col("wx") <= F.col("wy"), F.col("nx") - F.col("px")).otherwise(F.col("ny") - F.col("py"))
-    most = F.col("c") + F.least("hx", "hy") + beyond
+    if ends is None:
+        return meets.select("leader", "key", F.col("ny").alias("n"))
+    of = lambda t, name: ends.select(F.col("key").alias(name), F.col("w").alias(f"w{t}"), F.col("h").alias(f"h{t}"))
+    meets = meets.join(of("x", "leader"), "leader").join(of("y", "key"), "key")
+    beyond = lambda n: F.ceil(num * F.col(n) / F.lit(den)) - 1
+    most = F.col("c") + F.least("hx", "hy") + F.when(F.col("wx") <= F.col("wy"), beyond("nx")).otherwise(beyond("ny"))
     return meets.where((num + den) * most >= num * (F.col("nx") + F.col("ny"))).select("leader", "key", F.col("ny").alias("n"))
 
 
 def resolve(
-    docs: DataFrame, rows: DataFrame, postings: DataFrame, sets_of: Callable[[DataFrame], DataFrame], num: int, den: int
+    docs: DataFrame, rows: DataFrame, postings: DataFrame, sets_of: Callable[[DataFrame], DataFrame], num: int, den: int,
+    prefixes: bool,
 ) -> DataFrame:
     """``rows`` (doc_id, n, key, others) as (doc_id, n_shingles, component_id, others), by their ``postings``.
 
-    Two classes can only be linked if they share a token of ``postings`` (token, key, n, p, w): the first ``p`` ids
-    of a set of ``n``, the last of them ``w``. ``sets_of(docs)`` gives (key, ids) with sorted ids. Tokens of at most
+    Two classes can only be linked if they share a token of ``postings`` (token, key, n: the size of the set). With
+    ``prefixes``, the tokens are the first ``n - ceil(n * num / den) + 1`` ids of the sorted set. ``sets_of(docs)``
+    gives (key, ids) with sorted ids. Tokens of at most
     FEW rows give pairs, which are counted and cut by an upper bound of their overlap. Larger groups are
     joined around their smallest class, then, in pairs of blocks, those of their classes that are still in
     different components.
@@ -77,14 +82,20 @@ def resolve(
     ).where("leader < other")
     shared = written(
         postings.join(sizes.select("token", "leader", (F.col("k") > FEW).alias("large")), "token")
-        .groupBy("token", "leader", "large", "key").agg(F.max("n").alias("n"), F.max("p").alias("p"), F.max("w").alias("w")),
+        .groupBy("token", "leader", "large", "key").agg(F.max("n").alias("n")),
         "shared",
     )
+    ends = None
+    if prefixes:
+        held = shared.groupBy("key").agg(F.sum(F.col("large").cast("long")).alias("h"))
+        ends = written(postings.groupBy("key").agg(F.max("token").alias("w")).join(held, "key"), "ends")
     pairs = written(
         shared.where("large AND key <> leader").select("leader", "key", "n")
-        .unionByName(_likely_pairs(shared, num, den)).groupBy("leader", "key").agg(F.max("n").alias("n")),
+        .unionByName(_likely_pairs(shared, ends, num, den)).groupBy("leader", "key").agg(F.max("n").alias("n")),
         "pairs",
     )
+    if ends is not None:
+        discard(ends)
     names = pairs.select("key").unionByName(pairs.select(F.col("leader").alias("key"))).distinct()
     known = lambda c: F.coalesce(F.col(c), F.lit(_NO_ID))
     holders = written(

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.candidate_groups import resolve
 from tidemark.llm.ngram_join import set_key
 from tidemark.llm.shingles import mixed, shingle_list, shingle_sets
-from tidemark.llm.tokens import batches, slices
+from tidemark.llm.tokens import slices
 from tidemark.session import written
 
 WIDTH = 5
@@ -181,7 +181,7 @@ def fingerprint(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
         conf.unset(_CLEANUP) if before is None else conf.set(_CLEANUP, before)
     hashed = rows.where("key IS NOT NULL").select("fingerprint", "key", "n").mapInArrow(bands, "bands array<long>, key long, n long")
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    classed = resolve(base, rows, _postings(hashed), _whole_sets, num, den)
+    classed = resolve(base, rows, _postings(hashed), _whole_sets, num, den, prefixes=False)
     text = lambda c: F.lower(F.hex(c)).alias(c)
     return classed.select(
         "doc_id", "n_chars", text("edited_sha256"), text("fingerprint"), text("edited_fingerprint"), "near_edited", "near_next",
@@ -190,9 +190,7 @@ def fingerprint(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
 
 
 def _postings(rows: DataFrame) -> DataFrame:
-    return rows.select(
-        F.explode("bands").alias("token"), "key", "n", F.lit(0).cast("long").alias("p"), F.lit(0).cast("long").alias("w")
-    )
+    return rows.select(F.explode("bands").alias("token"), "key", "n")
 
 
 def _whole_sets(chosen: DataFrame) -> DataFrame:
@@ -200,15 +198,15 @@ def _whole_sets(chosen: DataFrame) -> DataFrame:
         import pyarrow as pa
 
         for batch in parts:
-            for some in batches(batch.column(1).to_pylist(), lambda t: len(t or ""), 2_000_000):
-                sets = [s for s in shingle_sets(some, WIDTH) if len(s)]
+            for part in slices(batch, "text", SLICE_BYTES):
+                sets = [s for s in shingle_sets(part.column("text").to_pylist(), WIDTH) if len(s)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([set_key(s) for s in sets], pa.int64()),
                      pa.array([np.sort(s.view(np.int64)) for s in sets], pa.list_(pa.int64()))],
                     names=["key", "ids"],
                 )
 
-    return chosen.select("doc_id", F.col("text").cast("string")).mapInArrow(run, "key long, ids array<long>")
+    return chosen.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, "key long, ids array<long>")
 
 
 def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
@@ -222,12 +220,11 @@ def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame
         import pyarrow as pa
 
         for batch in parts:
-            pairs = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
-            for some in batches(pairs, lambda r: len(r[1] or ""), 2_000_000):
-                texts = [t for _, t in some]
+            for some in slices(batch, "text", SLICE_BYTES):
+                texts = some.column("text").to_pylist()
                 sets = shingle_sets(texts, WIDTH)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([d for d, _ in some], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
+                    [some.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([set_key(s) for s in sets], pa.int64()),
                      pa.array(list(_band_hashes(signatures(texts))), pa.list_(pa.int64()))],
                     names=["doc_id", "n", "key", "bands"],
@@ -236,4 +233,4 @@ def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = written(base.mapInArrow(describe, "doc_id long, n long, key long, bands array<long>"), "bands")
     postings = _postings(rows.where("key IS NOT NULL"))
-    return resolve(base, rows.select("doc_id", "n", "key"), postings, _whole_sets, num, den)
+    return resolve(base, rows.select("doc_id", "n", "key"), postings, _whole_sets, num, den, prefixes=False)

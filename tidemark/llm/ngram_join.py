@@ -30,11 +30,12 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.candidate_groups import resolve
 from tidemark.llm.shingles import shingle_sets
-from tidemark.llm.tokens import batches
+from tidemark.llm.tokens import slices
 from tidemark.session import discard, written
 
 BUCKETS = 1 << 20
 CHUNK = 1 << 12
+SLICE_BYTES = 1_000_000
 
 
 def _over_texts(docs: DataFrame, width: int, schema: str, rows: Callable) -> DataFrame:
@@ -42,9 +43,8 @@ def _over_texts(docs: DataFrame, width: int, schema: str, rows: Callable) -> Dat
 
     def run(parts: Iterator) -> Iterator:
         for batch in parts:
-            pairs = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
-            for some in batches(pairs, lambda r: len(r[1] or ""), 2_000_000):
-                yield from rows([d for d, _ in some], shingle_sets([t for _, t in some], width))
+            for some in slices(batch, "text", SLICE_BYTES):
+                yield from rows(some.column("doc_id").to_pylist(), shingle_sets(some.column("text").to_pylist(), width))
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
         run, schema
@@ -71,14 +71,13 @@ def describe(docs: DataFrame, width: int) -> DataFrame:
 
         counts = np.zeros(BUCKETS, dtype=np.uint32)
         for batch in parts:
-            rows = list(zip(*[batch.column(i).to_pylist() for i in range(3)]))
-            for some in batches(rows, lambda r: len(r[1] or ""), 2_000_000):
-                ids, texts, hashes = zip(*some)
-                sets = shingle_sets(list(texts), width)
+            for some in slices(batch, "text", SLICE_BYTES):
+                ids, texts, hashes = (some.column(i).to_pylist() for i in range(3))
+                sets = shingle_sets(texts, width)
                 counts += np.bincount(_bucket(np.concatenate(sets)), minlength=BUCKETS).astype(np.uint32)
                 columns = (ids, [len(s) for s in sets], [set_key(s) for s in sets], hashes)
                 yield pa.RecordBatch.from_arrays(
-                    [*[pa.array(c, pa.int64()) for c in columns], pa.nulls(len(some), pa.int32()), pa.nulls(len(some), pa.binary())],
+                    [*[pa.array(c, pa.int64()) for c in columns], pa.nulls(len(ids), pa.int32()), pa.nulls(len(ids), pa.binary())],
                     names=names,
                 )
         parts_of = counts.reshape(-1, CHUNK)
@@ -89,7 +88,7 @@ def describe(docs: DataFrame, width: int) -> DataFrame:
             names=names,
         )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.xxhash64("text")).mapInArrow(
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"), F.xxhash64("text")).mapInArrow(
         run, "doc_id long, n long, key long, text_hash long, chunk int, counts binary"
     )
 
@@ -129,17 +128,17 @@ def _postings(docs: DataFrame, width: int, ranks, num: int, den: int) -> DataFra
     import pyarrow as pa
 
     def rows(_, sets):
-        columns: list[list] = [[], [], [], [], []]
+        columns: list[list] = [[], [], []]
         for s in sets:
             if len(s):
                 first = len(s) - -(-num * len(s) // den) + 1
                 ids = ordered_ids(s, ranks.value)[:first]
-                for column, v in zip(columns, (ids, set_key(s), len(s), first, ids[-1])):
+                for column, v in zip(columns, (ids, set_key(s), len(s))):
                     column.append(v if column is columns[0] else np.full(first, v, dtype=np.int64))
         if columns[0]:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], names=["token", "key", "n", "p", "w"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], names=["token", "key", "n"])
 
-    return _over_texts(docs, width, "token long, key long, n long, p long, w long", rows)
+    return _over_texts(docs, width, "token long, key long, n long", rows)
 
 
 def _sets(docs: DataFrame, width: int, ranks) -> DataFrame:
@@ -172,6 +171,6 @@ def join_documents(docs: DataFrame, width: int = 5, num: int = 80, den: int = 10
     def sets_of(chosen: DataFrame) -> DataFrame:
         return _sets(chosen, width, ranks)
 
-    out = resolve(docs, rows, postings, sets_of, num, den)
+    out = resolve(docs, rows, postings, sets_of, num, den, prefixes=True)
     discard(postings)
     return out
