@@ -10,8 +10,9 @@ number), has Jaccard similarity 0.8 or more with it.
 * Prefix filter: only the first ``n - ceil(0.8 n) + 1`` tokens are posted, once per key (so
   copies of a line weigh nothing), and only tokens that two keys post go on. Length and positional filters cut the candidates.
 * Each key is first compared with the earliest key at its tokens, which settles groups of
-  near copies with as many comparisons as keys. Only keys without a match there are
-  compared with all earlier keys that share a token.
+  near copies with as many comparisons as keys. Only keys without a match there meet all
+  earlier keys that share a token, and a pair is compared only if the number of tokens
+  it shares leaves the similarity in reach.
 * Candidates are verified on the whole sets of 64-bit shingle hashes of their lines.
 
 Built-in functions only. Hash sets of lines go through the shared folder and are
@@ -99,6 +100,21 @@ def _ordered(ids: Column, busy: list[int], busiest: list[int]) -> Column:
     return F.sort_array(F.transform(ids, token))
 
 
+def _prefix(n: Column) -> Column:
+    """How many tokens of a set of ``n`` are posted."""
+    return n - F.floor((4 * n + 4) / 5).cast("int") + 1
+
+
+def _in_reach(c: Column, a: Column, last_a: Column, b: Column, last_b: Column) -> Column:
+    """Whether sets of sizes a, b that share ``c`` posted tokens can reach the similarity.
+
+    All common tokens up to the smaller of the last posted ones are posted by both; of the set with that last
+    one, only the tokens that are not posted can be common beyond it.
+    """
+    beyond = F.when(last_a <= last_b, a - _prefix(a)).otherwise(b - _prefix(b))
+    return 9 * (c + beyond) >= 4 * (a + b)
+
+
 def _possible(a: Column, i: Column, b: Column, j: Column) -> Column:
     """Length and positional filters for sets of sizes a, b that meet at positions i, j."""
     need = F.ceil(4 * (a + b) / F.lit(9))
@@ -141,20 +157,18 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     place = F.struct("_d", "_h", "line")
     where = written(sets.select("key", place.alias("place")), "line-places")
     busy, busiest = _busy_buckets(sets)
-    # Different sets of fewer than four tokens cannot reach 0.8.
-    prefix = F.col("n") - F.floor((4 * F.col("n") + 4) / 5).cast("int") + 1
     repeated = written(
         where.groupBy("key").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first < last").drop("last"),
         "line-repeats",
     )
+    # Different sets of fewer than four tokens cannot reach 0.8.
     once = sets.where("n >= 4").join(_if_small(repeated), "key", "left").where("first IS NULL OR first = struct(_d, _h, line)")
-    posted = once.select(
-        "key", "n", F.posexplode(F.slice(_ordered(F.col("ids"), busy, busiest), 1, prefix)).alias("pos", "token")
-    )
+    first_ids = once.select("key", "n", F.slice(_ordered(F.col("ids"), busy, busiest), 1, _prefix(F.col("n"))).alias("ids"))
+    posted = first_ids.select("key", "n", F.element_at("ids", -1).alias("last"), F.posexplode("ids").alias("pos", "token"))
     alike = Window.partitionBy("token")
     shared = written(
         posted.select("*", F.min("key").over(alike).alias("low"), F.max("key").over(alike).alias("high"))
-        .where("low < high").select("token", "key", "n", "pos").distinct(),
+        .where("low < high").select("token", "key", "n", "pos", "last").distinct(),
         "line-shared",
     )
     discard(sets)
@@ -173,13 +187,19 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     )
     settled = _verified(docs, near, "line-first")
     open_keys = groups.join(settled, "key", "left_anti")
-    earlier = groups.select("token", F.col("key").alias("other"), F.col("place").alias("other_place"), F.col("n").alias("m"), F.col("pos").alias("at"))
+    earlier = groups.select(
+        "token", F.col("key").alias("other"), F.col("place").alias("other_place"), F.col("n").alias("m"), F.col("last").alias("other_last")
+    )
+    meets = open_keys.join(
+        earlier,
+        (open_keys["token"] == earlier["token"]) & (F.col("other_place") < F.col("place")) & (F.col("key") != F.col("other"))
+        & (5 * F.least("n", "m") >= 4 * F.greatest("n", "m")),
+    ).groupBy("key", "other").agg(
+        F.count(F.lit(1)).alias("c"), *[F.max(c).alias(c) for c in ("n", "m", "last", "other_last", "place", "other_place")]
+    )
     rest = written(
-        open_keys.join(
-            earlier,
-            (open_keys["token"] == earlier["token"]) & (F.col("other_place") < F.col("place")) & (F.col("key") != F.col("other"))
-            & _possible(F.col("n"), F.col("pos"), F.col("m"), F.col("at")),
-        ).select("key", "place", "other", "other_place").distinct().join(near, ["key", "other"], "left_anti"),
+        meets.where(_in_reach(F.col("c"), F.col("n"), F.col("last"), F.col("m"), F.col("other_last")))
+        .select("key", "place", "other", "other_place").join(near, ["key", "other"], "left_anti"),
         "line-pairs",
     )
     matched = settled.unionByName(_verified(docs, rest, "line-rest")).distinct().withColumn("matched", F.lit(True))
