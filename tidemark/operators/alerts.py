@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.ordered import run_starts, time_slice
 from tidemark.functions.rows import attach_one_row
 from tidemark.operators import metrics
+from tidemark.operators.measures import Measure, measured, wide
 
 
 @dataclass(frozen=True)
@@ -25,6 +26,7 @@ class AlertRule:
     labels: Mapping[str, str] = field(default_factory=dict)
     enabled: bool = True
     repeat_seconds: int = 4 * 3600
+    per_series: bool = False
 
 
 @dataclass(frozen=True)
@@ -43,13 +45,29 @@ class Silence:
 
 
 def evaluate_rules(wide: DataFrame, rules: Sequence[AlertRule], ts: str = "ts") -> DataFrame:
-    """One row per tick and enabled rule; a null condition counts as not met."""
+    """One row per tick and enabled rule; a null condition counts as not met.
+
+    On a frame by scope and labels (``metric_rule_inputs``) a rule looks at the rows of its
+    scope, and ``labels`` tells its alerts apart. A rule per series looks at the ticks at which
+    its own metric has samples; other metrics may have the same labels.
+    """
     verdicts = [
         F.struct(F.lit(r.name).alias("rule"), F.coalesce(r.condition, F.lit(False)).alias("met"))
         for r in rules
         if r.enabled
     ]
-    return wide.select(F.col(ts).alias("ts"), F.inline(F.array(*verdicts)))
+    if "scope" not in wide.columns:
+        return wide.select(F.col(ts).alias("ts"), F.inline(F.array(*verdicts)))
+    own = F.array_compact(F.array(*[
+        F.when(r.condition.isNotNull() & (F.col("scope") == "series") if r.per_series else F.col("scope") == "", v)
+        for r, v in zip([r for r in rules if r.enabled], verdicts)
+    ]))
+    return wide.select(F.col(ts).alias("ts"), "labels", F.inline(own))
+
+
+def _alert_keys(evals: DataFrame) -> list[str]:
+    """What tells alerts apart: the rule, and the label set where there is one."""
+    return ["rule", "labels"] if "labels" in evals.columns else ["rule"]
 
 
 def _per_rule(rules: Sequence[AlertRule], attribute: str) -> Column:
@@ -59,7 +77,7 @@ def _per_rule(rules: Sequence[AlertRule], attribute: str) -> Column:
 
 def _true_runs(evals: DataFrame, slice_seconds: int) -> DataFrame:
     """Evaluations with ``was`` (previous verdict) and ``run_start`` (first true)."""
-    return run_starts(evals, ["rule"], ["ts"], "met", time_slice(F.col("ts"), slice_seconds))
+    return run_starts(evals, _alert_keys(evals), ["ts"], "met", time_slice(F.col("ts"), slice_seconds))
 
 
 def tick_states(evals: DataFrame, rules: Sequence[AlertRule], slice_seconds: int = 86400) -> DataFrame:
@@ -69,7 +87,7 @@ def tick_states(evals: DataFrame, rules: Sequence[AlertRule], slice_seconds: int
     due = _per_rule(rules, "for_seconds").cast("bigint") * 1_000_000
     state = F.when(~F.col("met"), "inactive").when(waited >= due, "firing").otherwise("pending")
     return runs.select(
-        "rule", "ts", state.alias("state"), F.when(F.col("met"), F.col("run_start")).alias("started_at")
+        *_alert_keys(evals), "ts", state.alias("state"), F.when(F.col("met"), F.col("run_start")).alias("started_at")
     )
 
 
@@ -83,7 +101,7 @@ def alert_states(evals: DataFrame, rules: Sequence[AlertRule], slice_seconds: in
     waited = F.unix_micros("ts") - F.unix_micros("run_start")
     due = _per_rule(rules, "for_seconds").cast("bigint") * 1_000_000
     return (
-        runs.groupBy("rule", F.col("run_start").alias("started_at"))
+        runs.groupBy(*_alert_keys(evals), F.col("run_start").alias("started_at"))
         .agg(
             F.min(F.when(F.col("met") & (waited >= due), F.col("ts"))).alias("fired_at"),
             F.min(F.when(~F.col("met"), F.col("ts"))).alias("resolved_at"),
@@ -219,40 +237,6 @@ def standard_rules(wide: DataFrame) -> list[AlertRule]:
 # ---- rules and panels over metric samples -------------------------------------------
 
 
-def _of(samples: DataFrame, name: str) -> DataFrame:
-    return samples.where(F.col("name") == name).withColumn("series", metrics.label_text(F.col("labels")))
-
-
-def rate_by(
-    samples: DataFrame, name: str, seconds: int, by: Sequence[str] = (), step: int = 60,
-    bounds: DataFrame | None = None,
-) -> DataFrame:
-    """Per tick: increase and rate of a counter, summed by labels."""
-    rows = _of(samples, name).withColumns({b: F.col("labels")[b] for b in by})
-    return metrics.tick_increase(rows, list(by), step, seconds, ["series", *by], bounds=bounds)
-
-
-def quantile_by(
-    samples: DataFrame, name: str, q: float, seconds: int, by: Sequence[str] = (), step: int = 60,
-    bounds: DataFrame | None = None,
-) -> DataFrame:
-    """Per tick: quantile of a histogram from the growth of its ``_bucket`` counters."""
-    rows = _of(samples, f"{name}_bucket").withColumns({b: F.col("labels")[b] for b in by})
-    edge = F.col("labels")["le"]
-    rows = rows.withColumn("le", F.when(edge == "+Inf", float("inf")).otherwise(edge.try_cast("double")))
-    grown = metrics.tick_increase(rows, [*by, "le"], step, seconds, ["series", *by, "le"], bounds=bounds)
-    return metrics.histogram_quantile(grown, q, [*by, "tick"], "le", "increase")
-
-
-def gauge_by(samples: DataFrame, name: str, by: Sequence[str] = (), step: int = 60) -> DataFrame:
-    """Per tick: last value of a gauge in each series, summed by labels."""
-    rows = _of(samples, name).withColumns({b: F.col("labels")[b] for b in by})
-    last = rows.groupBy("series", *by, metrics.tick("ts", step).alias("tick")).agg(
-        F.max_by("value", "ts").alias("value")
-    )
-    return last.groupBy(*by, "tick").agg(F.sum("value").alias("value"))
-
-
 # Dashboard panels as (function, metric, arguments).
 PANELS = {
     "events_rate": ("rate", "cdc_consumer_events_total", {"seconds": 300}),
@@ -275,59 +259,62 @@ PANELS = {
 }
 
 
-def share_by(samples: DataFrame, name: str, other: str, seconds: int, step: int = 60) -> DataFrame:
-    """Per tick: rate of one counter over the sum of both rates; null when both are 0."""
-    a = rate_by(samples, name, seconds, step=step).select("tick", F.col("rate").alias("_a"))
-    b = rate_by(samples, other, seconds, step=step).select("tick", F.col("rate").alias("_b"))
-    x, y = F.coalesce("_a", F.lit(0.0)), F.coalesce("_b", F.lit(0.0))
-    return a.join(b, "tick", "full_outer").select("tick", (x / F.nullif(x + y, F.lit(0.0))).alias("value"))
+def _panel_measures(name: str) -> list[Measure]:
+    """The measures behind a panel; a share has two."""
+    kind, metric, args = PANELS[name]
+    by = tuple(args.get("by", ()))
+    if kind == "share":
+        other = {**args}.pop("other")
+        return [Measure(f"{name}/{part}", "rate", m, args["seconds"]) for part, m in (("part", metric), ("rest", other))]
+    return [Measure(name, kind, metric, args.get("seconds", 300), by, args.get("q"))]
+
+
+def panels(samples: DataFrame, names: Sequence[str] | None = None, step: int = 60) -> DataFrame:
+    """The data behind dashboard panels, all in one pass: panel, labels, tick, value."""
+    names = list(PANELS if names is None else names)
+    rows = measured(samples, [m for name in names for m in _panel_measures(name)], step)
+    out = rows.where(~F.contains("measure", F.lit("/"))).select(F.col("measure").alias("panel"), "labels", "tick", "value")
+    part, rest = (F.sum(F.when(F.endswith("measure", F.lit(f"/{end}")), F.col("value"))) for end in ("part", "rest"))
+    shares = (
+        rows.where(F.contains("measure", F.lit("/")))
+        .groupBy(F.substring_index("measure", "/", 1).alias("panel"), "labels", "tick")
+        .agg(F.coalesce(part, F.lit(0.0)).alias("x"), F.coalesce(rest, F.lit(0.0)).alias("y"))
+    )
+    return out.unionByName(shares.select("panel", "labels", "tick", (F.col("x") / F.nullif(F.col("x") + F.col("y"), F.lit(0.0))).alias("value")))
 
 
 def panel(samples: DataFrame, name: str, step: int = 60) -> DataFrame:
-    """The data behind one dashboard panel: tick, labels, value."""
-    kind, metric, args = PANELS[name]
-    if kind in ("rate", "increase"):
-        return rate_by(samples, metric, step=step, **args).select(
-            *args.get("by", []), "tick", F.col(kind).alias("value")
-        )
-    if kind == "quantile":
-        return quantile_by(samples, metric, step=step, **args).withColumnRenamed("quantile", "value")
-    if kind == "share":
-        return share_by(samples, metric, step=step, **args)
-    return gauge_by(samples, metric, step=step, **args)
+    """The data behind one dashboard panel: its labels, tick, value."""
+    by = PANELS[name][2].get("by", [])
+    text = lambda b: F.nullif(F.regexp_extract("labels", f'(?:^|,){b}="(.*?)"(?:,[a-zA-Z_]+="|$)', 1), F.lit(""))
+    return panels(samples, [name], step).select(*[text(b).alias(b) for b in by], "tick", "value")
+
+
+# What the metric rules look at, as (column, kind, metric, window) and what follows.
+RULE_MEASURES = (
+    Measure("up", "gauge", "up", by=None),
+    Measure("failed_rate", "rate", "cdc_consumer_events_failed_total"),
+    Measure("events_rate", "rate", "cdc_consumer_events_total"),
+    Measure("events_rate_10m", "rate", "cdc_consumer_events_total", 600),
+    Measure("processing_p99", "quantile", "cdc_consumer_processing_duration_seconds", q=0.99),
+    Measure("connection_errors", "increase", "cdc_postgres_connection_errors_total", by=None),
+    Measure("replica_write_p95", "quantile", "cdc_postgres_write_duration_seconds", q=0.95),
+    Measure("archive_buffer", "gauge", "cdc_minio_buffer_size"),
+    Measure("archive_write_p95", "quantile", "cdc_minio_write_duration_seconds", q=0.95),
+    Measure("duplicate_rate", "rate", "cdc_dedup_cache_hits_total"),
+    Measure("unique_rate", "rate", "cdc_dedup_cache_misses_total"),
+    Measure("dedup_cache_size", "gauge", "cdc_dedup_cache_size", by=None),
+)
 
 
 def metric_rule_inputs(samples: DataFrame, step: int = 60) -> DataFrame:
-    """The wide frame per tick the metric rules need; ticks without samples are kept."""
-    bounds = metrics.tick_bounds(samples, "ts", step)
-
-    def rate(metric: str, seconds: int, name: str, kind: str = "rate") -> DataFrame:
-        return rate_by(samples, metric, seconds, step=step, bounds=bounds).select("tick", F.col(kind).alias(name))
-
-    def gauge(metric: str, name: str) -> DataFrame:
-        return gauge_by(samples, metric, step=step).select("tick", F.col("value").alias(name))
-
-    def quantile(metric: str, q: float, name: str) -> DataFrame:
-        return quantile_by(samples, metric, q, 300, step=step, bounds=bounds).select("tick", F.col("quantile").alias(name))
-
-    parts = [
-        gauge("up", "up"),
-        rate("cdc_consumer_events_failed_total", 300, "failed_rate"),
-        rate("cdc_consumer_events_total", 300, "events_rate"),
-        rate("cdc_consumer_events_total", 600, "events_rate_10m"),
-        quantile("cdc_consumer_processing_duration_seconds", 0.99, "processing_p99"),
-        rate("cdc_postgres_connection_errors_total", 300, "connection_errors", "increase"),
-        quantile("cdc_postgres_write_duration_seconds", 0.95, "replica_write_p95"),
-        gauge("cdc_minio_buffer_size", "archive_buffer"),
-        quantile("cdc_minio_write_duration_seconds", 0.95, "archive_write_p95"),
-        rate("cdc_dedup_cache_hits_total", 300, "duplicate_rate"),
-        rate("cdc_dedup_cache_misses_total", 300, "unique_rate"),
-        gauge("cdc_dedup_cache_size", "dedup_cache_size"),
-    ]
-    wide = metrics.tick_grid(bounds.select(), bounds, step)
-    for part in parts:
-        wide = wide.join(part, "tick", "left")
-    return wide.withColumnRenamed("tick", "ts")
+    """What the metric rules look at: a row per scope, labels and tick, from one pass over the samples.
+
+    Scope ``series`` has a row for each series by itself, at ticks where it has samples; the empty scope has sums
+    over all series, and keeps the ticks without samples.
+    """
+    rows = measured(samples, RULE_MEASURES, step, every_tick=True)
+    return wide(rows, [m.name for m in RULE_MEASURES]).withColumnRenamed("tick", "ts")
 
 
 def metric_rules() -> list[AlertRule]:
@@ -338,7 +325,7 @@ def metric_rules() -> list[AlertRule]:
 
     both = F.col("duplicate_rate") + F.col("unique_rate")
     return [
-        AlertRule("CDCConsumerDown", F.col("up") == 0, "critical", "CDC consumer is down", 60),
+        AlertRule("CDCConsumerDown", F.col("up") == 0, "critical", "CDC consumer is down", 60, per_series=True),
         AlertRule("CDCHighFailureRate", per("failed_rate", F.col("events_rate")) > 0.05, "warning",
                   "High failure rate", 300),
         AlertRule("CDCNoEventsProcessed", F.col("events_rate_10m") == 0, "warning",
@@ -346,14 +333,14 @@ def metric_rules() -> list[AlertRule]:
         AlertRule("CDCHighProcessingLatency", F.col("processing_p99") > 1.0, "warning",
                   "High processing latency", 300),
         AlertRule("CDCPostgresConnectionErrors", F.col("connection_errors") > 5, "warning",
-                  "PostgreSQL connection errors detected", 120),
+                  "PostgreSQL connection errors detected", 120, per_series=True),
         AlertRule("CDCPostgresSlowWrites", F.col("replica_write_p95") > 0.5, "warning", "Slow replica writes", 300),
         AlertRule("CDCMinIOBufferBacklog", F.col("archive_buffer") > 1000, "warning",
                   "MinIO buffer backlog growing", 300),
         AlertRule("CDCMinIOSlowWrites", F.col("archive_write_p95") > 5.0, "warning", "Slow archive writes", 300),
         AlertRule("CDCHighDuplicateRate", per("duplicate_rate", both) > 0.1, "info", "High duplicate rate", 600),
         AlertRule("CDCDedupCacheNearCapacity", F.col("dedup_cache_size") / 100000 > 0.9, "warning",
-                  "Deduplication cache near capacity", 300),
+                  "Deduplication cache near capacity", 300, per_series=True),
     ]
 
 

@@ -9,7 +9,7 @@ from tidemark.operators import alerts, metrics
 from tidemark.plans import adapters as a
 from tidemark.plans import change_log as cl
 from tidemark.plans.registry import plain, query
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, written
 from tidemark.sources.events import parse_events
 
 BOUNDS = (1, 5, 10, 25, 50, 100, 250, 500)
@@ -611,3 +611,187 @@ query(
         .select("ts", "rule")
     )
 )
+
+
+# ---- all rules and panels, by series -------------------------------------------------
+
+# Derived samples: metric -> (rows, labels, what a counter grows by or a gauge shows), in words both engines read.
+_INSTANCE = {"instance": "'i' || (user_id % 3)"}
+_COUNTERS = {
+    "cdc_consumer_events_total": ("true", {"topic": "event_type"}, "1"),
+    "cdc_consumer_events_processed_total": ("event_type <> 'error'", {"sink": "'s' || (user_id % 4)"}, "1"),
+    "cdc_consumer_events_failed_total": (
+        "event_type = 'error'", {"sink": "'s' || (user_id % 4)", "error_type": "'e' || (event_id % 2)"}, "1"),
+    "cdc_postgres_connection_errors_total": ("event_id % 2 = 0", _INSTANCE, "event_id % 9"),
+    "cdc_minio_events_archived_total": ("true", {"table": "event_type"}, "1 + event_id % 3"),
+    "cdc_dedup_cache_hits_total": ("event_id % 5 > 0", _INSTANCE, "1"),
+    "cdc_dedup_cache_misses_total": ("event_id % 2 = 0", _INSTANCE, "1"),
+}
+_GAUGES = {
+    "up": ("true", _INSTANCE, "CASE WHEN user_id % 3 = 1 AND event_id % 400 < 40 THEN 0 ELSE 1 END"),
+    "cdc_minio_buffer_size": ("true", {"table": "event_type"}, "event_id % 3000"),
+    "cdc_dedup_cache_size": ("event_id % 3 > 0", _INSTANCE, "80000 + (event_id % 1000) * 20"),
+}
+_HISTOGRAMS = {
+    "cdc_consumer_processing_duration_seconds": ("true", {}, "value / 10"),
+    "cdc_postgres_write_duration_seconds": ("event_id % 2 = 1", {}, "value / 40"),
+    "cdc_minio_write_duration_seconds": ("event_id % 3 = 1", {}, "value / 2"),
+}
+_ALL_EDGES = {"0.1": 0.1, "0.5": 0.5, "1.0": 1.0, "2.5": 2.5, "5.0": 5.0, "10.0": 10.0, "+Inf": float("inf")}
+
+
+def pipeline_samples(spark, d):
+    """Samples of every metric that the rules and panels read, derived from the events."""
+    ev = events(spark, d).select("event_id", "ts", "event_type", "user_id", "value")
+    day = time_slice(F.col("ts"), 86400)
+
+    def sample(rows, name, labels, value):
+        pairs = [x for k, v in labels.items() for x in (F.lit(k), v)]
+        held = F.create_map(*pairs) if pairs else F.create_map().cast("map<string,string>")
+        return rows.select("ts", F.lit(name).alias("name"), held.alias("labels"), value.cast("double").alias("value"))
+
+    def counter(name, rows, keys, labels, amount):
+        summed = running_sum_in_series(rows.withColumns(keys), list(keys), ["ts", "event_id"], {"n": amount}, day)
+        return sample(summed, name, labels, F.col("n"))
+
+    out = []
+    for name, (rows, labels, amount) in _COUNTERS.items():
+        keys = {f"_{k}": F.expr(e) for k, e in labels.items()}
+        out.append(counter(name, ev.where(rows), keys, {k: F.col(f"_{k}") for k in labels}, F.expr(amount)))
+    for name, (rows, labels, value) in _GAUGES.items():
+        out.append(sample(ev.where(rows), name, {k: F.expr(e) for k, e in labels.items()}, F.expr(value)))
+    edges = F.array(*[F.struct(F.lit(k).alias("_le"), F.lit(v).alias("edge")) for k, v in _ALL_EDGES.items()])
+    for name, (rows, _, seconds) in _HISTOGRAMS.items():
+        wide = ev.where(rows).select("*", F.inline(edges))
+        out.append(counter(f"{name}_bucket", wide, {"_k": F.col("_le")}, {"le": F.col("_le")}, (F.expr(seconds) <= F.col("edge")).cast("int")))
+    union = out[0]
+    for part in out[1:]:
+        union = union.unionByName(part)
+    return written(union, "pipeline-samples")
+
+
+def _sql_labels(labels, by) -> str:
+    parts = [f"""'{k}="' || ({labels[k]}) || '"'""" for k in sorted(labels) if k in by]
+    return " || ',' || ".join(parts) or "''"
+
+
+_S = "s AS (SELECT event_id, ts, event_type, user_id, value, epoch_us(ts) // 60000000 + 1 AS k FROM events)"
+
+
+def _sql_growth(metric, by) -> str:
+    """Rows (labels, k, g) of a counter."""
+    rows, labels, amount = _COUNTERS[metric]
+    own = ", ".join(f"({e})" for e in labels.values())
+    return f"""(SELECT labels, k, sum(g) AS g FROM (SELECT {_sql_labels(labels, labels if by is None else by)} AS labels, k,
+      CASE WHEN row_number() OVER (PARTITION BY {own} ORDER BY ts, event_id) = 1 THEN 0 ELSE {amount} END AS g FROM s WHERE {rows}) GROUP BY 1, 2)"""
+
+
+def _sql_quantile(metric, q, grid="") -> str:
+    """Rows (k, p); with ``grid`` (a table of k) at all ticks."""
+    rows, _, seconds = _HISTOGRAMS[metric]
+    edges = ", ".join(f"({v if v < float('inf') else repr('Infinity')}::DOUBLE)" for v in _ALL_EDGES.values())
+    grown = f"""SELECT le, k, sum(CASE WHEN nth > 1 AND seconds <= le THEN 1 ELSE 0 END) AS g FROM (
+      SELECT k, {seconds} AS seconds, row_number() OVER (ORDER BY ts, event_id) AS nth FROM s WHERE {rows}), (VALUES {edges}) e(le) GROUP BY 1, 2"""
+    if grid:
+        grown = f"""SELECT e.le, gr.k, coalesce(b.g, 0) AS g FROM {grid} gr CROSS JOIN (VALUES {edges}) e(le) LEFT JOIN ({grown}) b ON b.le = e.le AND b.k = gr.k"""
+    return "(" + _P.format(
+        q, f"SELECT le, k, sum(g) OVER (PARTITION BY le ORDER BY k RANGE BETWEEN 4 PRECEDING AND CURRENT ROW) AS cum FROM ({grown})"
+    ) + ")"
+
+
+def _sql_panel(name) -> str:
+    kind, metric, args = alerts.PANELS[name]
+    by, tick = args.get("by", []), "CAST(make_timestamp(k * 60000000) AS VARCHAR) AS tick"
+    if kind == "quantile":
+        return f"SELECT '{name}' AS panel, '' AS labels, {tick}, round(p, 6) AS value FROM {_sql_quantile(metric, args['q'])}"
+    if kind == "gauge":
+        rows, labels, value = _GAUGES[metric]
+        full, some = _sql_labels(labels, labels), _sql_labels(labels, by)
+        return f"""SELECT '{name}' AS panel, labels, {tick}, round(CAST(sum(v) AS DOUBLE), 6) AS value FROM (
+          SELECT {some} AS labels, {full} AS series, k, arg_max({value}, ts) AS v FROM s WHERE {rows} GROUP BY 1, 2, 3) GROUP BY 2, k"""
+
+    def windowed(m):
+        span = args["seconds"] // 60 - 1
+        return f"""(SELECT labels, k, sum(g) OVER (PARTITION BY labels ORDER BY k RANGE BETWEEN {span} PRECEDING AND CURRENT ROW) AS n FROM {_sql_growth(m, by)})"""
+
+    if kind == "share":
+        return f"""SELECT '{name}' AS panel, '' AS labels, {tick}, round(x / nullif(x + y, 0), 6) AS value FROM (
+          SELECT k, coalesce(CAST(a.n AS DOUBLE), 0) / 300 AS x, coalesce(CAST(b.n AS DOUBLE), 0) / 300 AS y
+          FROM {windowed(metric)} a FULL JOIN {windowed(args['other'])} b USING (k))"""
+    over = f" / {args['seconds']}" if kind == "rate" else ""
+    return f"SELECT '{name}' AS panel, labels, {tick}, round(CAST(n AS DOUBLE){over}, 6) AS value FROM {windowed(metric)}"
+
+
+query(
+    "panels", a.with_ctes(_S) + " UNION ALL ".join(_sql_panel(name) for name in alerts.PANELS)
+)(lambda spark, d: plain(alerts.panels(pipeline_samples(spark, d)).withColumn("value", F.round("value", 6))))
+
+
+def _sql_total(metric, minutes) -> str:
+    return f"""(SELECT gr.k, CAST(sum(coalesce(c.g, 0)) OVER (ORDER BY gr.k ROWS BETWEEN {minutes - 1} PRECEDING AND CURRENT ROW) AS DOUBLE) / {minutes * 60} AS r
+      FROM grid gr LEFT JOIN {_sql_growth(metric, [])} c ON c.k = gr.k)"""
+
+
+def _sql_series_gauge(metric) -> str:
+    rows, labels, value = _GAUGES[metric]
+    return f"(SELECT {_sql_labels(labels, labels)} AS labels, k, arg_max({value}, ts) AS v FROM s WHERE {rows} GROUP BY 1, 2)"
+
+
+_RULE_EVALS = f"""{_S},
+grid AS (SELECT unnest(generate_series((SELECT min(k) FROM s), (SELECT max(k) FROM s))) AS k),
+evals AS (
+  SELECT 'CDCConsumerDown' AS rule, labels, k, v = 0 AS met, 60 AS secs FROM {_sql_series_gauge('up')}
+  UNION ALL SELECT 'CDCHighFailureRate', '', k, coalesce(f.r / nullif(e.r, 0) > 0.05, false), 300
+    FROM {_sql_total('cdc_consumer_events_failed_total', 5)} f JOIN {_sql_total('cdc_consumer_events_total', 5)} e USING (k)
+  UNION ALL SELECT 'CDCNoEventsProcessed', '', k, r = 0, 600 FROM {_sql_total('cdc_consumer_events_total', 10)}
+  UNION ALL SELECT 'CDCHighProcessingLatency', '', k, coalesce(p > 1.0, false), 300
+    FROM {_sql_quantile('cdc_consumer_processing_duration_seconds', 0.99, grid='grid')}
+  UNION ALL SELECT 'CDCPostgresConnectionErrors', labels, k,
+    sum(g) OVER (PARTITION BY labels ORDER BY k RANGE BETWEEN 4 PRECEDING AND CURRENT ROW) > 5, 120
+    FROM {_sql_growth('cdc_postgres_connection_errors_total', None)}
+  UNION ALL SELECT 'CDCPostgresSlowWrites', '', k, coalesce(p > 0.5, false), 300
+    FROM {_sql_quantile('cdc_postgres_write_duration_seconds', 0.95, grid='grid')}
+  UNION ALL SELECT 'CDCMinIOBufferBacklog', '', gr.k, coalesce(b.v > 1000, false), 300 FROM grid gr LEFT JOIN (
+    SELECT k, sum(v) AS v FROM {_sql_series_gauge('cdc_minio_buffer_size')} GROUP BY 1) b ON b.k = gr.k
+  UNION ALL SELECT 'CDCMinIOSlowWrites', '', k, coalesce(p > 5.0, false), 300
+    FROM {_sql_quantile('cdc_minio_write_duration_seconds', 0.95, grid='grid')}
+  UNION ALL SELECT 'CDCHighDuplicateRate', '', k, coalesce(h.r / nullif(h.r + m.r, 0) > 0.1, false), 600
+    FROM {_sql_total('cdc_dedup_cache_hits_total', 5)} h JOIN {_sql_total('cdc_dedup_cache_misses_total', 5)} m USING (k)
+  UNION ALL SELECT 'CDCDedupCacheNearCapacity', labels, k, v / CAST(100000 AS DOUBLE) > 0.9, 300 FROM {_sql_series_gauge('cdc_dedup_cache_size')})"""
+
+query(
+    "metric_rules_by_series",
+    a.with_ctes(_RULE_EVALS)
+    + "SELECT rule, labels, count(*) AS ticks, count(*) FILTER (met) AS met, CAST(make_timestamp(min(k) FILTER (met) * 60000000) AS VARCHAR) AS first_met FROM evals GROUP BY 1, 2",
+)(
+    lambda spark, d: plain(
+        _by_series(spark, d).groupBy("rule", "labels").agg(
+            F.count(F.lit(1)).alias("ticks"), F.count(F.when(F.col("met"), 1)).alias("met"),
+            F.min(F.when(F.col("met"), F.col("ts"))).alias("first_met"),
+        )
+    )
+)
+
+
+def _by_series(spark, d):
+    """Evaluations of the ten rules; rules per series also report the label set."""
+    inputs = alerts.metric_rule_inputs(pipeline_samples(spark, d))
+    return alerts.evaluate_rules(inputs, alerts.metric_rules())
+
+
+query(
+    "metric_alerts_by_series",
+    a.with_ctes(_RULE_EVALS)
+    + """, marked AS (SELECT *, NOT coalesce(lag(met) OVER w, false) AND met AS begins FROM evals WINDOW w AS (PARTITION BY rule, labels ORDER BY k)),
+      runs AS (SELECT *, sum(begins::INT) OVER (PARTITION BY rule, labels ORDER BY k) AS run FROM marked),
+      spans AS (SELECT rule, labels, run, any_value(secs) AS secs, min(k) FILTER (met) AS a, max(k) FILTER (met) AS z, min(k) FILTER (NOT met) AS stop
+        FROM runs WHERE run > 0 GROUP BY 1, 2, 3),
+      fired AS (SELECT s.*, (SELECT min(r.k) FROM runs r WHERE r.rule = s.rule AND r.labels = s.labels AND r.run = s.run AND r.met
+        AND (r.k - s.a) * 60 >= s.secs) AS f FROM spans s WHERE (z - a) * 60 >= secs)
+      SELECT rule, labels, CAST(make_timestamp(a * 60000000) AS VARCHAR) AS started_at, CAST(make_timestamp(f * 60000000) AS VARCHAR) AS fired_at,
+        CAST(make_timestamp(stop * 60000000) AS VARCHAR) AS resolved_at FROM fired""",
+)(
+    lambda spark, d: plain(
+        alerts.alert_states(_by_series(spark, d), alerts.metric_rules()).select("rule", "labels", "started_at", "fired_at", "resolved_at")
+    )
+)
