@@ -303,20 +303,20 @@ query(
 
 def _bronze_roundtrip(spark, d):
     path = scratch_path(spark, "bronze")
-    # The archive is kept by month here so the check does not open an hour folder per order.
-    events = cl.parsed_log(spark, d).withColumn("event_timestamp", F.date_trunc("month", "event_timestamp"))
-    write_bronze(events, path)
+    write_bronze(cl.parsed_log(spark, d), path)
     got = read_bronze(spark, path, "orders", "1997-03-01 00:00:00", "1998-03-01 00:00:00")
     return plain(
-        got.select("event_id", "operation", "table", "year", "month", F.col("source.lsn").alias("lsn"), "event_timestamp")
+        got.select(
+            "event_id", "operation", "table", "year", "month", "day", "hour", F.col("source.lsn").alias("lsn"), "event_timestamp"
+        )
     )
 
 
 query(
     "bronze_roundtrip",
     a.with_ctes(*cl.LOG_CTES)
-    + """SELECT event_id, operation, tbl AS "table", year(ts) AS year, month(ts) AS month, lsn,
-      CAST(CAST(date_trunc('month', ts) AS TIMESTAMP) AS VARCHAR) AS event_timestamp FROM good
+    + """SELECT event_id, operation, tbl AS "table", year(ts) AS year, month(ts) AS month, day(ts) AS day, hour(ts) AS hour, lsn,
+      CAST(CAST(date_trunc('second', ts) AS TIMESTAMP) AS VARCHAR) AS event_timestamp FROM good
       WHERE tbl = 'orders' AND ts >= TIMESTAMP '1997-03-01' AND ts < TIMESTAMP '1998-03-01'""",
 )(_bronze_roundtrip)
 

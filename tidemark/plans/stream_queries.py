@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tidemark.operators import changes, dedup, replica, silver
@@ -15,26 +16,40 @@ from tidemark.plans.registry import plain, query
 from tidemark.plans.shop_queries import STG_ORDERS
 from tidemark.session import scratch_path, written
 from tidemark.sources.events import parse_events, stream_events, valid_events
-from tidemark.streaming import ingest, stateful, windows
+from tidemark.streaming import ingest, late, stateful, windows
 
 
-def _in_order(df, spark, label, order, parts=3):
-    """Store a table as a few files that arrive in order, and open it as a stream."""
-    path = scratch_path(spark, label)
-    df = written(df, f"{label}-rows")
-    cuts = df.agg(F.percentile_approx(order, [i / parts for i in range(1, parts)], 1000).alias("c")).first()["c"]
-    edges = [None, *cuts, None]
-    for low, high in zip(edges, edges[1:]):
-        part = df if low is None else df.where(F.col(order) > F.lit(low))
-        part = part if high is None else part.where(F.col(order) <= F.lit(high))
-        part.coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+class _Arrivals:
+    """A table that arrives in waves, each a run of the stream from its checkpoint.
 
+    ``wave`` is a column of small numbers, or ``order`` is cut into three parts. The rows of a wave are
+    written by as many tasks as they have partitions, and a run takes all of them as one micro-batch.
+    """
 
-def _collected(spark, stream, label, keys=None):
+    def __init__(self, spark, df, label, order=None, wave=None):
+        if wave is None:
+            cuts = df.agg(F.percentile_approx(order, [1 / 3, 2 / 3], 1000).alias("c")).first()["c"] or []
+            wave = sum((F.when(F.col(order) > F.lit(c), 1).otherwise(0) for c in cuts), F.lit(0))
+        self.rows = written(df.withColumn("_wave", wave.cast("int")), f"{label}-rows")
+        self.path = scratch_path(spark, label)
+        schema = self.rows.drop("_wave").schema
+        spark.createDataFrame([], schema).write.parquet(self.path)
+        self.stream = spark.readStream.schema(schema).parquet(self.path)
+        self.waves = sorted(r["_wave"] for r in self.rows.select("_wave").distinct().collect())
+
+    def run(self, each):
+        """Let the waves arrive one after the other; ``each()`` runs the stream to its end."""
+        for w in self.waves:
+            self.rows.where(F.col("_wave") == w).drop("_wave").write.mode("append").parquet(self.path)
+            each()
+
+
+def _collected(spark, arrivals, live, label, keys=None):
     """Run a stream to its end; with keys the newest row of each, otherwise all rows."""
     out, checkpoint = scratch_path(spark, label), scratch_path(spark, f"{label}-checkpoint")
-    ingest.run_to_end(stream, ingest.batch_folder(out), checkpoint, "update" if keys else "append")
+    mode = "update" if keys else "append"
+    result = live(arrivals.stream)
+    arrivals.run(lambda: ingest.run_to_end(result, ingest.batch_folder(out), checkpoint, mode))
     return ingest.newest_rows(spark, out, keys) if keys else spark.read.parquet(out).drop("batch")
 
 
@@ -42,17 +57,134 @@ def _raw_stream(spark, d):
     return stream_events(spark, cl.stored_log(spark, d), max_files_per_trigger=4)
 
 
-query(
-    "stream_dedup",
-    a.with_ctes(*cl.LOG_CTES) + "SELECT DISTINCT event_id FROM good",
-)(
+# Waves of messages: by event time, but some orders' changes and every second copy come in the last one.
+_WAVE_SQL = """CASE WHEN (tbl = 'orders' AND id % 7 = 3) OR (off % 2 = 1 AND id % 2 = 0) THEN 2
+  WHEN ts < TIMESTAMP '1997-01-01' THEN 0 WHEN ts < TIMESTAMP '1999-01-01' THEN 1 ELSE 2 END"""
+_DELAY = "30 days 1 second"
+_LATE = f"""waved AS (SELECT *, {_WAVE_SQL} AS wave FROM good),
+  marks AS (SELECT w.wave, max(e.ts) - INTERVAL 30 DAY - INTERVAL 1 SECOND AS mark FROM (VALUES (1), (2)) w(wave) JOIN waved e ON e.wave < w.wave GROUP BY 1),
+  timed AS (SELECT e.*, coalesce(e.ts < m.mark, false) AS late FROM waved e LEFT JOIN marks m USING (wave))"""
+
+
+def _waves(spark, d):
+    """Valid parsed messages in waves, as the log's raw messages."""
+    parsed = parse_events(cl.raw_events(spark, d)).where("deser_error IS NULL AND schema_error IS NULL")
+    number = F.expr("offset div 8 * 3 + partition")
+    late = ((F.col("source.table") == "orders") & (number % 7 == 3)) | ((F.col("offset") % 2 == 1) & (number % 2 == 0))
+    ts = F.col("event_timestamp")
+    wave = (
+        F.when(late, 2).when(ts < F.lit("1997-01-01").cast("timestamp"), 0)
+        .when(ts < F.lit("1999-01-01").cast("timestamp"), 1).otherwise(2)
+    )
+    raw = parsed.select(F.col("raw_value").alias("value"), "topic", "partition", "offset", wave.alias("w"))
+    return _Arrivals(spark, raw, "messages", wave=F.col("w"))
+
+
+query("stream_dedup", a.with_ctes(*cl.LOG_CTES, _LATE) + "SELECT DISTINCT event_id FROM timed WHERE NOT late")(
     lambda spark, d: _collected(
-        spark,
-        dedup.dedup_stream(valid_events(parse_events(_raw_stream(spark, d))), delay="9999 days").select("event_id"),
+        spark, _waves(spark, d),
+        lambda raw: dedup.dedup_stream(valid_events(parse_events(raw.drop("w"))), delay=_DELAY).select("event_id"),
         "stream-dedup",
     )
 )
 
+
+def _stream_late(spark, d):
+    """Late order changes are set aside, then each is applied to the replica or listed as superseded."""
+    arrivals = _waves(spark, d)
+    events = valid_events(parse_events(arrivals.stream.drop("w"))).where(F.col("source.table") == "orders")
+    path, aside, marks = (scratch_path(spark, x) for x in ("replica", "late", "marks"))
+    checkpoint = scratch_path(spark, "late-checkpoint")
+    replica.create_replica(spark, path, cl.ORDER_SCHEMA, buckets=8)
+    sink = late.split_late(ingest.replica_sink(path, cl.ORDER_SCHEMA), aside, marks, _DELAY)
+    arrivals.run(lambda: ingest.run_to_end(events, sink, checkpoint))
+    unique = dedup.dedup_events(late.late_events(spark, aside, events.schema))
+    outcomes = late.repair(spark, path, unique, 1_000_000, cl.ORDER_SCHEMA, scratch_path(spark, "late-listing"))
+    state = replica.read_replica(spark, path, cl.ORDER_SCHEMA).select(F.col("id").cast("string").alias("key"), "status")
+    return plain(outcomes.join(state, "key", "left").select("event_id", "key", "outcome", "status"))
+
+
+query(
+    "stream_late",
+    a.with_ctes(*cl.LOG_CTES, _LATE.replace("FROM good", "FROM good WHERE tbl = 'orders'"))
+    + """, reached AS (SELECT id, max(lsn_num) AS top FROM timed WHERE NOT late GROUP BY 1),
+      lates AS (SELECT DISTINCT t.event_id, t.id, t.lsn_num, t.operation, t.status,
+        CASE WHEN r.top >= t.lsn_num THEN 'superseded' ELSE 'applied' END AS outcome
+        FROM timed t LEFT JOIN reached r USING (id) WHERE late),
+      used AS (SELECT id, lsn_num, operation, status FROM timed WHERE NOT late
+        UNION SELECT id, lsn_num, operation, status FROM lates WHERE outcome = 'applied'),
+      newest AS (SELECT id, arg_max(operation, lsn_num) AS op, arg_max(status, lsn_num) AS status FROM used GROUP BY 1)
+      SELECT event_id, CAST(l.id AS VARCHAR) AS "key", outcome, CASE WHEN n.op <> 'DELETE' THEN n.status END AS status
+      FROM lates l LEFT JOIN newest n USING (id)""",
+)(_stream_late)
+
+
+def _stream_resume(spark, d):
+    """A run that dies after writing its second batch, resumed from its checkpoint."""
+    arrivals = _waves(spark, d)
+    out, book, checkpoint = (scratch_path(spark, x) for x in ("resumed", "ledger", "resume-checkpoint"))
+    folder, crashes = ingest.batch_folder(out), [1]
+
+    def fragile(batch, batch_id):
+        folder(batch, batch_id)
+        if batch_id in crashes:
+            crashes.remove(batch_id)
+            raise RuntimeError("stopped before the batch was committed")
+
+    events = valid_events(parse_events(arrivals.stream.drop("w")))
+
+    def run():
+        try:
+            ingest.run_to_end(events, ingest.ledgered(fragile, book), checkpoint)
+        except StreamingQueryException:
+            ingest.run_to_end(events, ingest.ledgered(fragile, book), checkpoint)
+
+    arrivals.run(run)
+    kept = spark.read.parquet(out).groupBy("batch").agg(
+        F.count(F.lit(1)).alias("events"), F.countDistinct("topic", "partition", "offset").alias("messages")
+    )
+    return ingest.ledger(spark, book).join(kept, "batch").select("batch", "rows", "attempts", "events", "messages")
+
+
+query(
+    "stream_resume",
+    a.with_ctes(*cl.LOG_CTES, _LATE)
+    + """SELECT CAST(wave AS BIGINT) AS batch, count(*) AS "rows", CASE WHEN wave = 1 THEN 2 ELSE 1 END::BIGINT AS attempts,
+      count(*) AS events, count(*) AS messages FROM waved GROUP BY wave""",
+)(_stream_resume)
+
+_FLUSH = 700
+
+
+def _stream_flush(spark, d):
+    """Events wait until their table has enough of them or they are too old; a batch comes every ten minutes."""
+    arrivals = _waves(spark, d)
+    path, checkpoint = scratch_path(spark, "flushing"), scratch_path(spark, "flush-checkpoint")
+    events = valid_events(parse_events(arrivals.stream.drop("w")))
+    sink = ingest.flushing_sink(
+        path, _FLUSH, 1000.0, lambda batch_id: 600.0 * batch_id, lambda rows, folder: rows.write.mode("overwrite").parquet(folder)
+    )
+    arrivals.run(lambda: ingest.run_to_end(events, sink, checkpoint))
+    stored = spark.read.parquet(f"{path}/archive").groupBy(
+        F.col("source.table").alias("table"), F.col("flush").cast("bigint").alias("batch")
+    ).agg(F.count(F.lit(1)).alias("archived"))
+    return ingest.flushes(spark, path).join(stored, ["table", "batch"], "left")
+
+
+query(
+    "stream_flush",
+    a.with_ctes(*cl.LOG_CTES, _LATE)
+    + f""", n AS (SELECT tbl, count(*) FILTER (wave = 0) AS n0, count(*) FILTER (wave = 1) AS n1, count(*) FILTER (wave = 2) AS n2 FROM waved GROUP BY 1),
+      p AS (SELECT *, n0 >= {_FLUSH} AS f0, CASE WHEN n0 >= {_FLUSH} THEN 0 ELSE n0 END + n1 AS p1 FROM n),
+      q AS (SELECT *, p1 >= {_FLUSH} AS f1, CASE WHEN p1 >= {_FLUSH} THEN 0 ELSE p1 END + n2 AS p2 FROM p),
+      r(tbl, batch, cause, n) AS (
+        SELECT tbl, 0, 'size', n0 FROM q WHERE f0
+        UNION ALL SELECT tbl, 1, 'size', p1 FROM q WHERE f1
+        UNION ALL SELECT tbl, 2, CASE WHEN p2 >= {_FLUSH} THEN 'size' ELSE 'age' END, p2 FROM q
+          WHERE p2 >= {_FLUSH} OR (NOT f0 AND NOT f1 AND n0 > 0 AND p2 > 0))
+      SELECT tbl AS "table", CAST(batch AS BIGINT) AS batch, cause, n AS "rows", n AS archived FROM r""",
+)(_stream_flush)
+
 query(
     "stream_tumbling",
     """SELECT CAST(CAST(date_trunc('day', ts) AS TIMESTAMP) AS VARCHAR) AS window_start, event_type, count(*) AS events
@@ -61,7 +193,8 @@ query(
     lambda spark, d: plain(
         _collected(
             spark,
-            windows.tumbling_counts(_in_order(mq.events(spark, d), spark, "events", "ts"), "ts", "1 day", ["event_type"]),
+            _Arrivals(spark, mq.events(spark, d), "events", "ts"),
+            lambda rows: windows.tumbling_counts(rows, "ts", "1 day", ["event_type"]),
             "stream-tumbling",
             ["window_start", "event_type"],
         )
@@ -76,7 +209,8 @@ query(
     lambda spark, d: plain(
         _collected(
             spark,
-            windows.sliding_rate(_in_order(mq.events(spark, d), spark, "events", "ts"), "ts", 86400, 21600),
+            _Arrivals(spark, mq.events(spark, d), "events", "ts"),
+            lambda rows: windows.sliding_rate(rows, "ts", 86400, 21600),
             "stream-sliding",
             ["window_end"],
         )
@@ -136,9 +270,8 @@ query(
 )(
     lambda spark, d: _collected(
         spark,
-        stateful.live_transactions(
-            _in_order(_decoded_log(spark, d).withColumn("ts", F.timestamp_seconds("xid")), spark, "log", "xid")
-        ),
+        _Arrivals(spark, _decoded_log(spark, d).withColumn("ts", F.timestamp_seconds("xid")), "log", "xid"),
+        stateful.live_transactions,
         "stream-transactions",
     )
 )
@@ -146,9 +279,9 @@ query(
 
 def _stream_alerts(spark, d):
     evals, rules = mq._evals(spark, d)
-    stream = _in_order(evals, spark, "evals", "ts")
+    waits = {r.name: r.for_seconds for r in rules}
     return plain(
-        _collected(spark, stateful.live_alerts(stream, {r.name: r.for_seconds for r in rules}), "stream-alerts")
+        _collected(spark, _Arrivals(spark, evals, "evals", "ts"), lambda rows: stateful.live_alerts(rows, waits), "stream-alerts")
     )
 
 
@@ -167,9 +300,8 @@ query(
 )(
     lambda spark, d: _collected(
         spark,
-        stateful.live_region_health(
-            _in_order(rq.checks(spark, d).withColumnRenamed("event_id", "check_id"), spark, "checks", "ts")
-        ),
+        _Arrivals(spark, rq.checks(spark, d).withColumnRenamed("event_id", "check_id"), "checks", "ts"),
+        stateful.live_region_health,
         "stream-region-health",
     )
 )
@@ -185,9 +317,8 @@ query(
     lambda spark, d: plain(
         _collected(
             spark,
-            windows.live_daily_revenue(
-                silver.stg_orders(_in_order(a.orders(spark, d), spark, "orders", "created_at"))
-            ),
+            _Arrivals(spark, a.orders(spark, d), "orders", "created_at"),
+            lambda rows: windows.live_daily_revenue(silver.stg_orders(rows)),
             "stream-revenue",
             ["order_date"],
         )
