@@ -8,7 +8,9 @@ first version a field or type appears in, and running counts.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.ordered import number_rows, previous_in_series, running_sum_in_series
@@ -325,58 +327,70 @@ def subjects(registry: DataFrame) -> DataFrame:
 
 
 def register_versions(registry: DataFrame, candidates: DataFrame, level: str = "BACKWARD") -> DataFrame:
-    """Decide on candidate schemas: registered, duplicate, incompatible or deferred.
-
-    ``registry`` has subject, version, schema_id, schema_json; ``candidates`` has
-    subject, seq, schema_json. A duplicate gets the id it already has. Only the
-    first candidate of a subject is judged per call, as the next one must be
-    compared with it; the others are deferred.
+    """Decide on every candidate schema, in order: registered, duplicate or incompatible.
+
+    ``registry`` has subject, version, schema_id, schema_json; ``candidates`` has subject, seq,
+    schema_json. A candidate is compared with the newest version of its subject, which may be
+    the candidate before it; a duplicate of any version of its subject gets the id that one has.
+    All subjects advance together: one round per position, in which every subject that still has
+    a candidate has its next one judged. Ids go by round, then subject. Rows that repeat a
+    (subject, seq) are judged one after the other.
     """
-    marked = evaluated_once(registry, fingerprint=fingerprint(F.col("schema_json")))
-    offered = evaluated_once(candidates, fingerprint=fingerprint(F.col("schema_json")))
-    first = candidates.groupBy("subject").agg(F.min("seq").alias("seq")).withColumn("_first", F.lit(True))
-    offered = offered.join(first, ["subject", "seq"], "left")
-
-    known = marked.groupBy("subject", "fingerprint").agg(F.min("schema_id").alias("_known_id"))
-    newest = registry.groupBy("subject").agg(
-        F.max("version").alias("_latest"), F.max_by("schema_json", "version").alias("_latest_json")
-    )
-    judged = written(
-        offered.join(known, ["subject", "fingerprint"], "left").join(newest, "subject", "left"), "candidates"
+    order = Window.partitionBy("subject").orderBy("seq", "schema_json")
+    pending = written(
+        evaluated_once(candidates.select("subject", "seq", "schema_json"), fingerprint=fingerprint(F.col("schema_json")))
+        .withColumn("position", F.row_number().over(order)),
+        "candidates",
     )
+    names = ["subject", "version", "schema_id", "schema_json", "fingerprint"]
+    known = written(evaluated_once(registry.select(*names[:4]), fingerprint=fingerprint(F.col("schema_json"))), "known-versions")
+    last = pending.agg(F.coalesce(F.max("position"), F.lit(0))).first()[0]
+    top = known.agg(F.coalesce(F.max("schema_id"), F.lit(0))).first()[0]
+    rounds = []
+    for position in range(1, last + 1):
+        decided = written(_judged(known, pending.where(F.col("position") == position), level), "decisions")
+        fresh = number_rows(decided.where("outcome = 'registered'").select("subject"), [F.col("subject")], "_nth")
+        decided = written(
+            decided.join(fresh, "subject", "left").withColumn(
+                "schema_id", F.when(F.col("outcome") == "registered", F.lit(top) + F.col("_nth")).otherwise(F.col("_known_id"))
+            ).drop("_nth"),
+            "decisions",
+        )
+        added = decided.where("outcome = 'registered'").select(*names)
+        known, top = known.unionByName(added), top + added.count()
+        rounds.append(decided.select("subject", "seq", "outcome", "version", "schema_id", "fingerprint"))
+    if not rounds:
+        empty = known.where("false")
+        return empty.join(candidates.where("false").select("seq"), F.lit(True)).select(
+            "subject", "seq", F.lit("").alias("outcome"), "version", "schema_id", "fingerprint"
+        )
+    return reduce(DataFrame.unionByName, rounds)
+
+
+def _judged(known: DataFrame, offered: DataFrame, level: str) -> DataFrame:
+    """One candidate per subject with its outcome, its version if registered, and the id of its equal as ``_known_id``."""
+    mine = known.join(offered.select("subject"), "subject", "left_semi")
+    equal = mine.groupBy("subject", "fingerprint").agg(F.min("schema_id").alias("_known_id"))
+    newest = mine.groupBy("subject").agg(F.max("version").alias("_latest"), F.max_by("schema_json", "version").alias("_latest_json"))
+    judged = written(offered.join(equal, ["subject", "fingerprint"], "left").join(newest, "subject", "left"), "offered")
 
-    pair = judged.where("_first AND _latest IS NOT NULL")
     none, one, two = F.lit(None).cast("int"), F.lit(1), F.lit(2)
     versions = F.array(
         F.struct(one.alias("version"), none.alias("old_version"), two.alias("next_version"), F.col("_latest_json").alias("schema_json")),
         F.struct(two.alias("version"), one.alias("old_version"), none.alias("next_version"), F.col("schema_json").alias("schema_json")),
     )
-    fields = schema_fields(pair.select("subject", F.inline(versions)))
+    fields = schema_fields(judged.where("_latest IS NOT NULL").select("subject", F.inline(versions)))
     refused = (
         check_compatibility(fields, level)
         .where("version = 2 AND NOT is_compatible")
         .select("subject", F.lit(True).alias("_refused"))
     )
-    decided = judged.join(refused, "subject", "left").withColumn(
-        "outcome",
-        F.when(F.col("_first").isNull(), "deferred")
-        .when(F.col("_refused"), "incompatible")
-        .when(F.col("_known_id").isNotNull(), "duplicate")
-        .otherwise("registered"),
+    outcome = (
+        F.when(F.col("_refused"), "incompatible").when(F.col("_known_id").isNotNull(), "duplicate").otherwise("registered")
     )
-    decided = written(decided, "decisions")
-    fresh = number_rows(
-        decided.where("outcome = 'registered'").select("subject", "seq"), [F.col("subject"), F.col("seq")], "_nth"
-    )
-    top = registry.agg(F.coalesce(F.max("schema_id"), F.lit(0)).alias("_top"))
-    decided = decided.join(fresh, ["subject", "seq"], "left")
-    return decided.withColumn("_top", top.scalar()).select(
-        "subject",
-        "seq",
-        "outcome",
+    decided = judged.join(refused, "subject", "left").withColumn("outcome", outcome)
+    return decided.select(
+        "subject", "seq", "schema_json", "fingerprint", "outcome",
         F.when(F.col("outcome") == "registered", F.coalesce("_latest", F.lit(0)) + 1).alias("version"),
-        F.when(F.col("outcome") == "registered", F.col("_top") + F.col("_nth"))
-        .when(F.col("outcome") == "duplicate", F.col("_known_id"))
-        .alias("schema_id"),
-        "fingerprint",
+        F.when(F.col("outcome") == "duplicate", F.col("_known_id")).alias("_known_id"),
     )

@@ -173,7 +173,7 @@ query(
 
 
 def _register(spark, d):
-    """Versions up to 4 are registered (id = order * 10 + version); later ones are offered in turn."""
+    """Versions up to 4 are registered (id = order * 10 + version); later ones are offered, and judged one after the other."""
     r = written(registry(spark, d), "registry")
     known = r.where("version <= 4").withColumn(
         "schema_id", F.substring_index("subject", "-", -1).cast("bigint") * 10 + F.col("version")
@@ -188,22 +188,33 @@ query(
     "register",
     a.with_ctes(HISTORY, _CANON)
     + """, known AS (SELECT *, CAST(split_part(subject, '-', 2) AS BIGINT) * 10 + version AS schema_id FROM reg_json WHERE version <= 4),
-      cand AS (SELECT *, version AS seq, row_number() OVER (PARTITION BY subject ORDER BY version) AS nth FROM reg_json WHERE version > 4),
-      top AS (SELECT subject, max(version) AS latest FROM known GROUP BY 1),
-      bad AS (SELECT DISTINCT c.subject FROM cand c JOIN top t USING (subject) WHERE c.nth = 1 AND (
-        EXISTS (SELECT 1 FROM fields n WHERE n.subject = c.subject AND n.version = c.seq AND NOT n.filled AND NOT EXISTS (
-          SELECT 1 FROM fields o WHERE o.subject = c.subject AND o.version = t.latest AND o.field = n.field))
+      cand AS (SELECT *, row_number() OVER (PARTITION BY subject ORDER BY version) AS nth FROM reg_json WHERE version > 4),
+      pairs AS (SELECT o.subject, o.version AS o, n.version AS n FROM reg_json o JOIN reg_json n ON n.subject = o.subject AND n.version > o.version AND n.version > 4),
+      bad AS (SELECT p.* FROM pairs p WHERE
+        EXISTS (SELECT 1 FROM fields n WHERE n.subject = p.subject AND n.version = p.n AND NOT n.filled AND NOT EXISTS (
+          SELECT 1 FROM fields o WHERE o.subject = p.subject AND o.version = p.o AND o.field = n.field))
         OR EXISTS (SELECT 1 FROM fields n JOIN fields o ON o.subject = n.subject AND o.field = n.field JOIN compat k ON k.ot = o.type AND k.nt = n.type
-          WHERE n.subject = c.subject AND n.version = c.seq AND o.version = t.latest AND NOT k.fits))),
-      same AS (SELECT c.subject, c.seq, min(k.schema_id) AS id FROM cand c JOIN known k ON k.subject = c.subject AND k.canon = c.canon GROUP BY 1, 2),
-      judged AS (SELECT c.subject, c.seq, t.latest, s.id, CASE WHEN c.nth > 1 THEN 'deferred' WHEN b.subject IS NOT NULL THEN 'incompatible'
-          WHEN s.id IS NOT NULL THEN 'duplicate' ELSE 'registered' END AS outcome
-        FROM cand c LEFT JOIN top t USING (subject) LEFT JOIN bad b ON b.subject = c.subject
-        LEFT JOIN same s ON s.subject = c.subject AND s.seq = c.seq)
-      SELECT subject, seq, outcome, CASE WHEN outcome = 'registered' THEN coalesce(latest, 0) + 1 END AS version,
-        CASE WHEN outcome = 'registered' THEN (SELECT max(schema_id) FROM known)
-            + row_number() OVER (PARTITION BY outcome ORDER BY subject, seq)
-          WHEN outcome = 'duplicate' THEN id END AS schema_id FROM judged""",
+          WHERE n.subject = p.subject AND n.version = p.n AND o.version = p.o AND NOT k.fits)),
+      same AS (SELECT c.subject, c.version AS n, k.version AS o FROM cand c JOIN reg_json k ON k.subject = c.subject AND k.canon = c.canon AND k.version < c.version),
+      walk AS (
+        SELECT subject, 0 AS nth, max(version) AS newest, max(version) AS number, list(version) AS held, '' AS outcome, CAST(NULL AS BIGINT) AS seq
+        FROM (SELECT subject, version FROM known UNION SELECT subject, NULL FROM cand) GROUP BY 1
+        UNION ALL
+        SELECT subject, nth, CASE WHEN outcome = 'registered' THEN seq ELSE newest END, number + (outcome = 'registered')::INT,
+          CASE WHEN outcome = 'registered' THEN list_append(held, seq) ELSE held END, outcome, seq
+        FROM (SELECT w.subject, c.nth, w.newest, coalesce(w.number, 0) AS number, w.held, c.version AS seq,
+          CASE WHEN EXISTS (SELECT 1 FROM bad b WHERE b.subject = w.subject AND b.o = w.newest AND b.n = c.version) THEN 'incompatible'
+            WHEN EXISTS (SELECT 1 FROM same s WHERE s.subject = w.subject AND s.n = c.version AND list_contains(w.held, s.o)) THEN 'duplicate'
+            ELSE 'registered' END AS outcome
+          FROM walk w JOIN cand c ON c.subject = w.subject AND c.nth = w.nth + 1)),
+      done AS (SELECT * FROM walk WHERE nth > 0),
+      ids AS (SELECT subject, version, schema_id FROM known UNION ALL
+        SELECT subject, seq, (SELECT max(schema_id) FROM known) + row_number() OVER (ORDER BY nth, subject) FROM done WHERE outcome = 'registered')
+      SELECT d.subject, d.seq, d.outcome, CASE WHEN d.outcome = 'registered' THEN d.number END AS version,
+        CASE WHEN d.outcome = 'registered' THEN i.schema_id WHEN d.outcome = 'duplicate' THEN
+          (SELECT min(x.schema_id) FROM same s JOIN ids x ON x.subject = s.subject AND x.version = s.o
+           WHERE s.subject = d.subject AND s.n = d.seq AND list_contains(d.held, s.o)) END AS schema_id
+      FROM done d LEFT JOIN ids i ON i.subject = d.subject AND i.version = d.seq""",
 )(_register)
 
 query(
