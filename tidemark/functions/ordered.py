@@ -303,6 +303,50 @@ def trailing_window(
     )
 
 
+def since_window_start(
+    df: DataFrame, keys: Sequence[str], ts: str, seconds: int, values: Mapping[str, Column], tie_break: Sequence[str] = ()
+) -> DataFrame:
+    """What came after the first row of the window ``(t - seconds, t]``: a sum per name in ``values``.
+
+    Adds the sums, ``_rows`` (rows in the window) and ``_start`` (microseconds of the first one). Each sum is a
+    difference of two running sums: up to the row, and up to the window's first row, which every row looks up
+    as of its window's start. So the cost is a few sorts, however many rows a window holds. Rows with
+    equal time see each other; the first of them is the one that ``tie_break`` puts first.
+    """
+    width = 10 * seconds
+    micros = F.unix_micros(F.col(ts))
+    own = time_slice(F.col(ts), width)
+    late = (own + 1) * F.lit(width * 1_000_000) - micros <= F.lit(seconds * 1_000_000)
+    homes = F.when(late, F.array(own, own + 1)).otherwise(F.array(own))
+    spread = df.withColumns({"_own": own, "_micros": micros}).withColumn(_SLICE, F.explode(homes))
+    group = Window.partitionBy(*keys, _SLICE)
+    rowwise = group.orderBy("_micros", *tie_break).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    peers = group.orderBy("_micros").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = {**values, "_rows": F.lit(1)}
+    totals = spread.select(
+        "*",
+        F.struct(*[F.sum(v).over(rowwise).alias(n) for n, v in summed.items()], F.col("_micros")).alias("_upto"),
+        F.struct(*[F.sum(v).over(peers).alias(n) for n, v in summed.items()]).alias("_all"),
+    )
+    # Each row once as a sample at its time and, in its own slice, once as a question at its window's start.
+    sample = F.struct(F.lit(0).alias("ask"), F.col("_micros").alias("at"))
+    question = F.struct(F.lit(1).alias("ask"), (F.col("_micros") - F.lit(seconds * 1_000_000)).alias("at"))
+    both = totals.select(
+        "*", F.explode(F.when(F.col(_SLICE) == F.col("_own"), F.array(sample, question)).otherwise(F.array(sample))).alias("_e")
+    )
+    backwards = group.orderBy(
+        F.col("_e.at").desc(), F.col("_e.ask").desc(), *[F.col(c).desc() for c in tie_break]
+    ).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    first = F.last(F.when(F.col("_e.ask") == 0, F.col("_upto")), ignorenulls=True).over(backwards)
+    found = both.withColumn("_first", first).where("_e.ask = 1")
+    return found.select(
+        *df.columns,
+        *[(F.col("_all")[n] - F.col("_first")[n]).alias(n) for n in values],
+        (F.col("_all._rows") - F.col("_first._rows") + 1).alias("_rows"),
+        F.col("_first._micros").alias("_start"),
+    )
+
+
 def number_rows(
     df: DataFrame,
     order: Sequence[Column],

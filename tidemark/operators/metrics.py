@@ -15,6 +15,7 @@ from tidemark.functions.numeric import count_if, ratio
 from tidemark.functions.ordered import (
     previous_in_series,
     running_sum_in_series,
+    since_window_start,
     time_slice,
     trailing_window,
 )
@@ -107,7 +108,9 @@ def histogram(
     )
 
 
-_SPLITS = 64
+#: Distinct values in a slice, about.
+SLICE_VALUES = 100_000
+_MOST_SLICES = 10_000
 
 
 def _ranked_values(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
@@ -123,9 +126,12 @@ def _ranked_values(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("_rows")),
         "value-counts",
     )
-    cuts = [i / _SPLITS for i in range(1, _SPLITS)]
+    # As many slices as the largest group needs; a small one is a single slice.
+    largest = counted.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n").alias("n")).first()["n"] or 1
+    splits = min(-(-largest // SLICE_VALUES), _MOST_SLICES)
+    cuts = [i / splits for i in range(1, splits)] or [1.0]
     edges = counted.groupBy(*by).agg(
-        F.percentile_approx("_value", cuts, 1000).alias("_cuts"), F.sum("_rows").alias("_n")
+        F.percentile_approx("_value", cuts, max(1000, 4 * splits)).alias("_cuts"), F.sum("_rows").alias("_n")
     )
     placed = counted.join(edges, list(by)) if by else attach_one_row(counted, edges)
     slice_no = F.size(F.filter("_cuts", lambda c: c < F.col("_value"))).cast("bigint")
@@ -206,25 +212,12 @@ def counter_increase(
     """
     deltas = counter_deltas(samples, keys, ts, value, tie_break)
     # The growth up to the window's first sample happened before the window.
-    framed = trailing_window(
-        deltas,
-        keys,
-        ts,
-        seconds,
-        {
-            "_sum": F.sum("delta"),
-            "_first": F.first("delta"),
-            "_samples": F.count(F.lit(1)),
-            "_start": F.min(F.unix_micros(F.col(ts))),
-        },
-    )
-    increase = F.when(
-        F.col("_samples") > 1, F.coalesce("_sum", F.lit(0)) - F.coalesce("_first", F.lit(0))
-    )
+    framed = since_window_start(deltas, keys, ts, seconds, {"_grown": F.coalesce("delta", F.lit(0))}, tie_break)
+    increase = F.when(F.col("_rows") > 1, F.col("_grown"))
     elapsed = (F.unix_micros(F.col(ts)) - F.col("_start")) / F.lit(1e6)
     return framed.withColumn("increase", increase).withColumn(
         "rate", F.col("increase") / F.nullif(elapsed, F.lit(0.0))
-    ).drop("_sum", "_first", "_samples", "_start")
+    ).drop("_grown", "_rows", "_start")
 
 
 def tick(ts: str, step: int) -> Column:
