@@ -3,6 +3,7 @@
 from tidemark.plans import (  # noqa: F401
     change_queries,
     evolution_queries,
+    layer_queries,
     metric_queries,
     quality_queries,
     region_queries,
