@@ -70,7 +70,7 @@ def _least_values(flat: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return short
 
 
-def _packed(signature: np.ndarray) -> bytes:
+def _signed(signature: np.ndarray) -> bytes:
     return signature.astype(">u2").tobytes()
 
 
@@ -96,11 +96,32 @@ def _ranges(docs: DataFrame) -> tuple[DataFrame, int]:
     return placed.withColumn("_range", F.col("_range").cast("int")).drop("_order"), len(splits) - 1
 
 
+def _packed(rows: DataFrame) -> DataFrame:
+    """``rows`` (_range, _extra, doc_id, text) with texts compressed one by one, so that their only shuffle is small on disk."""
+
+    def pack(parts: Iterator) -> Iterator:
+        import pyarrow as pa
+        import zstandard
+
+        squeeze = zstandard.ZstdCompressor(level=1).compress
+        for batch in parts:
+            for some in slices(batch, "text", SLICE_BYTES):
+                texts = some.column("text").cast(pa.binary()).to_pylist()
+                yield pa.RecordBatch.from_arrays(
+                    [*[some.column(c) for c in ("_range", "_extra", "doc_id", "tie")], pa.array([squeeze(t) for t in texts], pa.binary())],
+                    names=["_range", "_extra", "doc_id", "tie", "packed"],
+                )
+
+    return rows.select("_range", "_extra", "doc_id", F.xxhash64("text").alias("tie"), "text").mapInArrow(
+        pack, "_range int, _extra int, doc_id long, tie long, packed binary"
+    )
+
+
 def with_successor(docs: DataFrame) -> DataFrame:
-    """(_range, _extra, doc_id, text), sorted inside each task so that the next row is the successor.
+    """(_range, _extra, doc_id, packed), sorted inside each task so that the next row is the successor.
 
     Rows with ``_extra`` = 1 close their range and belong to the next one. Order is by
-    doc_id (nulls first), then text; rows that repeat follow each other.
+    doc_id (nulls first), then the text's hash; rows that repeat follow each other.
     """
     spark = docs.sparkSession
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
@@ -114,8 +135,8 @@ def with_successor(docs: DataFrame) -> DataFrame:
         base.join(target, known == F.col("_first"))
         .select(F.col("_home").alias("_range"), F.lit(1).alias("_extra"), "doc_id", "text")
     )
-    both = rows.select("_range", F.lit(0).alias("_extra"), "doc_id", "text").unionByName(extra)
-    return both.repartition("_range").sortWithinPartitions("_range", "_extra", F.col("doc_id").asc_nulls_first(), "text")
+    both = _packed(rows.select("_range", F.lit(0).alias("_extra"), "doc_id", "text").unionByName(extra))
+    return both.repartition("_range").sortWithinPartitions("_range", "_extra", F.col("doc_id").asc_nulls_first(), "tie")
 
 
 def fingerprint(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
@@ -131,13 +152,16 @@ def fingerprint(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
         import hashlib
 
         import pyarrow as pa
+        import zstandard
 
+        spread = zstandard.ZstdDecompressor().decompress
         names = [c.split()[0] for c in _OUT.split(", ")]
         kinds = (pa.int64(), pa.int64(), *[pa.binary()] * 3, pa.float64(), pa.float64(), pa.int64(), pa.int64())
         held = None
         for batch in parts:
-            for some in slices(batch, "text", SLICE_BYTES):
-                columns = [some.column(c).to_pylist() for c in ("_range", "_extra", "doc_id", "text")]
+            for some in slices(batch, "packed", SLICE_BYTES // 4):
+                columns = [some.column(c).to_pylist() for c in ("_range", "_extra", "doc_id")]
+                columns.append([spread(t).decode() for t in some.column("packed").to_pylist()])
                 flat, bounds = shingle_list(columns[3], WIDTH)
                 named = []
                 for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
@@ -155,7 +179,7 @@ def fingerprint(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
                 out: list[list] = [[] for _ in names]
                 for ((a, sig), (_, after)), text, sig2 in zip(pairs, edited, signatures(edited) if edited else ()):
                     row = (
-                        a[2], len(a[3]), hashlib.sha256(text.encode()).digest(), _packed(sig), _packed(sig2),
+                        a[2], len(a[3]), hashlib.sha256(text.encode()).digest(), _signed(sig), _signed(sig2),
                         float((sig == sig2).mean()), float((sig == after).mean()), *a[4],
                     )
                     for column, v in zip(out, row):
