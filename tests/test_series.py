@@ -44,3 +44,45 @@ def test_whole_numbers_beyond_a_long_are_int(spark):
     df = spark.createDataFrame([(t, f'{{"n": {t}}}') for t in kinds], "t string, row string")
     cell = df.select("t", F.parse_json("row").alias("_row")).select("t", quality._cell("n")["kind"].alias("kind"))
     assert {r["t"]: r["kind"] for r in cell.collect()} == kinds
+
+
+def test_machines_of_a_busy_key_over_batches(spark, tmp_path):
+    """A rule and a region with most rows, in batches that cut their runs, against a loop over the ticks."""
+    import random
+    from datetime import datetime, timedelta
+
+    from tidemark.streaming import stateful
+
+    draw = random.Random(5)
+    start = datetime(2020, 1, 1)
+    ticks = [(key, i, start + timedelta(seconds=60 * i), draw.random() < 0.8) for key, n in (("hot", 600), ("cold", 30)) for i in range(n)]
+    cuts = [0, 7, 200, 201, 450, 600]
+    alerts = stateful.alert_sink(str(tmp_path / "alerts"), {"hot": 240, "cold": 0}, slice_seconds=3600)
+    health = stateful.region_health_sink(str(tmp_path / "health"), slice_seconds=3600)
+    schema = "key string, check_id bigint, ts timestamp, ok boolean"
+    for batch, (low, high) in enumerate(zip(cuts, cuts[1:])):
+        rows = spark.createDataFrame([t for t in ticks if low <= t[1] < high], schema)
+        for _ in range(2 if batch == 2 else 1):  # one batch is delivered twice
+            alerts(rows.selectExpr("key AS rule", "ts", "ok AS met"), batch)
+            health(rows.selectExpr("key AS region", "check_id", "ts", "ok AS passed"), batch)
+
+    told, states = set(), set()
+    for key, wait in (("hot", 240), ("cold", 0)):
+        since, fired, fails, oks, status = None, False, 0, 0, "unknown"
+        for _, i, ts, ok in (t for t in ticks if t[0] == key):
+            if ok:
+                since = since or ts
+                if not fired and (ts - since).total_seconds() >= wait:
+                    fired = True
+                    told.add((key, since, "firing", ts))
+            else:
+                if fired:
+                    told.add((key, since, "resolved", ts))
+                since, fired = None, False
+            fails, oks = (0, oks + 1) if ok else (fails + 1, 0)
+            status = ("healthy" if oks >= 2 else status) if ok else ("unhealthy" if fails >= 3 else "degraded")
+            states.add((key, i, status))
+    found = stateful.machine_rows(spark, str(tmp_path / "alerts")).collect()
+    assert len(found) == len(told) and {tuple(r) for r in found} == told
+    found = stateful.machine_rows(spark, str(tmp_path / "health")).collect()
+    assert len(found) == len(states) and {tuple(r) for r in found} == states

@@ -14,14 +14,17 @@ from pyspark.sql import types as T
 
 from tidemark.sources.events import wire_cast
 
-Step = Callable[[DataFrame], DataFrame]
+#: The columns of a row while it moves: name -> expression over the stored columns, in order.
+Fields = dict[str, Column]
+Step = Callable[[Fields], Fields]
 
 
 @dataclass
 class Plan:
     """Ordered steps from one version to the next; each returns the plan for chaining.
 
-    Steps on absent columns do nothing, and ``add`` leaves a present one alone.
+    Steps on absent columns do nothing, and ``add`` leaves a present one alone. A step rewrites
+    expressions, so plans and chains of plans become one projection.
     """
 
     source: str
@@ -33,35 +36,32 @@ class Plan:
         return self
 
     def add(self, name: str, default=None, kind: str = "string") -> Plan:
-        def step(df: DataFrame) -> DataFrame:
-            if name in df.columns:
-                return df
-            value = F.lit(default)
-            return df.withColumn(name, value.cast(kind) if default is None else value)
+        def step(row: Fields) -> Fields:
+            return row if name in row else {**row, name: F.lit(None).cast(kind) if default is None else F.lit(default)}
 
         return self._then(step)
 
     def remove(self, name: str) -> Plan:
-        return self._then(lambda df: df.drop(name))
+        return self._then(lambda row: {n: c for n, c in row.items() if n != name})
 
     def rename(self, old: str, new: str) -> Plan:
         """A present ``new`` gives way to ``old`` and is kept where ``old`` is null, as in tables of many versions."""
 
-        def step(df: DataFrame) -> DataFrame:
-            if old not in df.columns or old == new:
-                return df
-            if new not in df.columns:
-                return df.withColumnRenamed(old, new)
-            return df.withColumn(new, F.coalesce(F.col(old), F.col(new))).drop(old)
+        def step(row: Fields) -> Fields:
+            if old not in row or old == new:
+                return row
+            if new not in row:
+                return {new if n == old else n: c for n, c in row.items()}
+            return {n: F.coalesce(row[old], c) if n == new else c for n, c in row.items() if n != old}
 
         return self._then(step)
 
     def copy(self, old: str, new: str) -> Plan:
-        return self._then(lambda df: df.withColumn(new, F.col(old)) if old in df.columns else df)
+        return self._then(lambda row: {**row, new: row[old]} if old in row else row)
 
     def transform(self, name: str, how: Callable[[Column], Column]) -> Plan:
         """``how`` maps the column; where no expression exists, call a pandas UDF in it."""
-        return self._then(lambda df: df.withColumn(name, how(F.col(name))) if name in df.columns else df)
+        return self._then(lambda row: {**row, name: how(row[name])} if name in row else row)
 
     def change_type(self, name: str, kind: str) -> Plan:
         return self.transform(name, lambda c: c.try_cast(kind))
@@ -82,7 +82,17 @@ class Plan:
         return self
 
     def apply(self, df: DataFrame) -> DataFrame:
-        return reduce(DataFrame.transform, self.steps, df)
+        return _projected(df, [self])
+
+
+def _compiled(df: DataFrame, chain: Sequence[Plan]) -> Fields:
+    """The columns of ``df`` after all steps of a chain."""
+    row = {name: F.col(f"`{name}`") for name in df.columns}
+    return reduce(lambda r, step: step(r), [s for plan in chain for s in plan.steps], row)
+
+
+def _projected(df: DataFrame, chain: Sequence[Plan]) -> DataFrame:
+    return df.select(*[c.alias(name) for name, c in _compiled(df, chain).items()])
 
 
 class Migrations:
@@ -118,16 +128,25 @@ class Migrations:
         chain = self.path(source, target)
         if chain is None:
             raise ValueError(f"no migration from {source} to {target}")
-        return reduce(lambda rows, plan: plan.apply(rows), chain, df)
+        return _projected(df, chain)
 
     def migrate_all(self, df: DataFrame, version_col: str, target: str) -> DataFrame:
-        """Rows of many versions as one table at ``target``; see ``unmigratable`` for the rest."""
-        versions = [v for v in {*self.sources(), target} if self.path(v, target) is not None]
-        parts = [
-            self.migrate(df.where(F.col(version_col) == v), v, target).withColumn(version_col, F.lit(target))
-            for v in sorted(versions)
-        ]
-        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        """Rows of many versions as one table at ``target``; see ``unmigratable`` for the rest.
+
+        The chains of all versions become one projection that chooses by the row's version, so the
+        table is read once. A column that a version's chain does not yield is null in its rows; a pandas
+        UDF in a chain sees the rows of all versions.
+        """
+        version = F.col(f"`{version_col}`")
+        chains = {v: self.path(v, target) for v in sorted({*self.sources(), target})}
+        rows = {v: _compiled(df, chain) for v, chain in chains.items() if chain is not None}
+        names = dict.fromkeys(name for row in rows.values() for name in row if name != version_col)
+
+        def of(name: str) -> Column:
+            parts = [(v, row[name]) for v, row in rows.items() if name in row]
+            return reduce(lambda acc, p: acc.when(version == p[0], p[1]), parts[1:], F.when(version == parts[0][0], parts[0][1]))
+
+        return df.where(version.isin(*rows)).select(*[of(n).alias(n) for n in names], F.lit(target).alias(version_col))
 
     def unmigratable(self, df: DataFrame, version_col: str, target: str) -> DataFrame:
         """Rows whose version has no way to ``target``."""

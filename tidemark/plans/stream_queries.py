@@ -277,11 +277,18 @@ query(
 )
 
 
+def _machine(spark, arrivals, sink, label):
+    """Rows that a state machine finds over all waves."""
+    path, checkpoint = scratch_path(spark, label), scratch_path(spark, f"{label}-checkpoint")
+    arrivals.run(lambda: ingest.run_to_end(arrivals.stream, sink(path), checkpoint))
+    return stateful.machine_rows(spark, path)
+
+
 def _stream_alerts(spark, d):
     evals, rules = mq._evals(spark, d)
     waits = {r.name: r.for_seconds for r in rules}
     return plain(
-        _collected(spark, _Arrivals(spark, evals, "evals", "ts"), lambda rows: stateful.live_alerts(rows, waits), "stream-alerts")
+        _machine(spark, _Arrivals(spark, evals, "evals", "ts"), lambda path: stateful.alert_sink(path, waits), "stream-alerts")
     )
 
 
@@ -298,10 +305,10 @@ query(
     + f""", {rq._CHECKS} SELECT region, event_id AS check_id, coalesce(last_value(own IGNORE NULLS) OVER w, 'unknown') AS status
       FROM own WINDOW w AS (PARTITION BY region ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
 )(
-    lambda spark, d: _collected(
+    lambda spark, d: _machine(
         spark,
         _Arrivals(spark, rq.checks(spark, d).withColumnRenamed("event_id", "check_id"), "checks", "ts"),
-        stateful.live_region_health,
+        stateful.region_health_sink,
         "stream-region-health",
     )
 )

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Mapping
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+from tidemark.functions.ordered import consecutive_runs, last_known_in_series, run_starts, time_slice
+from tidemark.session import discard, remove_folder, written
 
 
 def live_transactions(log: DataFrame, ts: str = "ts", hold: str = "1 day") -> DataFrame:
@@ -27,86 +28,105 @@ def live_transactions(log: DataFrame, ts: str = "ts", hold: str = "1 day") -> Da
     )
 
 
-class _Alerts(StatefulProcessor):
-    """Pending since, and whether it fired, per rule."""
-
-    def __init__(self, for_seconds: Mapping[str, int]):
-        self._for_seconds = dict(for_seconds)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._state = handle.getValueState("run", "since timestamp, fired boolean")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        rule = key[0]
-        wait = pd.Timedelta(seconds=self._for_seconds[rule])
-        since, fired = self._state.get() if self._state.exists() else (None, False)
-        since = None if since is None else pd.Timestamp(since).tz_localize(None)
-        found = []
-        # Ticks of one micro-batch, in time order.
-        ticks = pd.concat(list(rows)).sort_values("ts")
-        for ts, met in zip(ticks["ts"], ticks["met"]):
-            if met:
-                since = ts if since is None else since
-                if not fired and ts - since >= wait:
-                    fired = True
-                    found.append((rule, since, "firing", ts))
-            else:
-                if fired:
-                    found.append((rule, since, "resolved", ts))
-                since, fired = None, False
-        if since is None:
-            self._state.clear()
-        else:
-            self._state.update((since.to_pydatetime(), fired))
-        if found:
-            yield pd.DataFrame(found, columns=["rule", "started_at", "state", "at"])
-
-    def close(self) -> None:
-        pass
-
-
-def live_alerts(evals: DataFrame, for_seconds: Mapping[str, int]) -> DataFrame:
-    """Firing and resolving of rules from a stream of (rule, ts, met) in tick order."""
-    return evals.select("rule", "ts", "met").groupBy("rule").transformWithStateInPandas(
-        statefulProcessor=_Alerts(for_seconds),
-        outputStructType="rule string, started_at timestamp, state string, at timestamp",
-        outputMode="Append",
-        timeMode="None",
-    )
+def _carried(spark: SparkSession, path: str, batch_id: int, schema: str) -> DataFrame:
+    """What the batch before left behind; nothing before the first one."""
+    if batch_id == 0:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/state/batch={batch_id - 1}")
 
 
-class _RegionHealth(StatefulProcessor):
-    """Consecutive failures and successes, and the status they led to."""
-
-    def __init__(self, fail_n: int, ok_n: int):
-        self._fail_n, self._ok_n = fail_n, ok_n
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._state = handle.getValueState("health", "fails bigint, oks bigint, status string")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        fails, oks, status = self._state.get() if self._state.exists() else (0, 0, "unknown")
-        found = []
-        checks = pd.concat(list(rows)).sort_values(["ts", "check_id"])
-        for check_id, ok in zip(checks["check_id"], checks["passed"]):
-            fails, oks = (0, oks + 1) if ok else (fails + 1, 0)
-            if ok and oks >= self._ok_n:
-                status = "healthy"
-            elif not ok:
-                status = "unhealthy" if fails >= self._fail_n else "degraded"
-            found.append((key[0], int(check_id), status))
-        self._state.update((int(fails), int(oks), status))
-        yield pd.DataFrame(found, columns=["region", "check_id", "status"])
-
-    def close(self) -> None:
-        pass
-
-
-def live_region_health(checks: DataFrame, fail_n: int = 3, ok_n: int = 2) -> DataFrame:
-    """Status after every check from a stream of (region, check_id, ts, passed) in time order."""
-    return checks.select("region", "check_id", "ts", "passed").groupBy("region").transformWithStateInPandas(
-        statefulProcessor=_RegionHealth(fail_n, ok_n),
-        outputStructType="region string, check_id bigint, status string",
-        outputMode="Append",
-        timeMode="None",
-    )
+def _keep(path: str, batch_id: int, found: DataFrame, state: DataFrame) -> None:
+    """Write a batch's rows and its state; a repeated batch overwrites both and starts from the same state."""
+    found.write.mode("overwrite").parquet(f"{path}/found/batch={batch_id}")
+    state.write.mode("overwrite").parquet(f"{path}/state/batch={batch_id}")
+    if batch_id > 1:
+        remove_folder(state.sparkSession, f"{path}/state/batch={batch_id - 2}")
+
+
+def machine_rows(spark: SparkSession, path: str) -> DataFrame:
+    """All rows that a state machine's sink has found."""
+    return spark.read.parquet(f"{path}/found").drop("batch")
+
+
+def alert_sink(
+    path: str, for_seconds: Mapping[str, int], slice_seconds: int = 86400
+) -> Callable[[DataFrame, int], None]:
+    """Batch function: firing and resolving of rules from evaluations (rule, ts, met, perhaps labels) in tick order.
+
+    The machine of an alert is a map from the run that is open before some ticks to the one open
+    after them. The ticks of a batch are cut into slices of time, each is reduced by itself, and only
+    one row per slice meets the others; so a busy rule is spread over many tasks. Between batches an
+    open run travels as its first and its last true tick.
+    """
+    due = F.create_map(*[x for rule, s in for_seconds.items() for x in (F.lit(rule), F.lit(s * 1_000_000))])[F.col("rule")]
+
+    def advance(batch: DataFrame, batch_id: int) -> None:
+        keys = [c for c in ("rule", "labels") if c in batch.columns]
+        schema = ", ".join(f"`{c}` {batch.schema[c].dataType.simpleString()}" for c in keys) + ", started_at timestamp, seen timestamp"
+        before = _carried(batch.sparkSession, path, batch_id, schema)
+        edges = before.select(*keys, F.explode(F.array_distinct(F.array("started_at", "seen"))).alias("ts"), F.lit(True).alias("met"))
+        ticks = written(
+            batch.select(*keys, "ts", F.coalesce("met", F.lit(False)).alias("met")).unionByName(edges), "alert-ticks"
+        )
+        runs = run_starts(ticks, keys, ["ts"], "met", time_slice(F.col("ts"), slice_seconds)).where("met OR was")
+        waited = F.unix_micros("ts") - F.unix_micros("run_start")
+        moved = runs.groupBy(*keys, F.col("run_start").alias("started_at")).agg(
+            F.min(F.when(F.col("met") & (waited >= due), F.col("ts"))).alias("firing"),
+            F.min(F.when(~F.col("met"), F.col("ts"))).alias("resolved"),
+            F.max(F.when(F.col("met"), F.col("ts"))).alias("last"),
+        )
+        known = written(moved.join(before, [*keys, "started_at"], "left"), "alert-runs")
+        # A run that had fired by the last tick seen before has been told already.
+        fired = known.where("firing IS NOT NULL AND (seen IS NULL OR firing > seen)")
+        ended = known.where("firing IS NOT NULL AND resolved IS NOT NULL")
+        found = fired.select(*keys, "started_at", F.lit("firing").alias("state"), F.col("firing").alias("at")).unionByName(
+            ended.select(*keys, "started_at", F.lit("resolved").alias("state"), F.col("resolved").alias("at"))
+        )
+        _keep(path, batch_id, found, known.where("resolved IS NULL").select(*keys, "started_at", F.col("last").alias("seen")))
+        discard(ticks, known)
+
+    return advance
+
+
+def region_health_sink(
+    path: str, fail_n: int = 3, ok_n: int = 2, slice_seconds: int = 86400
+) -> Callable[[DataFrame, int], None]:
+    """Batch function: status after every check from (region, check_id, ts, passed) in time order.
+
+    Runs are counted inside slices of time and put together from one row per slice. Between
+    batches a region travels as one row: the last outcome, how long it has lasted, and the status.
+    """
+    schema = "region string, passed boolean, run_length bigint, status string"
+    order = ["ts", "check_id"]
+
+    def advance(batch: DataFrame, batch_id: int) -> None:
+        before = _carried(batch.sparkSession, path, batch_id, schema)
+        slice_by = time_slice(F.col("ts"), slice_seconds)
+        checks = written(
+            batch.select("region", F.col("check_id").cast("bigint").alias("check_id"), "ts", F.coalesce("passed", F.lit(False)).alias("passed")),
+            "checks",
+        )
+        runs = consecutive_runs(checks, ["region"], order, "passed", slice_by).join(
+            before.select("region", *[F.col(c).alias(f"old_{c}") for c in ("passed", "run_length", "status")]), "region", "left"
+        )
+        goes_on = (F.col("run_length") == F.col("seen")) & (F.col("passed") == F.col("old_passed"))
+        length = F.col("run_length") + F.when(goes_on, F.col("old_run_length")).otherwise(0)
+        own = (
+            F.when(~F.col("passed") & (F.col("length") >= fail_n), "unhealthy")
+            .when(~F.col("passed"), "degraded")
+            .when(F.col("length") >= ok_n, "healthy")
+        )
+        judged = written(
+            runs.withColumn("length", length).select("region", *order, "passed", "length", "old_status", own.alias("own")), "region-runs"
+        )
+        known = last_known_in_series(judged, ["region"], order, {"earlier": F.col("own")}, slice_by)
+        status = F.coalesce("own", "earlier", "old_status", F.lit("unknown"))
+        found = written(known.select("region", *order, "passed", F.col("length").alias("run_length"), status.alias("status")), "region-status")
+        last = found.groupBy("region").agg(
+            F.max_by(F.struct("passed", "run_length", "status"), F.struct(*order)).alias("last")
+        ).select("region", "last.*")
+        quiet = before.join(last.select("region"), "region", "left_anti")
+        _keep(path, batch_id, found.select("region", "check_id", "status"), last.unionByName(quiet))
+        discard(checks, judged, found)
+
+    return advance
