@@ -174,7 +174,7 @@ def test_late_change_does_not_undo_a_newer_one(spark):
 
 def test_replica_batch_is_idempotent(spark, tmp_path):
     path = str(tmp_path / "replica")
-    replica.create_replica(spark, path, SCHEMA, buckets=4)
+    replica.create_replica(spark, path, SCHEMA)
     one = log(spark, *[(i, "INSERT", None, f'{{"id":{i},"a":"v"}}') for i in range(20)])
     two = log(spark, (30, "UPDATE", None, '{"id":3,"b":5}'), (31, "DELETE", '{"id":4}', None))
     for n, batch in ((0, one), (1, two), (1, two)):
@@ -183,6 +183,35 @@ def test_replica_batch_is_idempotent(spark, tmp_path):
     assert len(rows) == 19 and rows[3] == ("v", 5) and 4 not in rows
 
 
+def test_replica_runs_against_batches_applied_one_by_one(spark, tmp_path, monkeypatch):
+    """Late and repeated changes over many batches, through levels and a new base, with old folders gone."""
+    import os
+    import random
+
+    monkeypatch.setattr(replica, "FANOUT", 3)
+    monkeypatch.setattr(replica, "SMALL_BASE", 40)
+    draw, path = random.Random(3), str(tmp_path / "replica")
+    replica.create_replica(spark, path, SCHEMA)
+    want, levels = changes.empty_replica(spark, SCHEMA), set()
+    for n in range(11):
+        rows = []
+        for _ in range(8):
+            i, lsn = draw.randrange(20), draw.randrange(200)
+            kind = draw.choice(["INSERT", "UPDATE", "UPDATE", "DELETE"])
+            image = f'{{"id":{i},"a":"{lsn}"}}' if draw.random() < 0.5 else f'{{"id":{i},"b":{lsn}}}'
+            rows.append((lsn, kind, image if kind == "DELETE" else None, None if kind == "DELETE" else image))
+        batch = log(spark, *rows)
+        for _ in range(2 if n in (4, 7) else 1):
+            replica.apply_batch(spark, path, batch, n, SCHEMA)
+        levels |= {r.level for r in replica.runs(spark, path)}
+        want = spark.createDataFrame(changes.apply_changes(want, batch, SCHEMA).collect(), changes.replica_schema(SCHEMA))
+        got = replica.read_replica(spark, path, SCHEMA, with_tombstones=True)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())), n
+    assert levels >= {-1, 0, 1} and any(r.name.endswith("base") for r in replica.runs(spark, path))
+    named = {r.name for b in (None, 10) for r in replica.runs(spark, path, b)}
+    assert set(os.listdir(f"{path}/runs")) == named and len(os.listdir(f"{path}/manifest")) <= 3
+
+
 def test_typed_rows_rescue(spark):
     df = spark.createDataFrame([('{"id":"12","a":null,"b":"many"}',)], "after string")
     row = typed_rows(df, SCHEMA).first()

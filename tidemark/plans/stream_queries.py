@@ -95,7 +95,7 @@ def _stream_late(spark, d):
     events = valid_events(parse_events(arrivals.stream.drop("w"))).where(F.col("source.table") == "orders")
     path, aside, marks = (scratch_path(spark, x) for x in ("replica", "late", "marks"))
     checkpoint = scratch_path(spark, "late-checkpoint")
-    replica.create_replica(spark, path, cl.ORDER_SCHEMA, buckets=8)
+    replica.create_replica(spark, path, cl.ORDER_SCHEMA)
     sink = late.split_late(ingest.replica_sink(path, cl.ORDER_SCHEMA), aside, marks, _DELAY)
     arrivals.run(lambda: ingest.run_to_end(events, sink, checkpoint))
     unique = dedup.dedup_events(late.late_events(spark, aside, events.schema))
@@ -220,7 +220,7 @@ query(
 
 def _stream_apply(spark, d):
     path = scratch_path(spark, "replica")
-    replica.create_replica(spark, path, cl.ORDER_SCHEMA, buckets=8)
+    replica.create_replica(spark, path, cl.ORDER_SCHEMA)
     events = valid_events(parse_events(_raw_stream(spark, d))).where(F.col("source.table") == "orders")
     ingest.run_to_end(
         events, ingest.replica_sink(path, cl.ORDER_SCHEMA), scratch_path(spark, "replica-checkpoint")
@@ -236,8 +236,8 @@ query(
 def _replica_batches(spark, d):
     """Two batches, the second one delivered twice."""
     path = scratch_path(spark, "replica")
-    replica.create_replica(spark, path, cl.ORDER_SCHEMA, buckets=8)
-    unique = dedup.dedup_events(cl.order_events(spark, d))
+    replica.create_replica(spark, path, cl.ORDER_SCHEMA)
+    unique = written(dedup.dedup_events(cl.order_events(spark, d)), "unique-events")
     first, second = unique.where("operation = 'INSERT'"), unique.where("operation <> 'INSERT'")
     for batch_id, events in ((0, first), (1, second), (1, second)):
         replica.apply_batch(spark, path, events, batch_id, cl.ORDER_SCHEMA)
