@@ -8,12 +8,17 @@ ODD = [
     (10, 'token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" mail a@b.example.com or +1 (743) 555-3824, 4111 1111 1111 1111 at 10.0.0.1', "en", "c"),
 ]
 
+CLASHES = ["_s", "_q", "_d", "_h", "_r", "lines", "_source", "_tokens", "_id", "emptied", "n_lines", "topic", "kept", "stratum", "a.b", "_once"]
+
 
 @pytest.fixture(scope="session")
 def odd(spark):
     """Nulls, blanks, repeats, long texts, and columns with names that the operators use themselves."""
-    rows = [(*r, None, "clash", 1) for r in ODD]
-    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, base string, tokens int")
+    rows = [(*r, None, "clash", 1, *[n for n in CLASHES]) for r in ODD]
+    more = ", ".join(f"`{n}` string" for n in CLASHES)
+    return spark.createDataFrame(
+        rows, f"doc_id long, text string, lang string, source string, n_chars long, base string, tokens int, {more}"
+    )
 
 
 @pytest.fixture(scope="session")

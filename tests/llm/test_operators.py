@@ -94,6 +94,32 @@ def test_entropy_spans_and_allow_list(spark):
     assert found == {1: "entropy_base64:4:26", 2: "", 3: ""}
 
 
+def test_secrets_by_class_and_place(spark):
+    """Keys of each class, in URLs and behind innocent words, against values that only look like them."""
+    secret = [
+        "clone https://user:q7Rz9LmXw2KpT4vBn8YcJd5s@host.example/x",
+        "post to https://hooks.host.example/services/T0AB12CD/B0EF34GH/q7Rz9LmXw2KpT4vBn8YcJd5s",
+        "see that commit\nghp_q7Rz9LmXw2KpT4vBn8YcJd5sHf3GaE6uPo1i",
+        "commit ghp_q7Rz9LmXw2KpT4vBn8YcJd5sHf3GaE6uPo1i",
+        "seed JBSWY3DPEHPK3PXPN5XG6ZLT7QRV2KWA done",
+        "key is q7rz9lmxw2kpt4vbn8ycjd5shf3g ok",
+        "key is q7Rz9sampleLmXw2KpT4vBn8YcJd5s ok",
+    ]
+    clean = [
+        "sha256: q7Rz9LmXw2KpT4vBn8YcJd5sHf3G", "integrity=sha384-q7Rz9LmXw2KpT4vBn8YcJd5sHf3G",
+        "see https://host.example/blog/2023/How-To-Build-Great-Things-In-2024-Part2",
+        "put your_API_KEY_example_goes_HERE_1234 there", "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa THISISALLUPPERCASETEXTOFWORDS",
+        "id 550e8400-e29b-41d4-a716-446655440000 of a thing",
+    ]
+    rows = spark.createDataFrame(list(enumerate(secret + clean)), "doc_id long, text string")
+    found = {r["doc_id"]: r["found"] for r in secret_scan.scan_secrets(rows).collect()}
+    assert all(len(found[i]) == 1 for i in range(len(secret))), {i: found[i] for i in range(len(secret))}
+    assert not any(found[len(secret) + i] for i in range(len(clean))), found
+    assert [found[i][0]["kind"] for i in (0, 4, 5)] == ["entropy_base64", "entropy_base32", "entropy_base36"]
+    at = found[0][0]
+    assert secret[0][at["start"]:at["end"]] == "q7Rz9LmXw2KpT4vBn8YcJd5s"
+
+
 def test_personal_base(tricky):
     known = texts(tricky)
     for r in pii.digest(pii.find_personal_data(tricky, pii.NO_MODEL)).collect():

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.rows import evaluated_once
-from tidemark.llm.text import let, words
+from tidemark.llm.text import let, shield, words
 from tidemark.session import discard, written
 
 WIDTH = 5
@@ -203,11 +203,12 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     Lines without words stay and never match. ``emptied`` says that a document had lines
     with words and lost them all. Rows equal in doc_id and text are one document and get
     the same result; equal ids with different texts are ordered by the text's hash; a null
-    id comes first. A null text stays null and has no lines.
+    id comes first. A null text stays null and has no lines. Other columns pass through, whatever
+    their names, but the three named above are replaced. Tokens are five-word shingles.
     """
-    names = ("n_lines", "n_removed", "emptied")
+    docs, named = shield(docs, ["doc_id", "text"], ["n_lines", "n_removed", "emptied"])
     gone = removed_lines(docs)
-    base = _named(docs.drop(*names)).join(_if_small(gone), ["_d", "_h"], "left")
+    base = _named(docs).join(_if_small(gone), ["_d", "_h"], "left")
 
     def rebuilt(lines: Column) -> Column:
         kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.coalesce("lines", F.array().cast("array<int>")))
@@ -216,11 +217,10 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
             lambda ks: F.struct(F.size(lines).alias("n"), F.size(ks).alias("k"), F.array_join(ks, "\n").alias("text")),
         )
 
-    kept = [c for c in docs.columns if c not in names]
     whole = base.withColumn("_r", F.when(F.col("text").isNotNull(), let(_lines(F.col("text")), rebuilt)))
-    return whole.select(
-        *[(F.when(F.col("text").isNotNull(), F.col("_r.text")).alias("text") if c == "text" else F.col(f"`{c}`")) for c in kept],
+    return named(whole.select(
+        *[F.when(F.col("text").isNotNull(), F.col("_r.text")).alias("text") if c == "text" else c for c in docs.columns],
         F.coalesce("_r.n", F.lit(0)).cast("long").alias("n_lines"),
         (F.coalesce("_r.n", F.lit(0)) - F.coalesce("_r.k", F.lit(0))).cast("long").alias("n_removed"),
         (F.col("lines").isNotNull() & ~F.coalesce(F.col("_r.text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")).alias("emptied"),
-    )
+    ))

@@ -18,6 +18,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.text import shield
 from tidemark.session import shared_dir, written
 
 MARGINALS = ("source", "lang", "topic")
@@ -48,7 +49,7 @@ def topic_of(text: Column) -> Column:
 def with_cells(docs: DataFrame) -> DataFrame:
     """Add the cell (``_source``, ``_lang``, ``_topic``) and ``_tokens``, the number of words."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    whole = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(_NONE))
+    whole = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(_NONE)) if c in docs.columns else F.lit(_NONE)
     return docs.select(
         "*", whole("source").alias("_source"), whole("lang").alias("_lang"), topic_of(text).alias("_topic"),
         F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("_tokens"),
@@ -136,8 +137,11 @@ def mix(
     """Add ``topic``, ``tokens``, ``weight``, ``probability`` and ``sampled`` to every document.
 
     Null sources and languages are categories of their own. Documents without words have
-    weight 0 and are not drawn. Rows that agree in id and text are drawn or left together.
+    weight 0 and are not drawn. Rows that agree in id and text are drawn or left together. Without a
+    source or language column all documents share one null category. Other columns pass through,
+    whatever their names, but the five named above are replaced.
     """
+    docs, named = shield(docs, ["doc_id", "text", "source", "lang"], ["topic", "tokens", "weight", "probability", "sampled"])
     cells_of = with_cells(docs)
     keys = [f"_{m}" for m in MARGINALS]
     cells = written(cells_of.groupBy(*keys).agg(F.sum("_tokens").alias("tokens")), "cells")
@@ -147,12 +151,11 @@ def mix(
     draw = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(1 << 52)) / F.lit(float(1 << 52))
     chance = F.when(F.col("_tokens") > 0, F.coalesce("probability", F.lit(0.0))).otherwise(0.0)
     out = cells_of.join(chances, keys, "left")
-    names = ("topic", "tokens", "weight", "probability", "sampled")
-    return out.select(
-        *[F.col(f"`{c}`") for c in docs.columns if c not in names],
+    return named(out.select(
+        *docs.columns,
         F.col("_topic").alias("topic"), F.col("_tokens").alias("tokens"),
         F.coalesce("weight", F.lit(0.0)).alias("weight"), chance.alias("probability"), (draw < chance).alias("sampled"),
-    )
+    ))
 
 
 __all__ = ["fit_cells", "mix", "probabilities", "topic_of", "with_cells"]

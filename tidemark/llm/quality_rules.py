@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.rows import evaluated_once
-from tidemark.llm.text import let, words
+from tidemark.llm.text import let, shield, words
 from tidemark.session import written
 
 GRID = 50
@@ -99,8 +99,12 @@ def _share(part: Column, whole: Column) -> Column:
 
 
 def with_statistics(docs: DataFrame, name: str = "_q") -> DataFrame:
-    """Add the statistics of ``text`` as one struct; a null text counts as empty."""
-    return evaluated_once(docs, **{name: _counts(F.col("text"))})
+    """Add the statistics of ``text`` as one struct; a null text counts as empty.
+
+    Other columns pass through, whatever their names, but a column ``name`` is replaced.
+    """
+    docs, named = shield(docs, ["text"], [name])
+    return named(evaluated_once(docs, **{name: _counts(F.col("text"))}))
 
 
 def steps(q: Column) -> dict[str, Column]:
@@ -200,8 +204,10 @@ def judge(docs: DataFrame, found: DataFrame, stratum: str = "lang", name: str =
     """Add ``base_failed`` and ``kept`` to documents that carry their statistics.
 
     ``found`` has a row per stratum and rule; it is broadcast while it has at most
-    SMALL_ROWS rows, and joined by shuffle beyond that.
+    SMALL_ROWS rows, and joined by shuffle beyond that. Other columns pass through, whatever their
+    names, but the two named above are replaced.
     """
+    docs, named = shield(docs, [stratum, name], ["base_failed", "kept"])
     limits = found.groupBy("stratum").agg(
         *[F.max(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"_c_{r}") for r in RULES]
     ).withColumnRenamed("stratum", "_stratum")
@@ -212,7 +218,7 @@ def judge(docs: DataFrame, found: DataFrame, stratum: str = "lang", name: str =
     over = F.lit(False)
     for rule, step in steps(q).items():
         over = over | F.coalesce(step >= F.col(f"_c_{rule}"), F.lit(False))
-    return (
+    return named(
         docs.join(limits, key == F.col("_stratum"), "left")
         .withColumn("base_failed", base_failed(q))
         .withColumn("kept", ~F.col("base_failed") & ~over)

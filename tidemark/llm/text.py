@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The characters that separate words (space, tab to carriage return).
@@ -22,6 +22,22 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def shield(
+    docs: DataFrame, needs: Sequence[str], outputs: Sequence[str] = ()
+) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with free names for the columns an operator doesn't read, and a function that gives the names back.
+
+    So an operator's inner names clash with none of the caller's. ``outputs`` are names that the
+    operator adds; a caller's column of such a name is left out.
+    """
+    read, gone = {c.lower() for c in needs}, {c.lower() for c in outputs}
+    kept = [c for c in docs.columns if c.lower() not in gone]
+    free = {c: c if c.lower() in read else f"_caller_{i}" for i, c in enumerate(kept)}
+    back = {new: c for c, new in free.items() if new != c}
+    inner = docs.select(*[F.col(f"`{c}`").alias(free[c]) for c in kept])
+    return inner, lambda out: out.withColumnsRenamed(back)
+
+
 def words(text: Column) -> Column:
     """Array of the words of a text; null and blank texts have none."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), GAP), lambda w: w != "")
