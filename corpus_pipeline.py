@@ -7,10 +7,13 @@ back, so a lost executor costs one stage at most.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import line_dedup, mixing, ngram_join, packing, quality_rules
+from tidemark.llm.text import shield
 from tidemark.session import written
 
 SMALL_ROWS = 500_000
@@ -21,8 +24,29 @@ def _if_small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= SMALL_ROWS else df
 
 
+def _stage(*needs: str):
+    """A stage that reads the columns ``needs``; the others travel along, whatever their names.
+
+    Tables may be empty. Null texts count as empty; null ids are ids.
+    """
+
+    def around(stage):
+        @functools.wraps(stage)
+        def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+            inner, named = shield(docs, needs)
+            return named(stage(spark, inner, sf_dir))
+
+        return run
+
+    return around
+
+
+@_stage("doc_id", "lang", "text")
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules accept; cutoffs come from the labelled ones."""
+    """Documents that the quality rules accept; cutoffs come from the labelled ones.
+
+    Null, empty and blank texts have too few words and go. Repeated rows are judged alike.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
     names = written(labels.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("_id")).distinct(), "labelled")
     labelled = docs.join(_if_small(names), F.col("doc_id") == F.col("_id"), "left_semi").select("doc_id", "lang", "text")
@@ -31,18 +55,25 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return judged.where("kept").select(*docs.columns)
 
 
+@_stage("doc_id", "text", "n_chars")
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without lines that an earlier line resembles; documents that lose all their lines go."""
+    """Texts without lines that an earlier line resembles; documents that lose all their lines go.
+
+    A document without words has no lines to lose and stays, as does a null text. Repeated rows
+    are one document and stay together.
+    """
     kept = line_dedup.dedup_lines(docs).where("NOT emptied")
     return kept.select(
         *[F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns]
     )
 
 
+@_stage("doc_id", "text")
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near copies (five words, 0.8 or more).
 
-    Rows equal in id and text count as one document and stay together.
+    Rows equal in id and text count as one document and stay together. Texts without words and
+    null texts resemble nothing and stay.
     """
     found = ngram_join.join_documents(docs, 5, 80, 100)
     gone = written(
@@ -54,13 +85,17 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     )
 
 
+@_stage("doc_id", "text", "source", "lang")
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn by calibrated probabilities that rake sources, languages and topics to their targets."""
+    """Documents drawn by calibrated probabilities that rake sources, languages and topics to their targets.
+
+    Texts without words have no weight and are not drawn. Repeated rows are drawn or left together.
+    """
     return mixing.mix(docs).where("sampled").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the drawn documents with their places in sequences."""
+    """Pieces of the drawn documents with their places in sequences; a null text is one end token."""
     return packing.pack(docs)
 
 
