@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.lsn import lsn_to_num
 from tidemark.functions.ordered import running_sum_in_series
 from tidemark.session import written
+from tidemark.sources.events import uuid_from
 
 
 def _present(image: Column) -> Column:
@@ -50,6 +51,36 @@ def split_by_table(events: DataFrame, tables: Sequence[str]) -> dict[str, DataFr
     return {name: events.where(F.col("source")["table"] == name) for name in tables}
 
 
+_KEEP_NULLS = {"ignoreNullFields": "false"}
+
+
+def _envelope(
+    rows: DataFrame, source: tuple[str, str, str], operation: Column, key: Column, before: Column, after: Column,
+    at: Column | None, lsn: Column | None, xid: Column | None, schema_version: int,
+) -> DataFrame:
+    """Events with the columns that ``parse_events`` gives, and ``entity_key``.
+
+    The id follows from the content, so a recomputed task gives the same one and equal
+    changes at equal positions are duplicates.
+    """
+    position = F.lit(None).cast("string") if lsn is None else lsn.cast("string")
+    moved = rows.select(
+        F.struct(
+            *[F.lit(v).alias(n) for n, v in zip(("database", "schema", "table"), source)],
+            (F.lit(None) if xid is None else xid).cast("bigint").alias("transaction_id"),
+            position.alias("lsn"), F.lit(None).cast("string").alias("connector_version"),
+        ).alias("source"),
+        operation.alias("operation"), key.cast("string").alias("entity_key"), before.alias("before"), after.alias("after"),
+        (F.current_timestamp() if at is None else at.cast("timestamp")).alias("event_timestamp"),
+    )
+    content = F.to_json(F.struct("source", "operation", "entity_key", "before", "after"))
+    return moved.select(
+        uuid_from(content).alias("event_id"), "event_timestamp", "source", lsn_to_num(F.col("source.lsn")).alias("lsn_num"),
+        "operation", "entity_key", "before", "after", F.lit(schema_version).alias("schema_version"),
+        F.lit(None).cast("map<string,string>").alias("metadata"),
+    )
+
+
 def to_change_events(
     df: DataFrame,
     operation: str,
@@ -57,37 +88,36 @@ def to_change_events(
     key: str,
     database: str = "source_db",
     schema: str = "public",
-    before: Sequence[str] | None = None,
+    at: Column | None = None,
+    lsn: Column | None = None,
+    xid: Column | None = None,
+    schema_version: int = 1,
 ) -> DataFrame:
-    """Rows as change events of one kind.
+    """Rows as whole change events of one kind, as ``parse_events`` would give them.
 
     INSERT carries the row as ``after``, DELETE as ``before``. For UPDATE ``df``
-    needs struct columns ``before`` and ``after``.
+    needs struct columns ``before`` and ``after``. ``at``, ``lsn`` and ``xid`` are expressions over
+    ``df``; without ``at`` the time is now, and events without a position cannot be folded in order.
     """
-    keep_nulls = {"ignoreNullFields": "false"}
     nothing = F.lit(None).cast("string")
     if operation == "UPDATE":
-        old, new = F.to_json("before", keep_nulls), F.to_json("after", keep_nulls)
-        key_text = F.col("after")[key]
+        old, new = F.to_json("before", _KEEP_NULLS), F.to_json("after", _KEEP_NULLS)
+        name = F.col("after")[key]
     else:
-        row = F.to_json(F.struct(*[F.col(c) for c in df.columns]), keep_nulls)
+        row = F.to_json(F.struct(*[F.col(c) for c in df.columns]), _KEEP_NULLS)
         old, new = (row, nothing) if operation == "DELETE" else (nothing, row)
-        key_text = F.col(key)
-    return df.select(
-        F.struct(
-            F.lit(database).alias("database"), F.lit(schema).alias("schema"), F.lit(table).alias("table")
-        ).alias("source"),
-        F.lit(operation).alias("operation"),
-        key_text.cast("string").alias("entity_key"),
-        old.alias("before"),
-        new.alias("after"),
-    )
+        name = F.col(key)
+    return _envelope(df, (database, schema, table), F.lit(operation), name, old, new, at, lsn, xid, schema_version)
 
 
 def diff_snapshots(
-    old: DataFrame, new: DataFrame, key: str, table: str, database: str = "source_db", schema: str = "public"
+    old: DataFrame, new: DataFrame, key: str, table: str, database: str = "source_db", schema: str = "public",
+    at: Column | None = None, lsn: Column | None = None, schema_version: int = 1,
 ) -> DataFrame:
-    """The change log that turns snapshot ``old`` into ``new``: one full outer join on the key."""
+    """The change log that turns snapshot ``old`` into ``new``: one full outer join on the key.
+
+    ``at`` and ``lsn`` are the time and position of the new snapshot, the same for all its changes.
+    """
     columns = new.columns
     left = old.select(F.col(key).alias("_key"), F.struct(*[F.col(c) for c in columns]).alias("_old"))
     right = new.select(F.col(key).alias("_key"), F.struct(*[F.col(c) for c in columns]).alias("_new"))
@@ -97,20 +127,21 @@ def diff_snapshots(
         .when(F.col("_new").isNull(), "DELETE")
         .when(~F.col("_old").eqNullSafe(F.col("_new")), "UPDATE")
     )
-    keep_nulls = {"ignoreNullFields": "false"}
-    return (
-        both.withColumn("operation", operation)
-        .where("operation IS NOT NULL")
-        .select(
-            F.struct(
-                F.lit(database).alias("database"), F.lit(schema).alias("schema"), F.lit(table).alias("table")
-            ).alias("source"),
-            "operation",
-            F.col("_key").cast("string").alias("entity_key"),
-            F.to_json("_old", keep_nulls).alias("before"),
-            F.to_json("_new", keep_nulls).alias("after"),
-        )
+    changed = both.withColumn("operation", operation).where("operation IS NOT NULL")
+    return _envelope(
+        changed, (database, schema, table), F.col("operation"), F.col("_key"),
+        F.to_json("_old", _KEEP_NULLS), F.to_json("_new", _KEEP_NULLS), at, lsn, None, schema_version,
+    )
+
+
+def to_messages(events: DataFrame) -> DataFrame:
+    """Events as wire messages: the topic of the table, the entity as message key, and the JSON envelope."""
+    envelope = F.struct(
+        "event_id", F.date_format("event_timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("event_timestamp"),
+        "operation", "source", F.try_parse_json("before").alias("before"), F.try_parse_json("after").alias("after"),
+        "schema_version", "metadata",
     )
+    return events.select(topic_name().alias("topic"), F.col("entity_key").alias("key"), F.to_json(envelope).cast("binary").alias("value"))
 
 
 def assemble_transactions(

@@ -11,7 +11,7 @@ from tidemark.operators import changes, checks, dedup, envelope
 from tidemark.plans import adapters as a
 from tidemark.plans import change_log as cl
 from tidemark.plans.registry import plain, query
-from tidemark.sources.events import parse_events, split_registry_header, typed_rows
+from tidemark.sources.events import parse_events, split_registry_header, typed_rows, valid_events
 
 _BASE = a.with_ctes(*cl.LOG_CTES)
 _UNIQUE = a.with_ctes(*cl.LOG_CTES, cl.UNIQUE)
@@ -102,21 +102,28 @@ query(
     )
 )
 
+def _with_previous(batches):
+    """The operation of the row before, where that row is of the same entity."""
+    key, operation = None, None
+    for rows in batches:
+        keys, before = rows["entity_key"].shift(), rows["operation"].shift()
+        if len(rows):
+            keys.iloc[0], before.iloc[0] = key, operation
+            key, operation = rows["entity_key"].iloc[-1], rows["operation"].iloc[-1]
+        previous = before.where(keys == rows["entity_key"], None)
+        yield rows[["entity_key", "event_id"]].assign(previous=previous)
+
+
 query(
     "entity_order",
     _BASE
     + """SELECT CAST(id AS VARCHAR) AS entity_key, event_id,
       lag(operation) OVER (PARTITION BY id ORDER BY lsn_num, event_id) AS previous FROM good WHERE tbl = 'orders'""",
 )(
-    # The previous row of the sorted partition is the previous change of the entity.
+    # No sort here but the operator's: rows are read as its partitions hold them.
     lambda spark, d: envelope.order_by_entity(cl.order_events(spark, d), 8)
-    .withColumn(
-        "previous",
-        F.lag("operation").over(
-            Window.partitionBy("entity_key").orderBy("lsn_num", "event_id")
-        ),
-    )
-    .select("entity_key", "event_id", "previous")
+    .select("entity_key", "event_id", "operation")
+    .mapInPandas(_with_previous, "entity_key string, event_id string, previous string")
 )
 
 query(
@@ -216,6 +223,51 @@ query(
     )
 )
 
+_SOLD = T.StructType(
+    [T.StructField("id", T.LongType()), T.StructField("customer_id", T.LongType()), T.StructField("status", T.StringType())]
+)
+
+
+def _built_events(spark, d):
+    """Every order inserted, every third updated, every 13th deleted, by the builders."""
+    o = a.orders(spark, d).select("id", "customer_id", "status")
+    place = lambda key, step: num_to_lsn((key * 4 + step) * cl.LSN_STEP)
+    new = F.struct("id", "customer_id", F.lit("changed").alias("status"))
+    changed = o.where("id % 3 = 0").select(F.struct("id", "customer_id", "status").alias("before"), new.alias("after"))
+    key, at = F.col("id"), F.timestamp_seconds("id")
+    return (
+        envelope.to_change_events(o, "INSERT", "orders", "id", at=at, lsn=place(key, 0), xid=key)
+        .unionByName(envelope.to_change_events(
+            changed, "UPDATE", "orders", "id", at=F.timestamp_seconds("after.id"), lsn=place(F.col("after.id"), 1), xid=F.col("after.id")
+        ))
+        .unionByName(envelope.to_change_events(o.where("id % 13 = 0"), "DELETE", "orders", "id", at=at, lsn=place(key, 2), xid=key))
+    )
+
+
+query(
+    "built_events",
+    a.with_ctes(a.ORDERS)
+    + f"""SELECT CAST(id AS VARCHAR) AS entity_key, CASE step WHEN 0 THEN 'INSERT' WHEN 1 THEN 'UPDATE' ELSE 'DELETE' END AS operation,
+      {cl.sql_lsn(f'(CAST(id AS HUGEINT) * 4 + step) * {cl.LSN_STEP}')} AS lsn, id AS xid, CAST(make_timestamp(id * 1000000) AS VARCHAR) AS at,
+      CASE WHEN step > 0 THEN status END AS old_status, CASE step WHEN 0 THEN status WHEN 1 THEN 'changed' END AS new_status
+      FROM shop_orders, (VALUES (0), (1), (2)) s(step) WHERE step = 0 OR (step = 1 AND id % 3 = 0) OR (step = 2 AND id % 13 = 0)""",
+)(
+    # Through the wire form and the parser and back.
+    lambda spark, d: valid_events(parse_events(envelope.to_messages(_built_events(spark, d)).select("value", "topic"))).select(
+        envelope.entity_key().alias("entity_key"), "operation", F.col("source.lsn").alias("lsn"),
+        F.col("source.transaction_id").alias("xid"), F.col("event_timestamp").cast("string").alias("at"),
+        F.get_json_object("before", "$.status").alias("old_status"), F.get_json_object("after", "$.status").alias("new_status"),
+    )
+)
+
+query(
+    "built_state",
+    a.with_ctes(a.ORDERS)
+    + "SELECT id, customer_id, CASE WHEN id % 3 = 0 THEN 'changed' ELSE status END AS status FROM shop_orders WHERE id % 13 <> 0",
+)(
+    lambda spark, d: changes.latest_state(_built_events(spark, d), _SOLD).drop("_lsn")
+)
+
 query(
     "registry_frames",
     a.with_ctes(a.CUSTOMERS)

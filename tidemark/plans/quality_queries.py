@@ -189,6 +189,27 @@ query(
     .agg(F.count(F.lit(1)).alias("failures"))
 )
 
+def _split(spark, d):
+    """Both halves of the split, each with what the other must not hold."""
+    checked = quality.check_by_table(
+        cl.parsed_log(spark, d).withColumn("image", F.coalesce("after", "before")),
+        quality.table_checkers(), None, F.col("source.table"), "image",
+    )
+    good, bad = quality.quality_split(checked)
+    half = lambda rows, name: rows.select(
+        F.lit(name).alias("half"), F.col("source.table").alias("table"), "event_id", F.size("failures").cast("bigint").alias("failures")
+    )
+    return half(good, "passed").unionByName(half(bad, "failed"))
+
+
+query(
+    "quality_split",
+    _RUN
+    # The event id is a rule of the envelope, not of the row.
+    + """SELECT CASE WHEN n = 0 THEN 'passed' ELSE 'failed' END AS half, tbl AS "table", event_id, CAST(n AS BIGINT) AS failures
+      FROM good JOIN (SELECT topic, part, off, len([x FOR x IN rules IF x <> 'required_event_id']) AS n FROM staged) USING (topic, part, off)""",
+)(_split)
+
 query(
     "quality_metrics",
     a.with_ctes(*cl.LOG_CTES)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
-from tidemark.operators import changes, dedup, replica, silver
+from tidemark.operators import changes, dedup, fanout, replica, silver
 from tidemark.plans import adapters as a
 from tidemark.plans import change_log as cl
 from tidemark.plans import metric_queries as mq
@@ -16,7 +16,7 @@ from tidemark.plans.registry import plain, query
 from tidemark.plans.shop_queries import STG_ORDERS
 from tidemark.session import scratch_path, written
 from tidemark.sources.events import parse_events, stream_events, valid_events
-from tidemark.streaming import ingest, late, stateful, windows
+from tidemark.streaming import health, ingest, late, stateful, windows
 
 
 class _Arrivals:
@@ -264,6 +264,72 @@ query(
       CASE WHEN reason IS NULL THEN count(DISTINCT sent_id) ELSE count(*) END AS messages FROM staged GROUP BY reason""",
 )(_stream_quality)
 
+def _fan_out(spark, d):
+    """Order events to an archive, to a sink that fails once and to one that always fails."""
+    events = cl.order_events(spark, d)
+    folders = {name: scratch_path(spark, f"sink-{name}") for name in ("archive", "flaky", "dead")}
+    tries = []
+
+    def store(name):
+        return lambda rows: rows.write.mode("overwrite").parquet(folders[name])
+
+    def flaky(rows):
+        tries.append(1)
+        if len(tries) == 1:
+            raise OSError("not yet")
+        store("flaky")(rows)
+
+    def broken(rows):
+        raise OSError("no such table")
+
+    done = fanout.route(
+        events, {"archive": store("archive"), "flaky": flaky, "broken": broken}, store("dead"), max_retries=2, sleep=lambda _: None
+    )
+    said = spark.createDataFrame([(x.sink, x.ok, x.attempts) for x in done], "sink string, ok boolean, attempts bigint")
+    kept = [
+        spark.read.parquet(folders[name]).select(F.lit(sink).alias("sink"), event.alias("event_id"), error.alias("error"))
+        for name, sink, event, error in (
+            ("archive", "archive", F.col("event_id"), F.lit(None).cast("string")),
+            ("flaky", "flaky", F.col("event_id"), F.lit(None).cast("string")),
+            ("dead", "broken", F.get_json_object(F.col("original_value").cast("string"), "$.event_id"), F.col("error_message")),
+        )
+    ]
+    return kept[0].unionByName(kept[1]).unionByName(kept[2]).join(said, "sink")
+
+
+query(
+    "fan_out",
+    a.with_ctes(*cl.LOG_CTES)
+    + """SELECT sink, ok, CAST(attempts AS BIGINT) AS attempts, event_id, error FROM good,
+      (VALUES ('archive', true, 1, NULL), ('flaky', true, 2, NULL), ('broken', false, 2, 'broken write failed: no such table')) v(sink, ok, attempts, error)
+      WHERE tbl = 'orders'""",
+)(_fan_out)
+
+
+def _stream_health(spark, d):
+    """Progress samples of the deduplicating stream, summed per wave of messages."""
+    arrivals, samples = _waves(spark, d), []
+    out, checkpoint = scratch_path(spark, "health"), scratch_path(spark, "health-checkpoint")
+    live = dedup.dedup_stream(valid_events(parse_events(arrivals.stream.drop("w"))), delay=_DELAY)
+
+    def run():
+        running = ingest.start(live, ingest.batch_folder(out), checkpoint, interval=None)
+        running.awaitTermination()
+        wave = len({w for w, *_ in samples})
+        samples.extend((wave, name, value) for p in running.recentProgress for _, name, _, value in health.progress_rows(p))
+
+    arrivals.run(run)
+    rows = spark.createDataFrame(samples, "wave bigint, name string, value double")
+    return rows.where("name IN ('stream_input_rows', 'stream_rows_too_late')").groupBy("wave", "name").agg(F.sum("value").alias("value"))
+
+
+query(
+    "stream_health",
+    a.with_ctes(*cl.LOG_CTES, _LATE)
+    + """SELECT CAST(wave AS BIGINT) AS wave, 'stream_input_rows' AS name, CAST(count(*) AS DOUBLE) AS value FROM timed GROUP BY wave
+      UNION ALL SELECT CAST(wave AS BIGINT), 'stream_rows_too_late', CAST(count(*) FILTER (late) AS DOUBLE) FROM timed GROUP BY wave""",
+)(_stream_health)
+
 query(
     "stream_transactions",
     a.with_ctes(*cl.LOG_CTES, cl.UNIQUE, _TRANSACTIONS) + "SELECT xid, event_id, type, lsn, commit_lsn FROM tx",
