@@ -46,6 +46,25 @@ def test_parse_kinds(spark):
     }
 
 
+def test_parse_checks_json_types_and_epoch_times(spark):
+    def with_source(**more):
+        return json.dumps({"event_id": "x", "operation": "DELETE", "source": {**SOURCE, **more}, "before": {"id": 1}})
+
+    plain_event = {"operation": "DELETE", "source": SOURCE, "before": {"id": 1}}
+    values = [
+        json.dumps({"event_id": 12, **plain_event}), json.dumps({"event_id": None, **plain_event}), with_source(database=5),
+        with_source(table=["a"]), with_source(schema=True), with_source(),
+        *[json.dumps({"event_id": "x", "event_timestamp": t, **plain_event}) for t in (1700000000, 1700000000.25, 1700000000250, "2023-11-14T22:13:20Z", "soon", True)],
+    ]
+    rows = parse_events(raw(spark, values)).orderBy("offset")
+    assert [r.schema_error for r in rows.collect()] == [
+        "event_id", None, "source.database", "source.table", "source.schema", None, None, None, None, None, "event_timestamp", "event_timestamp",
+    ]
+    at = rows.selectExpr("offset", "unix_micros(event_timestamp) AS t").where("offset BETWEEN 6 AND 9").collect()
+    assert [r.t for r in at] == [1_700_000_000_000_000, 1_700_000_000_250_000, 1_700_000_000_250_000, 1_700_000_000_000_000]
+    assert rows.where("offset = 1").first().event_id
+
+
 def test_parse_keeps_unicode_and_large_images(spark):
     big = {f"f{i}": "x" * 1000 for i in range(1000)}
     names = {"id": 7, "name": "日本語 🎉 Привет مرحبا", "none": None}

@@ -24,20 +24,21 @@ RAW_SCHEMA = T.StructType(
 
 _SOURCE = T.StructType(
     [
-        T.StructField("database", T.StringType()),
-        T.StructField("schema", T.StringType()),
-        T.StructField("schema_name", T.StringType()),
-        T.StructField("table", T.StringType()),
+        T.StructField("database", T.VariantType()),
+        T.StructField("schema", T.VariantType()),
+        T.StructField("schema_name", T.VariantType()),
+        T.StructField("table", T.VariantType()),
         T.StructField("transaction_id", T.LongType()),
         T.StructField("lsn", T.StringType()),
         T.StructField("connector_version", T.StringType()),
     ]
 )
 
-# Images stay JSON text here: Spark keeps the text of an object read as string.
+# Images stay JSON text here: Spark keeps the text of an object read as string. Fields that must be
+# strings are variants, as a number read as string would pass for one.
 _WIRE = T.StructType(
     [
-        T.StructField("event_id", T.StringType()),
+        T.StructField("event_id", T.VariantType()),
         T.StructField("event_timestamp", T.StringType()),
         T.StructField("source", _SOURCE),
         T.StructField("operation", T.StringType()),
@@ -98,12 +99,30 @@ def _is_object(text: Column) -> Column:
     return F.ltrim(text).startswith("{")
 
 
+# Fixed value: numbers beyond it are milliseconds since the epoch, others seconds.
+_EPOCH_SECONDS_TO = 20_000_000_000
+
+
+def _moment(text: Column) -> Column:
+    """Time of ISO text or of a number since the epoch; null where it is neither."""
+    number = text.try_cast("decimal(28,6)")
+    micros = F.when(F.abs(number) > _EPOCH_SECONDS_TO, number * 1_000).otherwise(number * 1_000_000)
+    return F.when(
+        text.rlike(r"^-?[0-9]+(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?$"), F.timestamp_micros(micros.try_cast("bigint"))
+    ).otherwise(F.try_to_timestamp(text))
+
+
+def _string_of(value: Column) -> Column:
+    return F.when(F.schema_of_variant(value) == "STRING", F.variant_get(value, "$", "string"))
+
+
 def parse_events(raw: DataFrame, value_col: str = "value", now: Column | None = None) -> DataFrame:
     """Raw messages to envelope columns plus ``deser_error`` and ``schema_error``.
 
     Null values are skipped. ``deser_error`` is set for bytes that are not UTF-8,
     empty messages, broken JSON and text around the one JSON value; ``schema_error`` for valid JSON that is not a
-    change event. A missing event id is derived from the message position, so a
+    change event; the event id, database, schema and table must be JSON strings, and the time ISO text
+    or a number since the epoch. A missing event id is derived from the message position, so a
     retried task gives the same id; a missing time becomes ``now``.
     Images may be objects or JSON text holding an object.
     """
@@ -137,14 +156,21 @@ def parse_events(raw: DataFrame, value_col: str = "value", now: Column | None =
     rows = rows.withColumn("deser_error", deser_error)
 
     source = wire["source"]
-    namespace = F.coalesce(source["schema"], source["schema_name"])
-    stamped = F.try_to_timestamp(wire["event_timestamp"])
+    rows = rows.withColumns({
+        "_id": _string_of(wire["event_id"]),
+        "_database": _string_of(source["database"]),
+        "_schema": _string_of(F.coalesce(source["schema"], source["schema_name"])),
+        "_table": _string_of(source["table"]),
+        "_stamped": _moment(wire["event_timestamp"]),
+    })
+    stamped = F.col("_stamped")
     schema_error = (
         F.when(~_is_object(F.col("raw_text")), "not an object")
         .when(source.isNull(), "source")
-        .when(source["database"].isNull(), "source.database")
-        .when(namespace.isNull(), "source.schema")
-        .when(source["table"].isNull(), "source.table")
+        .when(F.col("_database").isNull(), "source.database")
+        .when(F.col("_schema").isNull(), "source.schema")
+        .when(F.col("_table").isNull(), "source.table")
+        .when(F.col("_id").isNull() & ~F.coalesce(F.schema_of_variant(wire["event_id"]) == "VOID", F.lit(True)), "event_id")
         .when(wire["operation"].isNull() | ~wire["operation"].isin(*OPERATIONS), "operation")
         .when(wire["event_timestamp"].isNotNull() & stamped.isNull(), "event_timestamp")
         .when(~_is_object(wire["before"]), "before")
@@ -160,15 +186,15 @@ def parse_events(raw: DataFrame, value_col: str = "value", now: Column | None =
         F.octet_length(F.col(value_col)).alias("raw_size_bytes"),
         "deser_error",
         F.when(F.col("deser_error").isNull(), schema_error).alias("schema_error"),
-        wire["event_id"].alias("wire_event_id"),
-        F.coalesce(wire["event_id"], uuid_from(position)).alias("event_id"),
+        F.col("_id").alias("wire_event_id"),
+        F.coalesce("_id", uuid_from(position)).alias("event_id"),
         F.coalesce(stamped, now if now is not None else F.current_timestamp()).alias("event_timestamp"),
         F.when(
             source.isNotNull(),
             F.struct(
-                source["database"].alias("database"),
-                namespace.alias("schema"),
-                source["table"].alias("table"),
+                F.col("_database").alias("database"),
+                F.col("_schema").alias("schema"),
+                F.col("_table").alias("table"),
                 source["transaction_id"].alias("transaction_id"),
                 source["lsn"].alias("lsn"),
                 source["connector_version"].alias("connector_version"),
