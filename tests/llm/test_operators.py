@@ -142,6 +142,20 @@ def test_trees_select_by_calibrated_score(spark):
 
 
 
+def test_personal_fit_reads_all_documents(spark):
+    """Few examples among many documents: a sample of the table would hold too few to learn from."""
+    plain = [(i, f"call me on +1 (212) 555-{1000 + i} today") for i in range(60)]
+    odd = [(1000 + i, f"order no {i % 9 + 1}00.{300 + i}.900.77") for i in range(60)]
+    rest = spark.range(10_000, 160_000).select(F.col("id").alias("doc_id"), F.lit("nothing of that kind").alias("text"))
+    docs = spark.createDataFrame(plain + odd, "doc_id long, text string").unionByName(rest)
+    counted = pii.examples(docs)
+    assert {(r["kind"], r["label"]): r["n"] for r in counted.groupBy("kind", "label").agg(F.sum("n").alias("n")).collect()} == {
+        ("phone", 1.0): 60, ("ip", 0.0): 60,
+    }
+    assert counted.count() < 20
+    assert pii.fit(docs).trees
+
+
 REAL = {
     1: ("please call 212-555-0147 now", "phone_local:12:24"), 2: ("my SSN is 123-45-6789", "id_number:10:21"),
     3: ("pay BE68 5390 0754 7034 PAID", "iban:4:23"), 4: ("ann.lee [at] example [dot] org", "email_spoken:0:30"),

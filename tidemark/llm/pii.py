@@ -14,8 +14,8 @@ the lowest score whose held-out share of passes, less that chance, reaches ``pre
 A kind without enough held-out examples has no threshold.
 
 Built-in functions only: the trees become one SQL expression, evaluated inside the
-row. The fit reads a sample of at most about ``TRAIN_DOCS`` documents, chosen by a
-hash of their id and text; every document is searched.
+row. The fit reads every document: equal examples are counted first, and the trees learn
+from the different ones by weight. Every document is searched.
 """
 
 from __future__ import annotations
@@ -85,8 +85,9 @@ CONTEXT_WORDS = (
     r"(?i)\bip\b|host|server|address|from", r"(?i)ssn|social|passport|born", r"(?i)version|order|invoice|isbn|ticket|\bno\b|#$",
 )
 CONTEXT = 24
-TRAIN_DOCS = 50_000
 TREES, DEPTH, BINS = 12, 3, 20
+# MLlib looks for limits of features in all rows only up to the larger of 10,000 and the square of its bins.
+SPLIT_BINS, SPLIT_ROWS = 32, 10_000
 MIN_EXAMPLES, PRECISION = 30, 0.95
 
 
@@ -286,30 +287,30 @@ def calibrated_threshold(bins: list[tuple[float, int, int]], precision: float =
     return 2.0
 
 
-def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS, precision: float = PRECISION) -> SpanModel:
-    """Fit the trees and the thresholds on a bounded sample of ``docs``."""
-    total = docs.count()
-    if total == 0:
-        return NO_MODEL
+def examples(docs: DataFrame) -> DataFrame:
+    """(held, label, kind, f, n): the different examples of all of ``docs`` and how often each occurs."""
     place = F.pmod(F.xxhash64(F.lit("pii"), "doc_id", "text"), F.lit(1_000_000)) / 1_000_000
     text = F.coalesce(F.col("text"), F.lit(""))
     labelled = lambda cands: let(
         F.filter(cands, lambda c: c["valid"]),
         lambda base: F.filter(cands, lambda c: c["passed"].isNotNull() & (c["valid"] | _apart(c, base))),
     )
-    rows = (
-        docs.where(place < min(1.0, train_docs / total))
-        .select(place.alias("place"), F.explode(let(let(text, _candidates), labelled)).alias("c"))
-        .select(
+    return (
+        docs.select(place.alias("place"), F.explode(let(let(text, _candidates), labelled)).alias("c"))
+        .groupBy(
             (F.pmod(F.floor(F.col("place") * 1_000_000), F.lit(10)) < 3).alias("held"),
             F.when(F.col("c.passed"), 1.0).otherwise(0.0).alias("label"),
             F.col("c.kind").alias("kind"), F.col("c.f").alias("f"),
         )
-        .select("held", "label", "kind", "f", array_to_vector("f").alias("features"))
-        .persist()
+        .agg(F.count(F.lit(1)).alias("n"))
     )
+
+
+def fit(docs: DataFrame, precision: float = PRECISION) -> SpanModel:
+    """Fit the trees and the thresholds on all of ``docs``."""
+    rows = examples(docs).withColumn("features", array_to_vector("f")).persist()
     try:
-        seen = rows.groupBy("held", "label", "kind").agg(F.count(F.lit(1)).alias("n")).collect()
+        seen = rows.groupBy("held", "label", "kind").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("rows")).collect()
         if min(sum(r["n"] for r in seen if not r["held"] and r["label"] == v) for v in (0.0, 1.0)) < MIN_EXAMPLES:
             return NO_MODEL
         # Kinds with enough examples weigh the same, so that frequent ones do not shape all trees.
@@ -318,13 +319,18 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS, precision: float = PRECIS
         for k, n in size.items():
             if n >= MIN_EXAMPLES:
                 weight = F.when(F.col("kind") == k, F.lit(max(size.values()) / n)).otherwise(weight)
-        gbt = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=7, featuresCol="features", labelCol="label", weightCol="weight")
-        trees = _parse_trees(gbt.fit(rows.where(~F.col("held")).withColumn("weight", weight)).toDebugString)
+        different = sum(r["rows"] for r in seen if not r["held"])
+        gbt = GBTClassifier(
+            maxIter=TREES, maxDepth=DEPTH, seed=7, featuresCol="features", labelCol="label", weightCol="weight",
+            maxBins=SPLIT_BINS if different <= SPLIT_ROWS else math.isqrt(different) + 1,
+        )
+        train = rows.where(~F.col("held")).withColumn("weight", weight * F.col("n")).coalesce(different // SPLIT_ROWS + 1)
+        trees = _parse_trees(gbt.fit(train).toDebugString)
         score = F.floor(SpanModel(trees).score(F.col("f")) * BINS) / BINS
         bins: dict[str, list] = {}
         for r in (
             rows.where("held").groupBy("kind", score.alias("low"))
-            .agg(F.sum("label").cast("long").alias("pos"), F.sum(1 - F.col("label")).cast("long").alias("neg"))
+            .agg(F.sum(F.col("label") * F.col("n")).cast("long").alias("pos"), F.sum((1 - F.col("label")) * F.col("n")).cast("long").alias("neg"))
             .collect()
         ):
             bins.setdefault(r["kind"], []).append((r["low"], r["pos"], r["neg"]))
@@ -410,4 +416,4 @@ def digest(found: DataFrame) -> DataFrame:
     )
 
 
-__all__ = ["SpanModel", "calibrated_threshold", "digest", "find_personal_data", "fit", "luhn", "redact", "tagged"]
+__all__ = ["SpanModel", "calibrated_threshold", "digest", "examples", "find_personal_data", "fit", "luhn", "redact", "tagged"]
