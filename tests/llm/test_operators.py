@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -14,6 +15,7 @@ from tidemark.llm import (
     components, fingerprints, license_scan, line_dedup, mixing, ngram_join, packing, pii, quality_rules, secret_scan,
     set_trie, shingles, token_counts, tokens,
 )
+from tidemark.session import swept
 from tokenizers import Tokenizer
 
 GAP = r"[^\x20\x09-\x0D]+"
@@ -142,6 +144,23 @@ def test_trees_select_by_calibrated_score(spark):
 
 
 
+def test_shuffle_files_of_intermediate_writes_go(spark):
+    """What the joins of candidate groups shuffle is gone when their tables are written."""
+
+    def files() -> set[str]:
+        found = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+        return {str(found.apply(i).getName()) for i in range(found.size())}
+
+    before = files()
+    links = spark.range(20_000).select((F.col("id") % 997).alias("a"), F.col("id").alias("b"))
+    kept = swept(links.groupBy("b").agg(F.min("a").alias("a")), "swept-test")
+    end = time.time() + 20
+    while (left := {f for f in files() - before if f.startswith("shuffle_")}) and time.time() < end:
+        time.sleep(0.2)
+    assert not left
+    assert kept.count() == 20_000
+
+
 def test_personal_fit_reads_all_documents(spark):
     """Few examples among many documents: a sample of the table would hold too few to learn from."""
     plain = [(i, f"call me on +1 (212) 555-{1000 + i} today") for i in range(60)]

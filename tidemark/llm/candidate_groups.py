@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
 from tidemark.llm.set_trie import join_group
-from tidemark.session import discard, written
+from tidemark.session import discard, swept
 
 BLOCK_IDS = 1 << 19
 FEW = 64
@@ -80,7 +80,7 @@ def resolve(
     sizes = postings.groupBy("token").agg(
         F.min("key").alias("leader"), F.max("key").alias("other"), F.count(F.lit(1)).alias("k")
     ).where("leader < other")
-    shared = written(
+    shared = swept(
         postings.join(sizes.select("token", "leader", (F.col("k") > FEW).alias("large")), "token")
         .groupBy("token", "leader", "large", "key").agg(F.max("n").alias("n")),
         "shared",
@@ -88,8 +88,8 @@ def resolve(
     ends = None
     if prefixes:
         held = shared.groupBy("key").agg(F.sum(F.col("large").cast("long")).alias("h"))
-        ends = written(postings.groupBy("key").agg(F.max("token").alias("w")).join(held, "key"), "ends")
-    pairs = written(
+        ends = swept(postings.groupBy("key").agg(F.max("token").alias("w")).join(held, "key"), "ends")
+    pairs = swept(
         shared.where("large AND key <> leader").select("leader", "key", "n")
         .unionByName(_likely_pairs(shared, ends, num, den)).groupBy("leader", "key").agg(F.max("n").alias("n")),
         "pairs",
@@ -98,10 +98,10 @@ def resolve(
         discard(ends)
     names = pairs.select("key").unionByName(pairs.select(F.col("leader").alias("key"))).distinct()
     known = lambda c: F.coalesce(F.col(c), F.lit(_NO_ID))
-    holders = written(
+    holders = swept(
         rows.join(names, "key").groupBy("key").agg(F.min(known("doc_id")).alias("_id")).select("_id").distinct(), "holders"
     )
-    sets = written(
+    sets = swept(
         sets_of(docs.select("doc_id", "text").join(holders, known("doc_id") == F.col("_id"), "left_semi"))
         .join(names, "key", "left_semi"),
         "sets",
@@ -114,8 +114,8 @@ def resolve(
         F.col("leader").alias("g1"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("g2"), F.col("leader").alias("key")
     )
     first = dealt.unionByName(leaders).select("g1", "g2", F.lit(0).alias("g3"), "key", F.col("key").alias("label"))
-    links = written(linked(first, sets, num, den), "near")
-    labels = written(components(links), "labels")
+    links = swept(linked(first, sets, num, den), "near")
+    labels = swept(components(links), "labels")
 
     marked = shared.where("large").join(labels, F.col("key") == F.col("node"), "left").select(
         "token", "key", "n", F.coalesce("label", "key").alias("label")
@@ -136,7 +136,7 @@ def resolve(
     ).select(
         F.col("token").alias("g1"), F.least("i", "j").alias("g2"), F.greatest("i", "j").alias("g3"), "key", "label"
     )
-    more = written(linked(second, sets, num, den), "near")
+    more = swept(linked(second, sets, num, den), "near")
     final = components(links.unionByName(more))
     discard(shared, pairs, holders, sets, links, more, labels)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import discard, written
+from tidemark.session import discard, swept
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -31,12 +31,12 @@ def components(links: DataFrame) -> DataFrame:
     Rounds of large and small star, each written to the shared folder, until the links no longer change; their
     number grows with the logarithm of the longest path. Loops and repeated links are allowed.
     """
-    now = written(
+    now = swept(
         links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links"
     )
     state = _state(now)
     while state[0]:
-        old, now = now, written(_small_star(_large_star(now)), "links")
+        old, now = now, swept(_small_star(_large_star(now)), "links")
         discard(old)
         state, before = _state(now), state
         if state == before:

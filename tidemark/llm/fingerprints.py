@@ -25,7 +25,7 @@ from tidemark.llm.candidate_groups import resolve
 from tidemark.llm.ngram_join import set_key
 from tidemark.llm.shingles import mixed, shingle_list, shingle_sets
 from tidemark.llm.tokens import slices
-from tidemark.session import written
+from tidemark.session import swept, written
 
 WIDTH = 5
 PERMUTATIONS = 128
@@ -43,7 +43,6 @@ _OUT = (
     "doc_id long, n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, "
     "near_edited double, near_next double, n long, key long"
 )
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def signatures(texts: list[str | None], width: int = WIDTH) -> np.ndarray:
@@ -196,13 +195,7 @@ def fingerprint(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
                     [pa.array(list(_band_hashes(sig)), pa.list_(pa.int64())), batch.column(1), batch.column(2)], names=["bands", "key", "n"]
                 )
 
-    conf = docs.sparkSession.conf
-    before = conf.get(_CLEANUP, None)
-    conf.set(_CLEANUP, "true")
-    try:
-        rows = written(with_successor(docs).mapInArrow(run, _OUT), "fingerprints")
-    finally:
-        conf.unset(_CLEANUP) if before is None else conf.set(_CLEANUP, before)
+    rows = swept(with_successor(docs).mapInArrow(run, _OUT), "fingerprints")
     hashed = rows.where("key IS NOT NULL").select("fingerprint", "key", "n").mapInArrow(bands, "bands array<long>, key long, n long")
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     classed = resolve(base, rows, _postings(hashed), _whole_sets, num, den, prefixes=False)

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.rows import evaluated_once
 from tidemark.llm.text import let, shield, words
-from tidemark.session import discard, written
+from tidemark.session import discard, swept
 
 WIDTH = 5
 BUCKETS = 1 << 16
@@ -112,23 +112,23 @@ def _if_small(df: DataFrame) -> DataFrame:
 
 def _verified(docs: DataFrame, pairs: DataFrame, label: str) -> DataFrame:
     """The pairs (key, place, other, other_place) whose lines reach the similarity, by their words."""
-    places = written(
+    places = swept(
         pairs.select("key", "place").unionByName(pairs.select(F.col("other").alias("key"), F.col("other_place").alias("place")))
         .distinct().select("key", "place._d", "place._h", "place.line"),
         f"{label}-places",
     )
-    homes = written(places.select("_d", "_h").distinct(), f"{label}-homes")
+    homes = swept(places.select("_d", "_h").distinct(), f"{label}-homes")
     found = _named(docs.select("doc_id", "text")).join(_if_small(homes), ["_d", "_h"], "left_semi").select(
         "_d", "_h", F.posexplode(_lines(F.col("text"))).alias("line", "t")
     )
     texts = found.join(_if_small(places), ["_d", "_h", "line"]).select("key", "t").dropDuplicates(["key"])
-    grams = written(texts.select("key", let(words(F.lower("t")), _hashed).alias("a")), f"{label}-grams")
+    grams = swept(texts.select("key", let(words(F.lower("t")), _hashed).alias("a")), f"{label}-grams")
     discard(places, homes)
     both = evaluated_once(
         pairs.select("key", "other").join(grams, "key").join(grams.select(F.col("key").alias("other"), F.col("a").alias("b")), "other"),
         same=F.size(F.array_intersect("a", "b")),
     )
-    matched = written(
+    matched = swept(
         both.where(5 * F.col("same") >= 4 * (F.size("a") + F.size("b") - F.col("same"))).select("key").distinct(), f"{label}-matched"
     )
     discard(grams)
@@ -137,13 +137,13 @@ def _verified(docs: DataFrame, pairs: DataFrame, label: str) -> DataFrame:
 
 def removed_lines(docs: DataFrame) -> DataFrame:
     """(_d, _h, lines): the numbers of the lines to remove, per document that loses any."""
-    sets = written(line_sets(docs), "line-sets")
+    sets = swept(line_sets(docs), "line-sets")
     place = F.struct("_d", "_h", "line")
-    where = written(sets.select("key", place.alias("place")), "line-places")
+    where = swept(sets.select("key", place.alias("place")), "line-places")
     busy, busiest = _busy_buckets(sets)
     # Different sets of fewer than four tokens cannot reach 0.8.
     prefix = F.col("n") - F.floor((4 * F.col("n") + 4) / 5).cast("int") + 1
-    repeated = written(
+    repeated = swept(
         where.groupBy("key").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first < last").drop("last"),
         "line-repeats",
     )
@@ -152,20 +152,20 @@ def removed_lines(docs: DataFrame) -> DataFrame:
         "key", "n", F.posexplode(F.slice(_ordered(F.col("ids"), busy, busiest), 1, prefix)).alias("pos", "token")
     )
     alike = Window.partitionBy("token")
-    shared = written(
+    shared = swept(
         posted.select("*", F.min("key").over(alike).alias("low"), F.max("key").over(alike).alias("high"))
         .where("low < high").select("token", "key", "n", "pos").distinct(),
         "line-shared",
     )
     discard(sets)
-    keys = written(shared.select("key").distinct(), "line-keys")
-    starts = written(
+    keys = swept(shared.select("key").distinct(), "line-keys")
+    starts = swept(
         where.join(_if_small(keys), "key", "left_semi").groupBy("key").agg(F.min("place").alias("place")),
         "line-starts",
     )
-    groups = written(shared.join(_if_small(starts), "key"), "line-groups")
+    groups = swept(shared.join(_if_small(starts), "key"), "line-groups")
     first = groups.groupBy("token").agg(F.min(F.struct("place", "key", "n", "pos")).alias("f"))
-    near = written(
+    near = swept(
         groups.join(first, "token")
         .where((F.col("key") != F.col("f.key")) & _possible(F.col("n"), F.col("pos"), F.col("f.n"), F.col("f.pos")))
         .select("key", "place", F.col("f.key").alias("other"), F.col("f.place").alias("other_place")).distinct(),
@@ -174,7 +174,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     settled = _verified(docs, near, "line-first")
     open_keys = groups.join(settled, "key", "left_anti")
     earlier = groups.select("token", F.col("key").alias("other"), F.col("place").alias("other_place"), F.col("n").alias("m"), F.col("pos").alias("at"))
-    rest = written(
+    rest = swept(
         open_keys.join(
             earlier,
             (open_keys["token"] == earlier["token"]) & (F.col("other_place") < F.col("place")) & (F.col("key") != F.col("other"))
@@ -183,14 +183,14 @@ def removed_lines(docs: DataFrame) -> DataFrame:
         "line-pairs",
     )
     matched = settled.unionByName(_verified(docs, rest, "line-rest")).distinct().withColumn("matched", F.lit(True))
-    verdict = written(
+    verdict = swept(
         repeated.join(matched, "key", "full_outer").select("key", "first", F.coalesce("matched", F.lit(False)).alias("matched")),
         "line-verdicts",
     )
     gone = where.join(_if_small(verdict), "key").where(
         "matched OR (first IS NOT NULL AND place <> first)"
     )
-    out = written(
+    out = swept(
         gone.groupBy("place._d", "place._h").agg(F.collect_set("place.line").alias("lines")), "removed-lines"
     )
     discard(where, repeated, shared, keys, starts, groups, near, settled, rest, verdict)
