@@ -290,6 +290,24 @@ def test_line_dedup(small, spark):
         assert (r.text, r.n_removed) == ("\n".join(kept), len(gone[r.doc_id]))
 
 
+def test_line_pairs_are_cut_by_sketches(spark):
+    """Only pairs whose sketches leave the similarity in reach are read again; no match is among those cut."""
+    common = [f"c{i}" for i in range(9)]
+    lines = [" ".join([*common, *[f"x{n}y{j}" for j in range(31)]]) for n in range(40)]
+    lines += [" ".join([*common, *[f"x{n}y{j}" for j in range(31)], "end"]) for n in range(5)]
+    sets = line_dedup.line_sets(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")).localCheckpoint()
+    key = {r["_d"]: r["key"] for r in sets.collect()}
+    pairs = spark.createDataFrame([(key[j], key[i]) for j in key for i in key if i < j], "key long, other long")
+    left = {(r["key"], r["other"]) for r in line_dedup._likely(sets, pairs, "sketch-test").collect()}
+    alike = {
+        (key[j], key[i]) for j in key for i in key
+        if i < j and 5 * len(line_grams(lines[i]) & line_grams(lines[j])) >= 4 * len(line_grams(lines[i]) | line_grams(lines[j]))
+    }
+    assert len(alike) == 5
+    assert alike <= left
+    assert len(left) < 20
+
+
 def brute_groups(known, width, num):
     sets = {}
     for d, t in known.items():

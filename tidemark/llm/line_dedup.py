@@ -12,7 +12,9 @@ number), has Jaccard similarity 0.8 or more with it.
 * Each key is first compared with the earliest key at its tokens, which settles groups of
   near copies with as many comparisons as keys. Only keys without a match there are
   compared with all earlier keys that share a token.
-* Candidates are verified on the whole sets of 64-bit shingle hashes of their lines.
+* Candidates whose 16-bit sketches rule out the overlap go: a value that only one sketch has
+  stands for a token that the other set lacks, so the bound is exact and loses no match.
+* The others are verified on the whole sets of 64-bit shingle hashes of their lines.
 
 Built-in functions only. Hash sets of lines go through the shared folder and are
 deleted when the result's small table of removed lines is written.
@@ -88,13 +90,16 @@ def _busy_buckets(sets: DataFrame) -> tuple[list[int], list[int]]:
 def _ordered(ids: Column, busy: list[int], busiest: list[int]) -> Column:
     """Token ids as longs whose numeric order is the global order."""
 
+    levels = [(level << 33, some) for level, some in ((1, busy), (2, busiest)) if some]
+
     def token(i: Column) -> Column:
         bucket = F.pmod(i, F.lit(BUCKETS))
-        grade = F.lit(0).cast("long")
-        for level, some in ((1, busy), (2, busiest)):
-            if some:
-                grade = F.when(bucket.isin(some), F.lit(level).cast("long")).otherwise(grade)
-        return F.shiftleft(grade, 33) + i.cast("long")
+        ahead = F.lit(0).cast("long")
+        for added, some in levels:
+            ahead = F.when(bucket.isin(some), F.lit(added).cast("long")).otherwise(ahead)
+        if len(levels) > 1:  # most tokens are in no list and ask once
+            ahead = F.when(bucket.isin(busy + busiest), ahead).otherwise(F.lit(0).cast("long"))
+        return ahead + i.cast("long")
 
     return F.sort_array(F.transform(ids, token))
 
@@ -110,12 +115,36 @@ def _if_small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= SMALL_ROWS else df
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, label: str) -> DataFrame:
-    """The pairs (key, place, other, other_place) whose lines reach the similarity, by their words."""
+def _likely(sets: DataFrame, pairs: DataFrame, label: str) -> DataFrame:
+    """The pairs (key, other) whose sketches leave the similarity in reach."""
+    names = swept(
+        pairs.select("key").unionByName(pairs.select(F.col("other").alias("key"))).distinct(), f"{label}-names"
+    )
+    sketches = swept(
+        sets.join(_if_small(names), "key", "left_semi")
+        .select("key", "n", F.array_distinct(F.transform("ids", lambda i: F.shiftright(i, 16).cast("smallint"))).alias("s"))
+        .dropDuplicates(["key"]),
+        f"{label}-sketches",
+    )
+    others = sketches.select(F.col("key").alias("other"), F.col("n").alias("m"), F.col("s").alias("t"))
+    most = F.least(F.col("n") - F.size(F.array_except("s", "t")), F.col("m") - F.size(F.array_except("t", "s")))
+    near = swept(
+        pairs.select("key", "other").join(sketches, "key").join(others, "other")
+        .where(9 * most >= 4 * (F.col("n") + F.col("m"))).select("key", "other"),
+        f"{label}-likely",
+    )
+    discard(names, sketches)
+    return near
+
+
+def _verified(docs: DataFrame, sets: DataFrame, starts: DataFrame, candidates: DataFrame, label: str) -> DataFrame:
+    """The keys of the pairs (key, other) whose lines reach the similarity, by their words."""
+    pairs = _likely(sets, candidates, label)
+    names = swept(
+        pairs.select("key").unionByName(pairs.select(F.col("other").alias("key"))).distinct(), f"{label}-names"
+    )
     places = swept(
-        pairs.select("key", "place").unionByName(pairs.select(F.col("other").alias("key"), F.col("other_place").alias("place")))
-        .distinct().select("key", "place._d", "place._h", "place.line"),
-        f"{label}-places",
+        starts.join(_if_small(names), "key", "left_semi").select("key", "place._d", "place._h", "place.line"), f"{label}-places"
     )
     homes = swept(places.select("_d", "_h").distinct(), f"{label}-homes")
     found = _named(docs.select("doc_id", "text")).join(_if_small(homes), ["_d", "_h"], "left_semi").select(
@@ -123,15 +152,15 @@ def _verified(docs: DataFrame, pairs: DataFrame, label: str) -> DataFrame:
     )
     texts = found.join(_if_small(places), ["_d", "_h", "line"]).select("key", "t").dropDuplicates(["key"])
     grams = swept(texts.select("key", let(words(F.lower("t")), _hashed).alias("a")), f"{label}-grams")
-    discard(places, homes)
+    discard(names, places, homes)
     both = evaluated_once(
-        pairs.select("key", "other").join(grams, "key").join(grams.select(F.col("key").alias("other"), F.col("a").alias("b")), "other"),
+        pairs.join(grams, "key").join(grams.select(F.col("key").alias("other"), F.col("a").alias("b")), "other"),
         same=F.size(F.array_intersect("a", "b")),
     )
     matched = swept(
         both.where(5 * F.col("same") >= 4 * (F.size("a") + F.size("b") - F.col("same"))).select("key").distinct(), f"{label}-matched"
     )
-    discard(grams)
+    discard(grams, pairs)
     return matched
 
 
@@ -157,21 +186,21 @@ def removed_lines(docs: DataFrame) -> DataFrame:
         .where("low < high").select("token", "key", "n", "pos").distinct(),
         "line-shared",
     )
-    discard(sets)
     keys = swept(shared.select("key").distinct(), "line-keys")
     starts = swept(
         where.join(_if_small(keys), "key", "left_semi").groupBy("key").agg(F.min("place").alias("place")),
         "line-starts",
     )
     groups = swept(shared.join(_if_small(starts), "key"), "line-groups")
+    discard(shared)
     first = groups.groupBy("token").agg(F.min(F.struct("place", "key", "n", "pos")).alias("f"))
     near = swept(
         groups.join(first, "token")
         .where((F.col("key") != F.col("f.key")) & _possible(F.col("n"), F.col("pos"), F.col("f.n"), F.col("f.pos")))
-        .select("key", "place", F.col("f.key").alias("other"), F.col("f.place").alias("other_place")).distinct(),
+        .select("key", F.col("f.key").alias("other")).distinct(),
         "line-pairs",
     )
-    settled = _verified(docs, near, "line-first")
+    settled = _verified(docs, sets, starts, near, "line-first")
     open_keys = groups.join(settled, "key", "left_anti")
     earlier = groups.select("token", F.col("key").alias("other"), F.col("place").alias("other_place"), F.col("n").alias("m"), F.col("pos").alias("at"))
     rest = swept(
@@ -179,10 +208,11 @@ def removed_lines(docs: DataFrame) -> DataFrame:
             earlier,
             (open_keys["token"] == earlier["token"]) & (F.col("other_place") < F.col("place")) & (F.col("key") != F.col("other"))
             & _possible(F.col("n"), F.col("pos"), F.col("m"), F.col("at")),
-        ).select("key", "place", "other", "other_place").distinct().join(near, ["key", "other"], "left_anti"),
+        ).select("key", "other").distinct().join(near, ["key", "other"], "left_anti"),
         "line-pairs",
     )
-    matched = settled.unionByName(_verified(docs, rest, "line-rest")).distinct().withColumn("matched", F.lit(True))
+    discard(groups, near)
+    matched = settled.unionByName(_verified(docs, sets, starts, rest, "line-rest")).distinct().withColumn("matched", F.lit(True))
     verdict = swept(
         repeated.join(matched, "key", "full_outer").select("key", "first", F.coalesce("matched", F.lit(False)).alias("matched")),
         "line-verdicts",
@@ -193,7 +223,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     out = swept(
         gone.groupBy("place._d", "place._h").agg(F.collect_set("place.line").alias("lines")), "removed-lines"
     )
-    discard(where, repeated, shared, keys, starts, groups, near, settled, rest, verdict)
+    discard(sets, where, repeated, keys, starts, settled, rest, verdict)
     return out
 
 
