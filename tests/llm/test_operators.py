@@ -12,7 +12,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 from tidemark.llm import (
-    components, fingerprints, license_scan, line_dedup, mixing, ngram_join, packing, pii, quality_rules, secret_scan,
+    candidate_groups, components, fingerprints, license_scan, line_dedup, mixing, ngram_join, packing, pii, quality_rules, secret_scan,
     set_trie, shingles, token_counts, tokens,
 )
 from tidemark.session import swept
@@ -353,6 +353,22 @@ def test_fingerprints_name_their_class(small):
     assert len({c for _, c in got.values()}) < len(got)
 
 
+def test_near_copies_travel_once(spark, monkeypatch):
+    """Sets of a cluster go to their first leader, not to every pair of the cluster."""
+    sent, linked = [], candidate_groups.linked
+
+    def counted(members, *rest):
+        sent.append(members.count())
+        return linked(members, *rest)
+
+    monkeypatch.setattr(candidate_groups, "linked", counted)
+    body = " ".join(f"w{i}" for i in range(400))
+    docs = spark.createDataFrame([(i, f"{body} tail{i}") for i in range(30)], "doc_id long, text string")
+    found = ngram_join.join_documents(docs).collect()
+    assert {r.component_id for r in found} == {0}
+    assert sum(sent) <= 90
+
+
 def test_trie_join_matches_all_pairs():
     rng = np.random.default_rng(5)
     base = [np.unique(rng.integers(0, 400, 60)) for _ in range(12)]

@@ -64,6 +64,18 @@ def _likely_pairs(shared: DataFrame, ends: DataFrame | None, num: int, den: int)
     return meets.where((num + den) * most >= num * (F.col("nx") + F.col("ny"))).select("leader", "key", F.col("ny").alias("n"))
 
 
+def _stars(pairs: DataFrame) -> DataFrame:
+    """Members (g1, g2, g3, key, label) of groups of bounded size, in which each leader meets the keys it is paired with."""
+    totals = pairs.groupBy("leader").agg(_blocks(F.sum("n")).alias("blocks"))
+    dealt = pairs.join(totals, "leader").select(
+        F.col("leader").alias("g1"), F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int").alias("g2"), "key"
+    )
+    leaders = totals.select(
+        F.col("leader").alias("g1"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("g2"), F.col("leader").alias("key")
+    )
+    return dealt.unionByName(leaders).select("g1", "g2", F.lit(0).alias("g3"), "key", F.col("key").alias("label"))
+
+
 def resolve(
     docs: DataFrame, rows: DataFrame, postings: DataFrame, sets_of: Callable[[DataFrame], DataFrame], num: int, den: int,
     prefixes: bool,
@@ -74,8 +86,8 @@ def resolve(
     ``prefixes``, the tokens are the first ``n - ceil(n * num / den) + 1`` ids of the sorted set. ``sets_of(docs)``
     gives (key, ids) with sorted ids. Tokens of at most
     FEW rows give pairs, which are counted and cut by an upper bound of their overlap. Larger groups are
-    joined around their smallest class, then, in pairs of blocks, those of their classes that are still in
-    different components.
+    joined around their smallest class. Each class meets the first of its leaders, then, where they are still in
+    different components, the others; then, in pairs of blocks, classes of larger groups that still differ.
     """
     sizes = postings.groupBy("token").agg(
         F.min("key").alias("leader"), F.max("key").alias("other"), F.count(F.lit(1)).alias("k")
@@ -106,16 +118,18 @@ def resolve(
         .join(names, "key", "left_semi"),
         "sets",
     )
-    totals = pairs.groupBy("leader").agg(_blocks(F.sum("n")).alias("blocks"))
-    dealt = pairs.join(totals, "leader").select(
-        F.col("leader").alias("g1"), F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int").alias("g2"), "key"
-    )
-    leaders = totals.select(
-        F.col("leader").alias("g1"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("g2"), F.col("leader").alias("key")
+    tree = swept(pairs.groupBy("key").agg(F.min(F.struct("leader", "n")).alias("f")).select("f.leader", "key", "f.n"), "tree")
+    tied = swept(linked(_stars(tree), sets, num, den), "near")
+    parts = components(tied)
+    part = lambda c: parts.select(F.col("node").alias(c), F.col("label").alias(f"{c}_part"))
+    apart = swept(
+        pairs.join(tree, ["leader", "key"], "left_anti").join(part("leader"), "leader", "left").join(part("key"), "key", "left")
+        .where(F.coalesce("leader_part", "leader") != F.coalesce("key_part", "key")).select("leader", "key", "n"),
+        "apart",
     )
-    first = dealt.unionByName(leaders).select("g1", "g2", F.lit(0).alias("g3"), "key", F.col("key").alias("label"))
-    links = swept(linked(first, sets, num, den), "near")
+    links = swept(tied.unionByName(linked(_stars(apart), sets, num, den)), "near")
     labels = swept(components(links), "labels")
+    discard(tree, tied, apart)
 
     marked = shared.where("large").join(labels, F.col("key") == F.col("node"), "left").select(
         "token", "key", "n", F.coalesce("label", "key").alias("label")
