@@ -391,6 +391,54 @@ def test_trie_join_matches_all_pairs():
     assert all(100 * len(np.intersect1d(sets[i], sets[j])) >= 80 * len(np.union1d(sets[i], sets[j])) for i, j in links)
 
 
+def test_trie_leaves_settled_branches():
+    """Near copies that are linked already are passed by branch, not one by one."""
+    asked, rng = [], np.random.default_rng(3)
+    sets = [np.concatenate([np.arange(60), np.array([100 + i])]) for i in range(300)]
+    settled = lambda d: asked.append(d) or d < 299
+    trie = set_trie.SetTrie(80, 100)
+    for i in rng.permutation(299).tolist():
+        trie.add(sets[i], i, lambda d: True)
+    trie.add(np.arange(60), 299, lambda d: d == 299)
+    mark = np.isin(np.arange(500), sets[7])
+    assert list(trie.similar(sets[7], mark, settled)) == [299]
+    assert len(set_trie.join_group(sets, list(range(300)), 80, 100)) == 299
+    asked.clear()
+    alone = set_trie.SetTrie(80, 100)
+    for i in range(299):
+        alone.add(sets[i], i, lambda d: True)
+    assert not list(alone.similar(sets[7], mark, settled))
+    assert len(asked) < 5
+
+
+def test_components_grow_by_links_between_them(spark):
+    table = lambda rows, names="a long, b long": spark.createDataFrame(rows, names)
+    parts = components.components(table([(1, 2), (2, 3), (10, 11), (20, 21)])).localCheckpoint()
+    assert components.extended(parts, table([(1, 3), (21, 20), (7, 7)])) is parts
+    got = {r.node: r.label for r in components.extended(parts, table([(3, 11), (11, 2), (0, 21), (50, 51), (1, 3)])).collect()}
+    assert got == {**dict.fromkeys([1, 2, 3, 10, 11], 1), **dict.fromkeys([0, 20, 21], 0), 50: 50, 51: 50}
+
+
+def test_sets_are_shuffled_by_group_alone(spark, copies, monkeypatch):
+    """The few members of groups travel to the sets; the sets are not shuffled by key as well."""
+    plans, linked = [], candidate_groups.linked
+
+    def seen(members, *rest):
+        out = linked(members, *rest)
+        plans.append(out._jdf.queryExecution().sparkPlan().toString())
+        return out
+
+    monkeypatch.setattr(candidate_groups, "linked", seen)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fingerprints.near_duplicates(copies).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plans
+    assert not [p for p in plans if "SortMergeJoin [key" in p]
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 200), (200, 100), (300, 300)]
     got = {r.node: r.label for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}

@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.components import components
+from tidemark.llm.components import components, extended
 from tidemark.llm.set_trie import join_group
 from tidemark.session import discard, swept
 
 BLOCK_IDS = 1 << 19
 FEW = 64
+SMALL_ROWS = 500_000
 _NO_ID = -(1 << 63)
 
 
@@ -36,6 +37,11 @@ def linked(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
     return members.join(sets, "key").groupBy("g1", "g2", "g3").applyInArrow(join, "a long, b long")
 
 
+def _if_small(df: DataFrame, rows: int) -> DataFrame:
+    """Broadcast a table of at most SMALL_ROWS rows, so that what it meets stays where it is; larger ones are shuffled."""
+    return F.broadcast(df) if rows <= SMALL_ROWS else df
+
+
 def _blocks(total):
     return F.greatest(F.lit(1), F.ceil(total / BLOCK_IDS)).cast("int")
 
@@ -65,7 +71,10 @@ def _likely_pairs(shared: DataFrame, ends: DataFrame | None, num: int, den: int)
 
 
 def _stars(pairs: DataFrame) -> DataFrame:
-    """Members (g1, g2, g3, key, label) of groups of bounded size, in which each leader meets the keys it is paired with."""
+    """Members (g1, g2, g3, key, label) of groups of bounded size, in which each leader meets the keys it is paired with.
+
+    ``pairs`` (leader, key, n) are written. At most two rows come from each.
+    """
     totals = pairs.groupBy("leader").agg(_blocks(F.sum("n")).alias("blocks"))
     dealt = pairs.join(totals, "leader").select(
         F.col("leader").alias("g1"), F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int").alias("g2"), "key"
@@ -73,7 +82,8 @@ def _stars(pairs: DataFrame) -> DataFrame:
     leaders = totals.select(
         F.col("leader").alias("g1"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("g2"), F.col("leader").alias("key")
     )
-    return dealt.unionByName(leaders).select("g1", "g2", F.lit(0).alias("g3"), "key", F.col("key").alias("label"))
+    members = dealt.unionByName(leaders).select("g1", "g2", F.lit(0).alias("g3"), "key", F.col("key").alias("label"))
+    return _if_small(members, 2 * pairs.count())
 
 
 def resolve(
@@ -84,7 +94,7 @@ def resolve(
 
     Two classes can only be linked if they share a token of ``postings`` (token, key, n: the size of the set). With
     ``prefixes``, the tokens are the first ``n - ceil(n * num / den) + 1`` ids of the sorted set. ``sets_of(docs)``
-    gives (key, ids) with sorted ids. Tokens of at most
+    gives (key, ids) with sorted ids of documents (doc_id, text, key) whose set has that key. Tokens of at most
     FEW rows give pairs, which are counted and cut by an upper bound of their overlap. Larger groups are
     joined around their smallest class. Each class meets the first of its leaders, then, where they are still in
     different components, the others; then, in pairs of blocks, classes of larger groups that still differ.
@@ -110,26 +120,21 @@ def resolve(
         discard(ends)
     names = pairs.select("key").unionByName(pairs.select(F.col("leader").alias("key"))).distinct()
     known = lambda c: F.coalesce(F.col(c), F.lit(_NO_ID))
-    holders = swept(
-        rows.join(names, "key").groupBy("key").agg(F.min(known("doc_id")).alias("_id")).select("_id").distinct(), "holders"
-    )
-    sets = swept(
-        sets_of(docs.select("doc_id", "text").join(holders, known("doc_id") == F.col("_id"), "left_semi"))
-        .join(names, "key", "left_semi"),
-        "sets",
-    )
+    holders = swept(rows.join(names, "key").groupBy("key").agg(F.min(known("doc_id")).alias("_id")), "holders")
+    held = docs.select("doc_id", "text").join(_if_small(holders, holders.count()), known("doc_id") == F.col("_id"))
+    sets = swept(sets_of(held.select("doc_id", "text", "key")), "sets")
     tree = swept(pairs.groupBy("key").agg(F.min(F.struct("leader", "n")).alias("f")).select("f.leader", "key", "f.n"), "tree")
     tied = swept(linked(_stars(tree), sets, num, den), "near")
-    parts = components(tied)
+    parts = swept(components(tied), "parts")
     part = lambda c: parts.select(F.col("node").alias(c), F.col("label").alias(f"{c}_part"))
     apart = swept(
         pairs.join(tree, ["leader", "key"], "left_anti").join(part("leader"), "leader", "left").join(part("key"), "key", "left")
         .where(F.coalesce("leader_part", "leader") != F.coalesce("key_part", "key")).select("leader", "key", "n"),
         "apart",
     )
-    links = swept(tied.unionByName(linked(_stars(apart), sets, num, den)), "near")
-    labels = swept(components(links), "labels")
-    discard(tree, tied, apart)
+    crossed = swept(linked(_stars(apart), sets, num, den), "near")
+    labels = extended(parts, crossed)
+    discard(tree, tied, apart, crossed)
 
     marked = shared.where("large").join(labels, F.col("key") == F.col("node"), "left").select(
         "token", "key", "n", F.coalesce("label", "key").alias("label")
@@ -142,17 +147,24 @@ def resolve(
         .groupBy("c", "x", "k", "total").agg(F.min("token").alias("token"))  # groups of the same classes are joined once
         .select("token", _blocks(F.col("total")).alias("blocks"))
     )
-    placed = marked.join(open_ids, "token").select(
-        "token", "key", "label", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int").alias("i"), "blocks"
+    placed = swept(
+        marked.join(open_ids, "token").select(
+            "token", "key", "label", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int").alias("i"), "blocks"
+        ),
+        "placed",
     )
+    members = placed.agg(F.sum("blocks")).first()[0] or 0
     second = placed.select(
         "token", "key", "label", "i", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j")
     ).select(
         F.col("token").alias("g1"), F.least("i", "j").alias("g2"), F.greatest("i", "j").alias("g3"), "key", "label"
     )
-    more = swept(linked(second, sets, num, den), "near")
-    final = components(links.unionByName(more))
-    discard(shared, pairs, holders, sets, links, more, labels)
+    final = labels
+    if members:
+        more = swept(linked(_if_small(second, members), sets, num, den), "near")
+        final = extended(labels, more)
+        discard(more)
+    discard(shared, pairs, holders, sets, placed, *[t for t in (parts, labels) if t is not final])
 
     classes = rows.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("first"))
     named = classes.join(final, classes["key"] == final["node"], "left").select(

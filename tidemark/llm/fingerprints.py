@@ -211,19 +211,21 @@ def _postings(rows: DataFrame) -> DataFrame:
 
 
 def _whole_sets(chosen: DataFrame) -> DataFrame:
+    """(key, ids) of documents (doc_id, text, key) whose set has that key."""
+
     def run(parts: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in parts:
             for part in slices(batch, "text", SLICE_BYTES):
-                sets = [s for s in shingle_sets(part.column("text").to_pylist(), WIDTH) if len(s)]
+                sets = zip(part.column("key").to_pylist(), shingle_sets(part.column("text").to_pylist(), WIDTH))
+                kept = [(k, np.sort(s.view(np.int64))) for k, s in sets if set_key(s) == k]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([set_key(s) for s in sets], pa.int64()),
-                     pa.array([np.sort(s.view(np.int64)) for s in sets], pa.list_(pa.int64()))],
+                    [pa.array([k for k, _ in kept], pa.int64()), pa.array([s for _, s in kept], pa.list_(pa.int64()))],
                     names=["key", "ids"],
                 )
 
-    return chosen.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, "key long, ids array<long>")
+    return chosen.select("key", F.col("text").cast("string").alias("text")).mapInArrow(run, "key long, ids array<long>")
 
 
 def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:

@@ -141,18 +141,19 @@ def _postings(docs: DataFrame, width: int, ranks, num: int, den: int) -> DataFra
     return _over_texts(docs, width, "token long, key long, n long", rows)
 
 
-def _sets(docs: DataFrame, width: int, ranks) -> DataFrame:
+def _sets(chosen: DataFrame, width: int, ranks) -> DataFrame:
+    """(key, ids) of documents (doc_id, text, key) whose set has that key."""
     import pyarrow as pa
 
-    def rows(_, sets):
-        kept = [s for s in sets if len(s)]
+    def rows(keys, sets):
+        kept = [(k, s) for k, s in zip(keys, sets) if set_key(s) == k]
         yield pa.RecordBatch.from_arrays(
-            [pa.array([set_key(s) for s in kept], pa.int64()),
-             pa.array([ordered_ids(s, ranks.value) for s in kept], pa.list_(pa.int64()))],
+            [pa.array([k for k, _ in kept], pa.int64()),
+             pa.array([ordered_ids(s, ranks.value) for _, s in kept], pa.list_(pa.int64()))],
             names=["key", "ids"],
         )
 
-    return _over_texts(docs, width, "key long, ids array<long>", rows)
+    return _over_texts(chosen.select(F.col("key").alias("doc_id"), "text"), width, "key long, ids array<long>", rows)
 
 
 def join_documents(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
