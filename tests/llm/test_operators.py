@@ -308,6 +308,28 @@ def test_line_pairs_are_cut_by_sketches(spark):
     assert len(left) < 20
 
 
+def test_line_pairs_are_cut_by_the_tokens_they_share(spark):
+    """Pairs that share too few posted tokens never reach the sketches; no match is among those cut."""
+    lines = [" ".join([*[f"c{i}" for i in range(12)], *[f"x{n}y{j}" for j in range(38)]]) for n in range(12)]
+    lines += [" ".join([*[f"c{i}" for i in range(12)], *[f"x{n}y{j}" for j in range(37 - n)]]) for n in range(6)]
+    grams = [sorted(line_grams(x), key=lambda g: zlib.crc32(" ".join(g).encode())) for x in lines]
+    posted = [
+        (" ".join(g), k, len(of), pos)
+        for k, of in enumerate(grams) for pos, g in enumerate(of[: len(of) - (4 * len(of) + 4) // 5 + 1])
+    ]
+    groups = spark.createDataFrame(posted, "token string, key long, n int, pos int").withColumn("place", F.col("key"))
+    earlier = groups.select("token", F.col("key").alias("other"), F.col("place").alias("other_place"), F.col("n").alias("m"), F.col("pos").alias("at"))
+    found = [(r["key"], r["other"]) for r in line_dedup._in_reach(groups, earlier).collect()]
+    pairs = [(a, b) for a in range(len(lines)) for b in range(a)]
+    tokens = [{t for t, key, _, _ in posted if key == k} for k in range(len(lines))]
+    sets = [set(g) for g in grams]
+    alike = {(a, b) for a, b in pairs if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])}
+    assert len(alike) == 6
+    assert len(found) == len(set(found))
+    assert alike <= set(found)
+    assert len(found) < sum(bool(tokens[a] & tokens[b]) for a, b in pairs) / 2
+
+
 def brute_groups(known, width, num):
     sets = {}
     for d, t in known.items():

@@ -12,8 +12,11 @@ number), has Jaccard similarity 0.8 or more with it.
 * Each key is first compared with the earliest key at its tokens, which settles groups of
   near copies with as many comparisons as keys. Only keys without a match there are
   compared with all earlier keys that share a token.
+* Of those, pairs go that share too few posted tokens: up to the smaller of the last tokens
+  that two keys post, both post all they share, so the overlap is at most the tokens they
+  share there and what one of them has beyond its prefix.
 * Candidates whose 16-bit sketches rule out the overlap go: a value that only one sketch has
-  stands for a token that the other set lacks, so the bound is exact and loses no match.
+  stands for a token that the other set lacks. Both bounds are exact and lose no match.
 * The others are verified on the whole sets of 64-bit shingle hashes of their lines.
 
 Built-in functions only. Hash sets of lines go through the shared folder and are
@@ -101,7 +104,7 @@ def _ordered(ids: Column, busy: list[int], busiest: list[int]) -> Column:
             ahead = F.when(bucket.isin(busy + busiest), ahead).otherwise(F.lit(0).cast("long"))
         return ahead + i.cast("long")
 
-    return F.sort_array(F.transform(ids, token))
+    return F.sort_array(F.transform(ids, lambda i: token(F.coalesce(i, F.lit(0)))))  # never null, which sorts faster
 
 
 def _possible(a: Column, i: Column, b: Column, j: Column) -> Column:
@@ -110,6 +113,11 @@ def _possible(a: Column, i: Column, b: Column, j: Column) -> Column:
     return (5 * F.least(a, b) >= 4 * F.greatest(a, b)) & (1 + F.least(a - i - 1, b - j - 1) >= need)
 
 
+def _beyond(n: Column) -> Column:
+    """How many tokens a set of n does not post."""
+    return F.floor((4 * n + 4) / F.lit(5)).cast("int") - 1
+
+
 def _if_small(df: DataFrame) -> DataFrame:
     """Broadcast a written table of at most SMALL_ROWS rows; larger ones are shuffled."""
     return F.broadcast(df) if df.count() <= SMALL_ROWS else df
@@ -137,9 +145,24 @@ def _likely(sets: DataFrame, pairs: DataFrame, label: str) -> DataFrame:
     return near
 
 
-def _verified(docs: DataFrame, sets: DataFrame, starts: DataFrame, candidates: DataFrame, label: str) -> DataFrame:
+def _in_reach(later: DataFrame, earlier: DataFrame) -> DataFrame:
+    """The pairs (key, other) of a key and an earlier one whose shared posted tokens leave the similarity in reach.
+
+    ``later`` (token, key, place, n, pos) and ``earlier`` (token, other, other_place, m, at) have all tokens that two
+    keys post. Tokens that a pair shares at places too far apart are not counted; such a pair is out of reach anyway.
+    """
+    n, m, i, j = (F.col(c) for c in ("n", "m", "pos", "at"))
+    need = F.ceil(4 * (n + m) / F.lit(9)).cast("int")
+    met = later.join(
+        earlier,
+        (later["token"] == earlier["token"]) & (F.col("other_place") < F.col("place")) & (F.col("key") != F.col("other"))
+        & (5 * F.least(n, m) >= 4 * F.greatest(n, m)) & (F.least(i, j) + 1 + F.least(n - i - 1, m - j - 1) >= need),
+    ).select("key", "other", (need - F.greatest(_beyond(n), _beyond(m))).alias("short"))
+    return met.groupBy("key", "other").agg(F.count(F.lit(1)).alias("c"), F.max("short").alias("short")).where("c >= short").select("key", "other")
+
+
+def _verified(docs: DataFrame, starts: DataFrame, pairs: DataFrame, label: str) -> DataFrame:
     """The keys of the pairs (key, other) whose lines reach the similarity, by their words."""
-    pairs = _likely(sets, candidates, label)
     names = swept(
         pairs.select("key").unionByName(pairs.select(F.col("other").alias("key"))).distinct(), f"{label}-names"
     )
@@ -160,7 +183,7 @@ def _verified(docs: DataFrame, sets: DataFrame, starts: DataFrame, candidates: D
     matched = swept(
         both.where(5 * F.col("same") >= 4 * (F.size("a") + F.size("b") - F.col("same"))).select("key").distinct(), f"{label}-matched"
     )
-    discard(grams, pairs)
+    discard(grams)
     return matched
 
 
@@ -171,11 +194,14 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     where = swept(sets.select("key", place.alias("place")), "line-places")
     busy, busiest = _busy_buckets(sets)
     # Different sets of fewer than four tokens cannot reach 0.8.
-    prefix = F.col("n") - F.floor((4 * F.col("n") + 4) / 5).cast("int") + 1
-    repeated = swept(
-        where.groupBy("key").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first < last").drop("last"),
-        "line-repeats",
+    prefix = F.col("n") - _beyond(F.col("n"))
+    firsts = swept(
+        where.groupBy("key").agg(F.min("place").alias("place"), F.max("place").alias("last"))
+        .select("key", "place", (F.col("place") < F.col("last")).alias("again")),
+        "line-firsts",
     )
+    starts = firsts.drop("again")  # as many rows as lines, so never broadcast
+    repeated = firsts.where("again").select("key", F.col("place").alias("first"))
     once = sets.where("n >= 4").join(_if_small(repeated), "key", "left").where("first IS NULL OR first = struct(_d, _h, line)")
     posted = once.select(
         "key", "n", F.posexplode(F.slice(_ordered(F.col("ids"), busy, busiest), 1, prefix)).alias("pos", "token")
@@ -186,12 +212,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
         .where("low < high").select("token", "key", "n", "pos").distinct(),
         "line-shared",
     )
-    keys = swept(shared.select("key").distinct(), "line-keys")
-    starts = swept(
-        where.join(_if_small(keys), "key", "left_semi").groupBy("key").agg(F.min("place").alias("place")),
-        "line-starts",
-    )
-    groups = swept(shared.join(_if_small(starts), "key"), "line-groups")
+    groups = swept(shared.join(starts, "key"), "line-groups")
     discard(shared)
     first = groups.groupBy("token").agg(F.min(F.struct("place", "key", "n", "pos")).alias("f"))
     near = swept(
@@ -200,19 +221,14 @@ def removed_lines(docs: DataFrame) -> DataFrame:
         .select("key", F.col("f.key").alias("other")).distinct(),
         "line-pairs",
     )
-    settled = _verified(docs, sets, starts, near, "line-first")
+    likely = _likely(sets, near, "line-first")
+    settled = _verified(docs, starts, likely, "line-first")
     open_keys = groups.join(settled, "key", "left_anti")
     earlier = groups.select("token", F.col("key").alias("other"), F.col("place").alias("other_place"), F.col("n").alias("m"), F.col("pos").alias("at"))
-    rest = swept(
-        open_keys.join(
-            earlier,
-            (open_keys["token"] == earlier["token"]) & (F.col("other_place") < F.col("place")) & (F.col("key") != F.col("other"))
-            & _possible(F.col("n"), F.col("pos"), F.col("m"), F.col("at")),
-        ).select("key", "other").distinct().join(near, ["key", "other"], "left_anti"),
-        "line-pairs",
-    )
+    rest = swept(_in_reach(open_keys, earlier).join(near, ["key", "other"], "left_anti"), "line-pairs")
     discard(groups, near)
-    matched = settled.unionByName(_verified(docs, sets, starts, rest, "line-rest")).distinct().withColumn("matched", F.lit(True))
+    likely_rest = _likely(sets, rest, "line-rest")
+    matched = settled.unionByName(_verified(docs, starts, likely_rest, "line-rest")).distinct().withColumn("matched", F.lit(True))
     verdict = swept(
         repeated.join(matched, "key", "full_outer").select("key", "first", F.coalesce("matched", F.lit(False)).alias("matched")),
         "line-verdicts",
@@ -223,7 +239,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     out = swept(
         gone.groupBy("place._d", "place._h").agg(F.collect_set("place.line").alias("lines")), "removed-lines"
     )
-    discard(sets, where, repeated, keys, starts, settled, rest, verdict)
+    discard(sets, where, firsts, likely, settled, rest, likely_rest, verdict)
     return out
 
 
