@@ -4,6 +4,7 @@ import datetime as dt
 import random
 
 from pyspark.sql import functions as F
+from tidemark.functions import ordered
 from tidemark.operators import metrics, quality
 
 
@@ -86,3 +87,22 @@ def test_machines_of_a_busy_key_over_batches(spark, tmp_path):
     assert len(found) == len(told) and {tuple(r) for r in found} == told
     found = stateful.machine_rows(spark, str(tmp_path / "health")).collect()
     assert len(found) == len(states) and {tuple(r) for r in found} == states
+
+
+def _joins(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_carry_is_never_broadcast(spark):
+    """Sizes are guessed far too small below parsed rows, as they are here, and there may be as many slices as rows."""
+    rows = spark.range(60).selectExpr("cast(id % 20 AS string) AS k", "id AS at", "CASE WHEN id % 3 = 0 THEN id END AS v")
+    by = F.floor(F.col("at") / 7)
+    known = ordered.last_known_in_series(rows, ["k"], ["at"], {"was": F.col("v")}, by)
+    near = ordered.previous_in_series(rows, ["k"], ["at"], {"was": F.col("v")}, by)
+    total = ordered.running_sum_in_series(rows, ["k"], ["at"], {"n": F.lit(1)}, by)
+    for found in (known, near, total):
+        assert "Broadcast" not in _joins(found)
+    latest = lambda i: next((j for j in range(i - 20, -1, -20) if j % 3 == 0), None)
+    assert {r["at"]: r["was"] for r in known.collect()} == {i: latest(i) for i in range(60)}
+    assert {r["at"]: r["was"] for r in near.collect()} == {i: i - 20 if i >= 20 and (i - 20) % 3 == 0 else None for i in range(60)}
+    assert {r["at"]: r["n"] for r in total.collect()} == {i: i // 20 + 1 for i in range(60)}

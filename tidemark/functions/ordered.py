@@ -37,7 +37,12 @@ def _order_struct(order: Sequence[str]) -> Column:
 
 
 def _with_carry(rows: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return rows.join(carry, [*keys, _SLICE], "left")
+    """Rows with the summary carried into their slice.
+
+    Many short series have about as many slices as rows, and Spark's size estimate below parsed JSON
+    is far too small, so the carry is never broadcast. The rows already lie and are sorted by the join's keys.
+    """
+    return rows.join(carry.hint("merge"), [*keys, _SLICE], "left")
 
 
 def previous_in_series(

@@ -11,6 +11,7 @@ from tidemark.operators import changes, checks, dedup, envelope
 from tidemark.plans import adapters as a
 from tidemark.plans import change_log as cl
 from tidemark.plans.registry import plain, query
+from tidemark.session import swept
 from tidemark.sources.events import parse_events, split_registry_header, typed_rows, valid_events
 
 _BASE = a.with_ctes(*cl.LOG_CTES)
@@ -380,6 +381,12 @@ query(
     )
 )
 
+def _unique_images(spark, d):
+    """Unique order events with their images; written, as the series functions read their input twice."""
+    unique = dedup.dedup_events(cl.order_events(spark, d))
+    return swept(unique.select("event_id", "lsn_num", "operation", "before", "after"), "unique-images")
+
+
 query(
     "fill_unchanged",
     _BASE
@@ -387,7 +394,7 @@ query(
       FROM good WHERE tbl = 'orders' AND operation = 'UPDATE'""",
 )(
     lambda spark, d: changes.fill_unchanged(
-        dedup.dedup_events(cl.order_events(spark, d)), ["shipping_address"], slice_steps=3 * cl.LSN_STEP
+        _unique_images(spark, d), ["shipping_address"], slice_steps=3 * cl.LSN_STEP
     )
     .where("operation = 'UPDATE'")
     .select("event_id", "shipping_address")
@@ -434,7 +441,7 @@ query(
         AND previous_status || '>' || status NOT IN ('pending>confirmed', 'confirmed>shipped', 'shipped>delivered')""",
 )(
     lambda spark, d: changes.invalid_transitions(
-        dedup.dedup_events(cl.order_events(spark, d)), slice_steps=3 * cl.LSN_STEP
+        _unique_images(spark, d), slice_steps=3 * cl.LSN_STEP
     ).select("event_id", "previous_status", "status")
 )
 
