@@ -5,7 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 from tidemark.functions import ordered
-from tidemark.operators import metrics, quality
+from tidemark.operators import envelope, metrics, quality
 
 
 def test_growth_equals_brute_force(spark):
@@ -106,3 +106,17 @@ def test_carry_is_never_broadcast(spark):
     assert {r["at"]: r["was"] for r in known.collect()} == {i: latest(i) for i in range(60)}
     assert {r["at"]: r["was"] for r in near.collect()} == {i: i - 20 if i >= 20 and (i - 20) % 3 == 0 else None for i in range(60)}
     assert {r["at"]: r["n"] for r in total.collect()} == {i: i // 20 + 1 for i in range(60)}
+
+
+def test_commits_are_never_broadcast(spark, monkeypatch):
+    """Changes and commits are read from one written log, and neither side of their join is broadcast."""
+    plans, keep = {}, envelope.written
+    monkeypatch.setattr(envelope, "written", lambda df, label: (plans.update({label: _joins(df)}), keep(df, label))[1])
+    log = spark.range(200).selectExpr(
+        "CASE id % 4 WHEN 0 THEN 'BEGIN' WHEN 3 THEN 'COMMIT' ELSE 'INSERT' END AS type", "id div 4 AS xid",
+        "concat('0/', hex(id + 1)) AS lsn", "cast(id AS string) AS event_id",
+    ).where("id <> 7")
+    found = envelope.assemble_transactions(log)
+    assert "Broadcast" not in plans["committed-changes"] and "FileScan parquet" in plans["committed-changes"]
+    got = {int(r["event_id"]): (r["xid"], r["commit_lsn"], r["position"]) for r in found.collect()}
+    assert got == {i: (i // 4, f"0/{i // 4 * 4 + 4:X}", i % 4) for i in range(200) if i % 4 in (1, 2) and i // 4 != 1}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.lsn import lsn_to_num
 from tidemark.functions.ordered import running_sum_in_series
-from tidemark.session import written
+from tidemark.session import swept, written
 from tidemark.sources.events import uuid_from
 
 
@@ -153,12 +153,17 @@ def assemble_transactions(
     columns. Output is one row per change with its commit position and place in
     the transaction, never an array per transaction, so a bulk load in one
     transaction stays spread. Open and empty transactions give no rows.
+
+    The log is written once, as changes and commits both come from it, and commits are
+    joined by merge: they are too many to broadcast, and skew handling needs plain shuffles on both sides.
     """
-    rows = log.withColumn("lsn_num", lsn_to_num(F.col("lsn")))
+    rows = swept(log.withColumn("lsn_num", lsn_to_num(F.col("lsn"))), "decoded-log")
     commits = rows.where("type = 'COMMIT'").groupBy("xid").agg(
         F.min("lsn_num").alias("commit_lsn_num"), F.min_by("lsn", "lsn_num").alias("commit_lsn")
     )
-    changes = rows.where(F.col("type").isin("INSERT", "UPDATE", "DELETE")).join(commits, "xid")
+    changes = rows.where(F.col("type").isin("INSERT", "UPDATE", "DELETE")).join(
+        written(commits, "commits").hint("merge"), "xid"
+    )
     return running_sum_in_series(
         written(changes, "committed-changes"),
         ["xid"],
