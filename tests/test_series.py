@@ -1,11 +1,12 @@
 """Growth over trailing windows, value slices and number types on awkward rows."""
 
 import datetime as dt
+import json
 import random
 
 from pyspark.sql import functions as F
 from tidemark.functions import ordered
-from tidemark.operators import envelope, metrics, quality
+from tidemark.operators import envelope, evolution, metrics, quality
 
 
 def test_growth_equals_brute_force(spark):
@@ -120,3 +121,71 @@ def test_commits_are_never_broadcast(spark, monkeypatch):
     assert "Broadcast" not in plans["committed-changes"] and "FileScan parquet" in plans["committed-changes"]
     got = {int(r["event_id"]): (r["xid"], r["commit_lsn"], r["position"]) for r in found.collect()}
     assert got == {i: (i // 4, f"0/{i // 4 * 4 + 4:X}", i % 4) for i in range(200) if i % 4 in (1, 2) and i // 4 != 1}
+
+
+def _compatible(old, new):
+    from tidemark.operators.evolution import PROMOTIONS
+
+    before, after = ([t] if isinstance(t, str) else t for t in (old, new))
+    return old == new or set(before) <= set(after) or any(f"{o}>{n}" in PROMOTIONS for o in before for n in after)
+
+
+def test_versions_across_slices(spark):
+    """A subject of three slices and some of one against the rules applied to every pair of versions."""
+    rng = random.Random(7)
+    kinds = ["int", "long", "string", ["null", "string"], ["string", "null"]]
+    history = {}
+    for subject, size in (("hot", 2300), ("a", 5), ("b", 1), ("c", 40)):
+        for v in range(1, size + 1):
+            # Most fields keep their type; rare ones appear and go.
+            names = [n for n in ("x", "y", "z") if rng.random() < 0.95] + [f"r{rng.randrange(40)}"] * (rng.random() < 0.3)
+            history[subject, v + 10 * (v > 1500)] = {
+                n: (rng.choice(kinds) if rng.random() < 0.02 else "int", rng.random() < 0.5) for n in names
+            }
+    rows = [
+        (s, v, json.dumps({"fields": [{"name": n, "type": t, **({"default": 0} if d else {})} for n, (t, d) in f.items()]}))
+        for (s, v), f in history.items()
+    ]
+    registry = spark.createDataFrame(rows, "subject string, version bigint, schema_json string")
+    fields = evolution.schema_fields(registry)
+    fills = lambda t, d: d or (isinstance(t, list) and t[0] == "null")
+    plain, every, moves = {}, {}, set()
+    for subject in {s for s, _ in history}:
+        versions = sorted(v for s, v in history if s == subject)
+        seen, types, required, last = {}, {}, set(), None
+        for i, v in enumerate(versions):
+            now = history[subject, v]
+            back = sum(not fills(t, d) and seen.get(n, 0) < i for n, (t, d) in now.items())
+            back += sum(any(not _compatible(json.loads(o), t) for o in types.get(n, ())) for n, (t, _) in now.items())
+            if now or i + 1 < len(versions):
+                every[subject, v] = back + len(required - set(now))
+            gone = [] if last is None else [n for n in last if n not in now]
+            if last is not None:
+                fresh = [n for n in now if n not in last]
+                plain[subject, v] = sum(not fills(*now[n]) for n in fresh) + sum(not fills(*last[n]) for n in gone) + sum(
+                    not _compatible(last[n][0], now[n][0]) for n in now if n in last)
+                moves |= {(subject, v, n, "added") for n in fresh} | {(subject, v, n, "removed") for n in gone}
+                moves |= {(subject, v, n, "modified") for n in now if n in last and (now[n][0] != last[n][0] or now[n][1] != last[n][1])}
+            else:
+                plain[subject, v] = 0
+            for n, (t, d) in now.items():
+                seen[n] = seen.get(n, 0) + 1
+                types.setdefault(n, set()).add(json.dumps(t))
+                if not fills(t, d):
+                    required.add(n)
+            last = now
+    count = lambda level: {(r["subject"], r["version"]): r["errors"] for r in evolution.check_compatibility(fields, level).collect()}
+    empty = {k for k, f in history.items() if not f}
+    assert count("FULL") == {k: n for k, n in plain.items() if k not in empty or n}
+    got = count("FULL_TRANSITIVE")
+    assert got == {k: n for k, n in every.items() if k not in empty} and any(n > 2 for (s, v), n in got.items() if v > 2000)
+    assert {(r["subject"], r["version"], r["field"], r["change"]) for r in evolution.schema_diff(fields).collect()} == moves
+
+
+def test_compatibility_shuffles_schemas_once(spark):
+    """After the versions are linked only one row per version and task moves."""
+    registry = spark.createDataFrame([("a", 1, '{"fields":[{"name":"x","type":"int"}]}')], "subject string, version bigint, schema_json string")
+    fields = evolution.schema_fields(registry)
+    shuffles = lambda level: _joins(evolution.check_compatibility(fields, level)).count("Exchange hashpartitioning")
+    assert shuffles("FULL") == 2 and shuffles("FULL_TRANSITIVE") == 1
+    assert _joins(evolution.schema_diff(fields)).count("Exchange hashpartitioning") == 1

@@ -2,8 +2,9 @@
 
 The registry holds one JSON schema per (subject, version); ``schema_fields`` turns
 it into rows of fields, and everything else compares those rows. The transitive
-levels ask about all earlier versions without pairing versions: they use the
-first version a field or type appears in, and running counts.
+levels ask about all earlier versions without pairing versions: they use running
+counts and the sets of a field's earlier types. Versions are linked once, by slices of
+a subject's versions, and what is computed per version or field stays in its slice.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.ordered import number_rows, previous_in_series, running_sum_in_series
+from tidemark.functions.ordered import number_rows
 from tidemark.functions.rows import evaluated_once
 from tidemark.session import written
 
@@ -37,42 +38,92 @@ def fingerprint(schema_json: Column) -> Column:
     return F.substring(F.sha2(canonical_json(schema_json), 256), 1, 16)
 
 
+def _numbered(version: Column) -> Column:
+    """The slice of a version: a subject with many versions is spread over its slices."""
+    return F.floor(version / 1000).cast("bigint")
+
+
 def linked_versions(registry: DataFrame) -> DataFrame:
-    """Every version with the version before and after it in its subject (null at the ends)."""
-    slice_by = F.floor(F.col("version") / 1000).cast("bigint")
-    narrow = registry.select(*_KEY)
-    before = previous_in_series(
-        narrow, ["subject"], ["version"], {"old_version": F.col("version")}, slice_by
+    """Every version with the version and schema before and after it in its subject (null at the ends).
+
+    One shuffle brings a slice of versions together, and neighbours are looked up inside it. Only subjects
+    of several slices (``_sliced``) have borders, whose schemas are carried over.
+    """
+    keyed = registry.where("subject IS NOT NULL AND version IS NOT NULL")
+    rows = keyed.select(*_KEY, "schema_json", _numbered(F.col("version")).alias("_slice"))
+    each = F.count(F.lit(1)).over(Window.partitionBy("subject"))
+    several = rows.select("subject", "_slice").distinct().withColumn("_n", each).where("_n > 1").drop("_n")
+    several = written(several, "sliced-subjects")
+    inside = Window.partitionBy("subject", "_slice").orderBy("version")
+    one = F.struct("version", "schema_json")
+    # An explicit shuffle, so that schemas move once and not their fields, even where no neighbour is asked for.
+    placed = rows.repartition("subject", "_slice")
+    linked = placed.withColumns({"_before": F.lag(one).over(inside), "_after": F.lead(one).over(inside)})
+    if several.isEmpty():
+        linked = linked.withColumn("_sliced", F.lit(False))
+    else:
+        ends = linked.join(several.hint("merge"), ["subject", "_slice"], "left_semi").where("_before IS NULL OR _after IS NULL")
+        borders = ends.groupBy("subject", "_slice").agg(
+            F.min_by(one, "version").alias("_first"), F.max_by(one, "version").alias("_last")
+        )
+        by_slice = Window.partitionBy("subject").orderBy("_slice")
+        carry = borders.select(
+            "subject", "_slice", F.lag("_last").over(by_slice).alias("_ended"), F.lead("_first").over(by_slice).alias("_begins"),
+            F.lit(True).alias("_many"),
+        )
+        linked = linked.join(carry.hint("merge"), ["subject", "_slice"], "left").withColumns({
+            "_before": F.coalesce("_before", "_ended"), "_after": F.coalesce("_after", "_begins"),
+            "_sliced": F.coalesce("_many", F.lit(False)),
+        })
+    return linked.select(
+        *_KEY, "schema_json", "_slice", "_sliced",
+        F.col("_before.version").alias("old_version"), F.col("_before.schema_json").alias("old_json"),
+        F.col("_after.version").alias("next_version"), F.col("_after.schema_json").alias("next_json"),
     )
-    # The following version is the one whose predecessor this is.
-    after = before.select(
-        "subject", F.col("version").alias("next_version"), F.col("old_version").alias("version")
-    ).where("version IS NOT NULL")
-    return written(before.join(after, _KEY, "left"), "schema-versions")
+
+
+_BODY = "struct<fields:array<map<string,string>>>"
+_ATTRIBUTES = ("type", "has_default", "default_value", "doc")
+
+
+def _attributes(field: Column) -> list[Column]:
+    """The columns ``_ATTRIBUTES`` of a field's map."""
+    return [
+        field["type"].alias("type"), F.map_contains_key(field, "default").alias("has_default"),
+        field["default"].alias("default_value"), field["doc"].alias("doc"),
+    ]
 
 
 def schema_fields(registry: DataFrame) -> DataFrame:
     """One row per field: subject, version, position, field, type, has_default, default_value, doc.
 
-    A union type keeps its JSON array text. ``old_version`` and ``next_version``
-    name the neighbours of the version; they are looked up unless given.
+    A union type keeps its JSON array text. ``old_version`` and ``next_version`` name the neighbours of
+    the version; they and their schemas are looked up unless given. ``was`` holds the attributes
+    of the field in the version before, ``dropped`` tells that the version after lacks it, and
+    ``_leads`` that no earlier field of the version has its name. Rows stay where their slice of versions is.
     """
-    body = F.from_json("schema_json", "struct<fields:array<map<string,string>>>")["fields"]
-    if "next_version" in registry.columns:
-        linked = registry
-    else:
-        linked = registry.select(*_KEY, "schema_json").join(linked_versions(registry), _KEY)
-    return linked.select(*_KEY, "old_version", "next_version", F.posexplode(body).alias("position", "_f")).select(
-        "subject",
-        "version",
-        "position",
-        F.col("_f")["name"].alias("field"),
-        F.col("_f")["type"].alias("type"),
-        F.map_contains_key("_f", "default").alias("has_default"),
-        F.col("_f")["default"].alias("default_value"),
-        F.col("_f")["doc"].alias("doc"),
-        "old_version",
-        "next_version",
+    linked = registry if "next_json" in registry.columns else linked_versions(registry)
+    body = lambda text: F.from_json(text, _BODY)["fields"]
+    parsed = evaluated_once(
+        linked, _fields=body("schema_json"), _old=body("old_json"),
+        _next=F.transform(body("next_json"), lambda f: f["name"]),
+    )
+    names = F.transform("_fields", lambda f: f["name"])
+    # Only names that repeat have to be looked up again.
+    parsed = parsed.withColumn("_names", F.when(F.size(F.array_distinct(names)) < F.size(names), names))
+    rows = parsed.select(
+        *_KEY, "old_version", "next_version", "_slice", "_sliced", "_old", "_next", "_names",
+        F.posexplode("_fields").alias("position", "_f"),
+    ).withColumn("field", F.col("_f")["name"])
+    was = F.get(F.filter("_old", lambda f: f["name"].eqNullSafe(F.col("field"))), F.lit(0))
+    held = F.coalesce(F.exists("_next", lambda n: n.eqNullSafe(F.col("field"))), F.lit(False))
+    rows = rows.withColumn("_was", was)
+    return rows.select(
+        *_KEY, "position", "field", *_attributes(F.col("_f")), "old_version", "next_version",
+        F.when(F.col("_was").isNotNull(), F.struct(*_attributes(F.col("_was")))).alias("was"),
+        (F.col("next_version").isNotNull() & ~held).alias("dropped"),
+        F.coalesce(F.array_position("_names", F.col("field")) == F.col("position") + 1, F.lit(True)).alias("_leads"),
+        "_slice", "_sliced",
     )
 
 
@@ -87,7 +138,11 @@ def type_names(kind: Column) -> Column:
 
 def type_compatible(old: Column, new: Column) -> Column:
     """Equal, a superset union, or at least one numeric promotion."""
-    before, after = type_names(old), type_names(new)
+    return _fits(old, new, type_names(old), type_names(new))
+
+
+def _fits(old: Column, new: Column, before: Column, after: Column) -> Column:
+    """``type_compatible`` for types whose names are known."""
     promoted = F.exists(
         before, lambda o: F.exists(after, lambda n: F.concat(o, F.lit(">"), n).isin(*PROMOTIONS))
     )
@@ -99,33 +154,23 @@ def has_default(flag: Column, kind: Column) -> Column:
     return flag | (F.ltrim(kind).startswith("[") & (F.element_at(type_names(kind), 1) == "null"))
 
 
-_ATTRIBUTES = ("type", "has_default", "default_value", "doc")
-
-
 def _side_by_side(fields: DataFrame) -> DataFrame:
     """Fields of each version beside those of the version before it.
 
-    Every field row is sent to its own version as ``new`` and to the following one
-    as ``old``, so one shuffle brings both sides together. ``starts`` marks the
-    rows of a subject's first version, which has nothing to compare with.
+    A field row has its own past, and one that the following version lacks is also sent there, as
+    ``old`` alone; nothing is shuffled. ``starts`` marks the rows of a subject's first version, which
+    has nothing to compare with.
     """
     attributes = F.struct(*[F.col(a) for a in _ATTRIBUTES])
-    nothing = F.lit(None).cast(fields.select(attributes.alias("x")).schema["x"].dataType)
-    starts = F.col("old_version").isNull()
-    sent = F.array(
-        F.struct(F.col("version").alias("version"), attributes.alias("new"), nothing.alias("old"), starts.alias("starts")),
-        F.struct(F.col("next_version").alias("version"), nothing.alias("new"), attributes.alias("old"), F.lit(False).alias("starts")),
+    nothing = F.lit(None).cast(fields.schema["was"].dataType)
+    own = F.struct(
+        F.col("version").alias("version"), attributes.alias("new"), F.col("was").alias("old"), F.col("old_version").isNull().alias("starts")
     )
-    return (
-        fields.select("subject", "field", F.inline(sent))
-        .where("version IS NOT NULL")
-        .groupBy(*_KEY, "field")
-        .agg(
-            F.first("new", ignorenulls=True).alias("new"),
-            F.first("old", ignorenulls=True).alias("old"),
-            F.max("starts").alias("starts"),
-        )
+    gone = F.struct(
+        F.col("next_version").alias("version"), nothing.alias("new"), attributes.alias("old"), F.lit(False).alias("starts")
     )
+    sent = F.when(F.col("dropped"), F.array(own, gone)).otherwise(F.array(own))
+    return fields.where("_leads").select("subject", "field", F.inline(sent)).select(*_KEY, "field", "new", "old", "starts")
 
 
 def schema_diff(fields: DataFrame) -> DataFrame:
@@ -173,52 +218,82 @@ def compatibility_issues(fields: DataFrame, level: str) -> DataFrame:
     return both.select(*_KEY, "field", F.explode(_issues(level)).alias("issue"))
 
 
-def _transitive_backward(fields: DataFrame) -> DataFrame:
-    """Versions with fields some earlier version lacks or holds in another type, counted."""
-    order = F.floor(F.col("version") / 1000).cast("bigint")
-    versions = running_sum_in_series(
-        fields.select(*_KEY).distinct(), ["subject"], ["version"], {"_nth": F.lit(1)}, order
-    )
-    seen = running_sum_in_series(
-        fields, ["subject", "field"], ["version"], {"_held": F.lit(1)}, order
-    ).join(versions, _KEY)
-    # Held in every version so far when both counts agree.
-    missing = (F.col("_held") < F.col("_nth")) & ~has_default(F.col("has_default"), F.col("type"))
-    lacking = seen.where(missing).select(*_KEY)
-    first_types = fields.groupBy("subject", "field", F.col("type").alias("_old_type")).agg(
-        F.min("version").alias("_since")
+def _before_slices(rows: DataFrame) -> DataFrame:
+    """What earlier slices say about a slice of versions, for subjects of several: one row per slice.
+
+    ``_versions`` before it, ``_asked`` (fields that some version required) and, per field, how often it was
+    held, in which types, and whether it was required.
+    """
+    several = rows.where("_sliced")
+    place = ["subject", "_slice"]
+    by_field = Window.partitionBy("subject", "field").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    by_slice = Window.partitionBy("subject").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    parts = several.groupBy(*place, "field").agg(
+        F.count(F.lit(1)).alias("_n"), F.collect_set("kind").alias("_kinds"), F.max("needed").alias("_needed")
     )
-    retyped = (
-        fields.join(first_types, ["subject", "field"])
-        .where((F.col("_since") < F.col("version")) & ~type_compatible(F.col("_old_type"), F.col("type")))
-        .select(*_KEY, "field")
-        .distinct()
-        .select(*_KEY)
+    known = parts.select(
+        *place, "field", F.sum("_n").over(by_field).alias("held"),
+        F.array_distinct(F.flatten(F.collect_list("_kinds").over(by_field))).alias("kinds"),
+        F.max("_needed").over(by_field).alias("needed"),
     )
-    return lacking.unionByName(retyped).groupBy(*_KEY).agg(F.count(F.lit(1)).alias("errors"))
-
-
-def _transitive_forward(fields: DataFrame) -> DataFrame:
-    """Versions lacking a field that an earlier version required, counted."""
-    order = F.floor(F.col("version") / 1000).cast("bigint")
-    needed = ~has_default(F.col("has_default"), F.col("type"))
-    since = fields.where(needed).groupBy("subject", "field").agg(F.min("version").alias("_since"))
-    started = since.groupBy("subject", F.col("_since").alias("version")).agg(F.count(F.lit(1)).alias("_new"))
-    versions = fields.select(*_KEY).distinct().join(started, _KEY, "left")
-    asked = running_sum_in_series(
-        versions, ["subject"], ["version"], {"_upto": F.coalesce("_new", F.lit(0))}, order
-    ).withColumn("_before", F.col("_upto") - F.coalesce("_new", F.lit(0)))
-    kept = (
-        fields.join(since, ["subject", "field"])
-        .where(F.col("_since") < F.col("version"))
-        .groupBy(*_KEY)
-        .agg(F.count(F.lit(1)).alias("_kept"))
+    packed = known.where("held IS NOT NULL").groupBy(*place).agg(
+        F.collect_list(F.struct("field", "held", "kinds", "needed")).alias("_known")
     )
-    return (
-        asked.join(kept, _KEY, "left")
-        .select(*_KEY, (F.col("_before") - F.coalesce("_kept", F.lit(0))).alias("errors"))
-        .where("errors > 0")
+    first = several.where("needed").groupBy("subject", "field").agg(F.min("_slice").alias("_slice"))
+    first = first.groupBy(*place).agg(F.count(F.lit(1)).alias("_new"))
+    sizes = several.select(*place, "version").distinct().groupBy(*place).agg(F.count(F.lit(1)).alias("_n"))
+    totals = sizes.join(first.hint("merge"), place, "left").select(
+        *place, F.sum("_n").over(by_slice).alias("_versions"), F.sum(F.coalesce("_new", F.lit(0))).over(by_slice).alias("_asked")
     )
+    return totals.join(packed.hint("merge"), place, "left")
+
+
+def _transitive_errors(fields: DataFrame, level: str) -> DataFrame:
+    """Every version with the number of its errors against all earlier ones.
+
+    Backwards these are fields that some earlier version lacks or holds in another type, forwards
+    fields that an earlier version required and this one lacks. All windows lie in a slice of
+    versions, where the field rows are already.
+    """
+    kind = F.struct(F.col("type").alias("type"), type_names(F.col("type")).alias("names"))
+    needed = F.coalesce(~has_default(F.col("has_default"), F.col("type")), F.lit(False))
+    narrow = fields.where("_leads").select("subject", "_slice", "_sliced", "version", "field", "type", "has_default")
+    rows = evaluated_once(narrow, kind=kind, needed=needed).drop("type", "has_default")
+    rows = rows.join(_before_slices(rows).hint("merge"), ["subject", "_slice"], "left").withColumn(
+        "_mine", F.get(F.filter("_known", lambda k: k["field"] == F.col("field")), F.lit(0))
+    ).drop("_known")
+
+    slice_of = Window.partitionBy("subject", "_slice").orderBy("version")
+    of_field = Window.partitionBy("subject", "_slice", "field").orderBy("version")
+    upto = of_field.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    earlier = of_field.rangeBetween(Window.unboundedPreceding, -1)
+    was_needed = F.coalesce(F.col("_mine.needed"), F.lit(False))
+    rows = rows.withColumns({
+        "_held": F.count(F.lit(1)).over(upto) + F.coalesce("_mine.held", F.lit(0)),
+        "_kinds": F.collect_set("kind").over(earlier),
+        "_kept": F.coalesce(F.max("needed").over(earlier), F.lit(False)) | was_needed,
+        "_fresh": F.col("needed") & (F.count(F.when(F.col("needed"), 1)).over(upto) == 1) & ~was_needed,
+    })
+    old_types = F.concat("_kinds", F.coalesce("_mine.kinds", F.array().cast(rows.schema["_kinds"].dataType)))
+    new = F.col("kind")
+    retyped = F.exists(old_types, lambda o: ~_fits(o["type"], new["type"], o["names"], new["names"]))
+    rows = rows.select(
+        "subject", "_slice", "version", "needed", "_held", "_kept", "_fresh", "_versions", "_asked",
+        F.coalesce(retyped, F.lit(False)).cast("int").alias("_retyped"),
+    ).withColumns({
+        "_nth": F.dense_rank().over(slice_of) + F.coalesce("_versions", F.lit(0)),
+        "_before": F.coalesce(
+            F.sum(F.col("_fresh").cast("int")).over(slice_of.rangeBetween(Window.unboundedPreceding, -1)), F.lit(0)
+        ) + F.coalesce("_asked", F.lit(0)),
+    })
+    # Held in every version so far when both counts agree.
+    lacking = (F.col("needed") & (F.col("_held") < F.col("_nth"))).cast("int")
+    errors = []
+    if level.startswith(("BACKWARD", "FULL")):
+        errors.append(F.sum(lacking + F.col("_retyped")))
+    if level.startswith(("FORWARD", "FULL")):
+        errors.append(F.max("_before") - F.sum(F.col("_kept").cast("int")))
+    return rows.groupBy("subject", "_slice", "version").agg(reduce(Column.__add__, errors).cast("bigint").alias("errors"))
 
 
 def check_compatibility(fields: DataFrame, level: str) -> DataFrame:
@@ -230,16 +305,7 @@ def check_compatibility(fields: DataFrame, level: str) -> DataFrame:
     if level not in LEVELS:
         raise ValueError(f"unknown level {level}")
     if level.endswith("TRANSITIVE"):
-        fields = written(fields, "schema-fields")
-        everyone = fields.select(*_KEY).distinct()
-        parts = []
-        if level.startswith(("BACKWARD", "FULL")):
-            parts.append(_transitive_backward(fields))
-        if level.startswith(("FORWARD", "FULL")):
-            parts.append(_transitive_forward(fields))
-        found = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-        issues = found.groupBy(*_KEY).agg(F.sum("errors").alias("errors"))
-        counted = everyone.join(issues, _KEY, "left").withColumn("errors", F.coalesce("errors", F.lit(0)))
+        counted = _transitive_errors(fields, level)
     else:
         counted = _side_by_side(fields).groupBy(*_KEY).agg(
             F.sum(F.size(_issues(level))).cast("bigint").alias("errors")
@@ -374,12 +440,19 @@ def _judged(known: DataFrame, offered: DataFrame, level: str) -> DataFrame:
     newest = mine.groupBy("subject").agg(F.max("version").alias("_latest"), F.max_by("schema_json", "version").alias("_latest_json"))
     judged = written(offered.join(equal, ["subject", "fingerprint"], "left").join(newest, "subject", "left"), "offered")
 
-    none, one, two = F.lit(None).cast("int"), F.lit(1), F.lit(2)
+    none, missing, one, two = F.lit(None).cast("int"), F.lit(None).cast("string"), F.lit(1), F.lit(2)
     versions = F.array(
-        F.struct(one.alias("version"), none.alias("old_version"), two.alias("next_version"), F.col("_latest_json").alias("schema_json")),
-        F.struct(two.alias("version"), one.alias("old_version"), none.alias("next_version"), F.col("schema_json").alias("schema_json")),
+        F.struct(
+            one.alias("version"), F.col("_latest_json").alias("schema_json"), none.alias("old_version"), missing.alias("old_json"),
+            two.alias("next_version"), F.col("schema_json").alias("next_json"),
+        ),
+        F.struct(
+            two.alias("version"), F.col("schema_json").alias("schema_json"), one.alias("old_version"), F.col("_latest_json").alias("old_json"),
+            none.alias("next_version"), missing.alias("next_json"),
+        ),
     )
-    fields = schema_fields(judged.where("_latest IS NOT NULL").select("subject", F.inline(versions)))
+    linked = judged.where("_latest IS NOT NULL").select("subject", F.inline(versions))
+    fields = schema_fields(linked.withColumns({"_slice": F.lit(0).cast("bigint"), "_sliced": F.lit(False)}))
     refused = (
         check_compatibility(fields, level)
         .where("version = 2 AND NOT is_compatible")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import evolution, migration
 from tidemark.plans import adapters as a
 from tidemark.plans.registry import plain, query
-from tidemark.session import written
+from tidemark.session import swept, written
 
 _TYPES = ("int", "long", "float", "double", "string", '["null","string"]', '["string","null"]')
 
@@ -70,13 +70,15 @@ _H = a.with_ctes(HISTORY)
 
 def fields(spark, d):
     """Field rows; the registry is written first, as it would be stored."""
-    return evolution.schema_fields(written(registry(spark, d), "registry"))
+    return evolution.schema_fields(swept(registry(spark, d), "registry"))
 
 
 query(
     "schema_fields",
     _H + """SELECT subject, version, position, field, type, has_default, default_value, doc FROM fields""",
-)(lambda spark, d: plain(fields(spark, d).drop("old_version", "next_version")))
+)(lambda spark, d: plain(
+    fields(spark, d).select("subject", "version", "position", "field", "type", "has_default", "default_value", "doc")
+))
 
 query(
     "schema_diff",
