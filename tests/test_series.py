@@ -189,3 +189,14 @@ def test_compatibility_shuffles_schemas_once(spark):
     shuffles = lambda level: _joins(evolution.check_compatibility(fields, level)).count("Exchange hashpartitioning")
     assert shuffles("FULL") == 2 and shuffles("FULL_TRANSITIVE") == 1
     assert _joins(evolution.schema_diff(fields)).count("Exchange hashpartitioning") == 1
+
+
+def test_messages_are_judged_once(spark, tmp_path):
+    """Neither a filter on the errors nor the two halves of the quality split parse and judge a message again."""
+    from tidemark.plans import quality_queries
+    from tidemark.sources import events
+
+    spark.range(1).selectExpr("cast('{}' AS binary) AS value", "'t' AS topic", "0 AS partition", "0L AS offset").write.parquet(str(tmp_path / "raw"))
+    plan = _joins(events.valid_events(events.parse_events(events.read_events(spark, str(tmp_path / "raw")))).select("event_id", "source"))
+    assert plan.count(r"\}\s*(?:[^\s,}]|,\s*\{)") == 1
+    assert "from_json" not in _joins(quality_queries._split(spark, "/root/testdata/sf0.001"))
