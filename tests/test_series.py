@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import random
+from pathlib import Path
 
 from pyspark.sql import functions as F
 from tidemark.functions import ordered
@@ -200,3 +201,13 @@ def test_messages_are_judged_once(spark, tmp_path):
     plan = _joins(events.valid_events(events.parse_events(events.read_events(spark, str(tmp_path / "raw")))).select("event_id", "source"))
     assert plan.count(r"\}\s*(?:[^\s,}]|,\s*\{)") == 1
     assert "from_json" not in _joins(quality_queries._split(spark, "/root/testdata/sf0.001"))
+
+
+def test_arrived_rows_are_kept_once(spark):
+    """When the last wave has arrived, the table that was cut into waves goes before the stream runs."""
+    from tidemark.plans.stream_queries import _Arrivals
+
+    arrivals, seen = _Arrivals(spark, spark.range(9), "numbers", wave=F.col("id") % 3), []
+    folder = Path(arrivals.rows.inputFiles()[0].removeprefix("file:")).parent
+    arrivals.run(lambda: seen.append((folder.exists(), spark.read.parquet(arrivals.path).count())))
+    assert seen == [(True, 3), (True, 6), (False, 9)]

@@ -14,7 +14,7 @@ from tidemark.plans import region_queries as rq
 from tidemark.plans.change_queries import _FOLD, _FOLD_COLUMNS, _TRANSACTIONS, _decoded_log
 from tidemark.plans.registry import plain, query
 from tidemark.plans.shop_queries import STG_ORDERS
-from tidemark.session import scratch_path, written
+from tidemark.session import discard, scratch_path, written
 from tidemark.sources.events import parse_events, stream_events, valid_events
 from tidemark.streaming import health, ingest, late, stateful, windows
 
@@ -41,6 +41,8 @@ class _Arrivals:
         """Let the waves arrive one after the other; ``each()`` runs the stream to its end."""
         for w in self.waves:
             self.rows.where(F.col("_wave") == w).drop("_wave").write.mode("append").parquet(self.path)
+            if w == self.waves[-1]:
+                discard(self.rows)
             each()
 
 
@@ -310,7 +312,9 @@ def _stream_health(spark, d):
     """Progress samples of the deduplicating stream, summed per wave of messages."""
     arrivals, samples = _waves(spark, d), []
     out, checkpoint = scratch_path(spark, "health"), scratch_path(spark, "health-checkpoint")
-    live = dedup.dedup_stream(valid_events(parse_events(arrivals.stream.drop("w"))), delay=_DELAY)
+    # The samples are all that is asked for, so no images travel to the state or to the sink.
+    events = valid_events(parse_events(arrivals.stream.drop("w"))).select("event_id", "event_timestamp")
+    live = dedup.dedup_stream(events, delay=_DELAY)
 
     def run():
         running = ingest.start(live, ingest.batch_folder(out), checkpoint, interval=None)
